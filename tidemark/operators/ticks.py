@@ -8,13 +8,11 @@ its window as one row per day.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ratios import change_pct
-from tidemark.operators.lookups import broadcast_if_small
 
 
 def snapshot(
@@ -154,32 +152,38 @@ def correlation_matrix(
     """Pairwise correlation of the daily closes of the leading assets.
 
     ``leaders`` has the columns (id, position 1..size). The closes of one day
-    become one wide row, and every pair is an aggregate over those rows: no
-    join of the table with itself, whatever the number of days.
+    become one wide row, so a pair is an aggregate over wide rows and the table
+    is never joined with itself.
     """
-    chosen = leaders.filter(F.col("position").between(1, size))
+    # positions are unique, so at most ``size`` rows
+    chosen = F.broadcast(leaders.filter(F.col("position").between(1, size)))
     wide = (
-        daily.join(broadcast_if_small(chosen), key)
+        daily.join(chosen, key)
         .groupBy("day")
         .pivot("position", list(range(1, size + 1)))
         .agg(F.first("close"))
     )
-    pairs = list(combinations(range(1, size + 1), 2))
-    sums = wide.agg(
-        *[correlation(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c_{a}_{b}") for a, b in pairs]
+    places = range(1, size + 1)
+    closes = [F.col(f"`{p}`") for p in places]
+    # each day once per asset: (a, its close, all closes), not once per pair
+    sides = F.array(*[F.struct(F.lit(p).alias("a"), c.alias("x")) for p, c in zip(places, closes)])
+    per_asset = wide.select("*", F.explode(sides).alias("side")).groupBy(
+        F.col("side.a").alias("a")
     )
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c_{a}_{b}").alias("r"))
-            for a, b in pairs
-        ]
+    rows = per_asset.agg(
+        F.array(
+            *[
+                F.struct(F.lit(p).alias("b"), correlation(F.col("side.x"), c).alias("r"))
+                for p, c in zip(places, closes)
+            ]
+        ).alias("cells")
     )
-    long = sums.select(F.explode(cells).alias("c")).select("c.*")
-    names = broadcast_if_small(chosen)
-    left = names.select(F.col(key).alias("asset_a"), F.col("position").alias("a"))
-    right = names.select(F.col(key).alias("asset_b"), F.col("position").alias("b"))
+    long = rows.select("a", F.explode("cells").alias("c")).select("a", "c.b", "c.r")
+    left = chosen.select(F.col(key).alias("asset_a"), F.col("position").alias("a"))
+    right = chosen.select(F.col(key).alias("asset_b"), F.col("position").alias("b"))
     return (
-        long.join(F.broadcast(left), "a")
+        long.filter(F.col("a") < F.col("b"))
+        .join(F.broadcast(left), "a")
         .join(F.broadcast(right), "b")
         .select("asset_a", "asset_b", F.round("r", digits).alias("correlation"))
     )
