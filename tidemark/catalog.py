@@ -552,7 +552,7 @@ def _snapshot(m: Market) -> DataFrame:
         "low_24h",
         "ath",
         "atl",
-        "ath_at",
+        "first_at",
         F.round("ath_change_pct", 4).alias("ath_change_pct"),
         F.round("change_pct_24h", 4).alias("change_pct_24h"),
         F.round("change_pct_7d", 4).alias("change_pct_7d"),

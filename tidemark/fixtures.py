@@ -57,16 +57,16 @@ def raw_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scale = F.power(F.lit(10.0), (key % 6 + 1).cast("double"))
     sized = snap.withColumn("market_cap", F.col("_cents").cast("double") * scale)
     # rank 1.. by size, ties by key: positions of the whole ordering
-    place = with_position(sized.select("key", "market_cap"), [F.desc("market_cap"), F.col("key")])
-    ranked = sized.join(place.select("key", (F.col("_idx") + 1).alias("_rank")), "key")
+    ranked = with_position(sized, [F.desc("market_cap"), F.col("key")])
     pct = {h: F.col(f"change_pct_{h}") for h in HORIZONS}
     cap_change = F.col("market_cap") * pct["24h"] / F.lit(100.0)
+    # the dates of the extremes are not in the ticks' aggregates: the first tick stands in
     made: dict[str, Column] = {
         "id": key.cast("string"),
         "symbol": F.lower(F.concat(F.lit("s"), key.cast("string"))),
         "name": F.concat(F.lit("Asset "), key.cast("string")),
         "current_price": F.when(key % 29 != 28, F.col("current_price")),
-        "market_cap_rank": F.when(key % 31 != 30, F.col("_rank")),
+        "market_cap_rank": F.when(key % 31 != 30, F.col("_idx") + 1),
         "fully_diluted_valuation": F.col("market_cap") * 2,
         "total_volume": F.col("_recent").cast("double") * scale,
         "price_change_24h": F.col("change_24h"),
@@ -77,9 +77,9 @@ def raw_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_supply": F.col("ticks").cast("double") * 2,
         "max_supply": F.when(key % 5 != 0, (F.col("ticks") + key % 40).cast("double")),
         "ath_change_percentage": F.col("ath_change_pct"),
-        "ath_date": F.date_format("ath_at", _ISO),
+        "ath_date": F.date_format("first_at", _ISO),
         "atl_change_percentage": F.col("atl_change_pct"),
-        "atl_date": F.date_format("atl_at", _ISO),
+        "atl_date": F.date_format("first_at", _ISO),
         "last_updated": F.date_format("last_at", _ISO),
     }
     made |= {

@@ -153,12 +153,16 @@ def occurrence_in_group(
     with a neighbour: at most two rows per slice carry the counts across.
     """
     sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]])
-    edge = sliced.groupBy(SLICE).agg(
-        F.min_by(group, POS).alias("_first"), F.max_by(group, POS).alias("_last")
+    ends = sliced.groupBy(SLICE).agg(F.max(POS).alias("_end"))
+    edge = (
+        sliced.join(F.broadcast(ends), SLICE)
+        .filter((F.col(POS) == 0) | (F.col(POS) == F.col("_end")))
+        .select(F.col(SLICE).alias("_s"), F.col(group).alias("_g"))
+        .distinct()
     )
+    at_edge = (F.col(SLICE) == F.col("_s")) & F.col(group).eqNullSafe(F.col("_g"))
     shared = (
-        sliced.join(F.broadcast(edge), SLICE)
-        .filter(F.col(group).eqNullSafe(F.col("_first")) | F.col(group).eqNullSafe(F.col("_last")))
+        sliced.join(F.broadcast(edge), at_edge, "left_semi")
         .groupBy(SLICE, group)
         .agg(F.count("*").alias("_n"))
     )
@@ -187,9 +191,9 @@ def group_runs(
     starts_run = F.col("_prev").isNull() | ~F.col("_prev")[group].eqNullSafe(F.col(group))
     runs = running_total(marked, F.when(starts_run, 1).otherwise(0), "_run")
     return (
-        runs.groupBy("_run")
+        # a run has one group value; as a key it costs nothing, as a text minimum a sort
+        runs.groupBy("_run", group)
         .agg(
-            F.min(group).alias(group),
             F.min(order[0]).alias(first),
             F.max(order[0]).alias(last),
             F.count("*").alias(length),

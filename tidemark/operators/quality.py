@@ -1,8 +1,8 @@
 """Data-quality checks on one table in as few passes as possible.
 
 All checks that look at rows one by one share a single aggregation. Checks on
-groups, duplicates or order each need a shuffle of their own and run as small
-aggregations beside it. The result has one row per check:
+groups, duplicates or order each need a shuffle of their own and stand beside it
+as scalar subqueries. The result has one row per check:
 (table_name, check_name, kind, observed, passed).
 """
 
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import eq, ge, gt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,22 +18,24 @@ from pyspark.sql import functions as F
 from tidemark.operators.latest import latest_slice
 from tidemark.operators.ordering import earlier_max
 
-_HOLDS = {"=": eq, ">=": ge, ">": gt}
-
 
 @dataclass(frozen=True)
 class Check:
-    """``rows`` aggregates in the shared pass; ``table`` makes its own one-row frame."""
+    """``rows`` aggregates in the shared pass; ``table`` makes its own one-row frame.
+
+    ``holds`` is a SQL condition on ``{observed}``: a few hundred checks are
+    cheaper to plan as text than as columns built one call at a time.
+    """
 
     name: str
     kind: str
-    passes: Callable[[Column], Column]
+    holds: str
     rows: Column | None = None
     table: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _is(op: str, bound: float) -> Callable[[Column], Column]:
-    return lambda observed: _HOLDS[op](observed, F.lit(float(bound)))
+def _is(op: str, bound: float) -> str:
+    return f"{{observed}} {op} {bound}"
 
 
 # --- one shared pass ---------------------------------------------------------
@@ -50,10 +51,7 @@ def count(name: str, op: str, bound: int, matching: Column | None = None) -> Che
 
 def total(name: str, column: str, target: float, within: float) -> Check:
     """Column sum close to a target; without any row there is no sum and no pass."""
-
-    def near(observed: Column) -> Column:
-        return F.round(F.abs(observed - F.lit(target)), 6) < F.lit(within)
-
+    near = f"round(abs({{observed}} - {target}D), 6) < {within}D"
     # rounded, so that the order in which doubles are added cannot turn the verdict
     return Check(name, "sum", near, rows=F.round(F.sum(column), 6))
 
@@ -159,50 +157,41 @@ class Contract:
     most: Mapping[str, float] = field(default_factory=dict)
 
     def checks(self, columns: Iterable[str]) -> list[Check]:
-        def rule(kind: str, column: str, broken: Column) -> Check:
-            return violation(f"{column} {kind}", broken, kind)
-
-        out = [
-            rule("not_null", c, F.col(c).isNull()) for c in columns if c not in self.optional
-        ]
-        out += [rule("positive", c, F.col(c) <= 0) for c in self.positive]
+        def rule(kind: str, column: str, broken: str) -> Check:
+            rows = F.expr(f"count_if({broken.format(f'`{column}`')})")
+            return Check(f"{column} {kind}", kind, _is("=", 0), rows=rows)
+
+        out = [rule("not_null", c, "{} IS NULL") for c in columns if c not in self.optional]
+        out += [rule("positive", c, "{} <= 0") for c in self.positive]
+        out += [rule("min", c, f"{{}} < {bound}") for c, bound in self.least.items()]
+        out += [rule("max", c, f"{{}} > {bound}") for c, bound in self.most.items()]
         out += [
-            rule("accepted_values", c, ~F.col(c).isin(list(values)))
+            violation(f"{c} accepted_values", ~F.col(c).isin(list(values)), "accepted_values")
             for c, values in self.accepted.items()
         ]
-        out += [rule("min", c, F.col(c) < bound) for c, bound in self.least.items()]
-        out += [rule("max", c, F.col(c) > bound) for c, bound in self.most.items()]
         out += [unique(f"{c} unique", c, nulls_count=False) for c in self.unique]
         return out
 
 
 # --- running -----------------------------------------------------------------
-def _verdict(check: Check, observed: Column) -> Column:
-    measured = observed.cast("double")
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.kind).alias("kind"),
-        measured.alias("observed"),
-        F.coalesce(check.passes(measured), F.lit(False)).alias("passed"),
+def _verdict(table_name: str, check: Check, observed: str) -> str:
+    measured = f"double({observed})"
+    text = check.name.replace("\\", "\\\\").replace("'", "\\'")
+    return (
+        f"named_struct('table_name', '{table_name}', 'check_name', '{text}', "
+        f"'kind', '{check.kind}', 'observed', {measured}, "
+        f"'passed', coalesce({check.holds.format(observed=measured)}, false))"
     )
 
 
 def dq_suite(table_name: str, df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """Run all checks on one table: one row per check."""
-    checks = list(checks)
-    shared = [c for c in checks if c.rows is not None]
-    parts = []
-    if shared:
-        one_row = df.agg(*[c.rows.alias(f"_c{i}") for i, c in enumerate(shared)])
-        verdicts = F.array(*[_verdict(c, F.col(f"_c{i}")) for i, c in enumerate(shared)])
-        parts.append(one_row.select(F.explode(verdicts).alias("v")).select("v.*"))
-    for check in checks:
-        if check.table is not None:
-            observed = check.table(df)
-            verdict = _verdict(check, F.col("observed")).alias("v")
-            parts.append(observed.select(verdict).select("v.*"))
-    results = reduce(DataFrame.unionByName, parts)
-    return results.select(F.lit(table_name).alias("table_name"), "*")
+    numbered = {f"_c{i}": check for i, check in enumerate(checks)}
+    shared = [c.rows.alias(n) for n, c in numbered.items() if c.rows is not None]
+    one_row = df.agg(*shared) if shared else df.sparkSession.range(1)
+    alone = {n: c.table(df).scalar() for n, c in numbered.items() if c.table is not None}
+    verdicts = [_verdict(table_name, c, n) for n, c in numbered.items()]
+    return one_row.withColumns(alone).selectExpr(f"inline(array({', '.join(verdicts)}))")
 
 
 class QualityError(RuntimeError):

@@ -26,7 +26,9 @@ def snapshot(
     """Last price, day range and volume, all-time marks and changes per horizon.
 
     ``horizons`` maps a suffix to an interval back from the newest tick of the
-    table; the reference price is the last one at or before that time.
+    table; the reference price is the last one at or before that time. All
+    aggregates keep fixed-width state, so ticks are combined by hash on the map
+    side and never sorted.
     """
     now = ticks.agg(F.max(time)).scalar()
     at, price = F.col(time), F.col(value)
@@ -42,8 +44,7 @@ def snapshot(
         F.min(F.when(last_day, price)).alias("low_24h"),
         F.max(price).alias("ath"),
         F.min(price).alias("atl"),
-        F.max(F.struct(price, at))[time].alias("ath_at"),
-        F.min(F.struct(price, at))[time].alias("atl_at"),
+        F.min(at).alias("first_at"),
         F.max(at).alias("last_at"),
         F.count("*").alias("ticks"),
         *[c.alias(f"_past_{h}") for h, c in past.items()],

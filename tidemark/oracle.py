@@ -94,7 +94,7 @@ TABLES: dict[str, str] = {
             max(value) filter (where ts > (select newest from now_at) - interval 1 day) as high,
             min(value) filter (where ts > (select newest from now_at) - interval 1 day) as low,
             max(value) as ath, min(value) as atl, max(ts) as last_at, count(*) as n,
-            max(row(value, ts))[2] as ath_at, min(row(value, ts))[2] as atl_at,
+            min(ts) as first_at,
             {_past(_HORIZON)}
         from events group by user_id""",
     "sized": """
@@ -120,10 +120,10 @@ TABLES: dict[str, str] = {
             case when key % 5 <> 0 then (n + key % 40)::double end as max_supply,
             ath,
             {_change("cur", "ath")} as ath_change_percentage,
-            strftime(ath_at, {_ISO}) as ath_date,
+            strftime(first_at, {_ISO}) as ath_date,
             atl,
             {_change("cur", "atl")} as atl_change_percentage,
-            strftime(atl_at, {_ISO}) as atl_date,
+            strftime(first_at, {_ISO}) as atl_date,
             {_change("cur", "p_1h")} as price_change_percentage_1h_in_currency,
             {_change("cur", "p_7d")} as price_change_percentage_7d_in_currency,
             {_change("cur", "p_14d")} as price_change_percentage_14d_in_currency,
@@ -1094,7 +1094,7 @@ _BODIES: dict[str, str] = {
             from sentiment)
         group by sentiment_zone, island""",
     "market_snapshot": f"""select cast(key as varchar) as id, cur as current_price,
-        recent / 100.0::double as total_volume, high as high_24h, low as low_24h, ath, atl, ath_at,
+        recent / 100.0::double as total_volume, high as high_24h, low as low_24h, ath, atl, first_at,
         {half_up(_change("cur", "ath"), 4)} as ath_change_pct,
         {half_up(_change("cur", "p_24h"), 4)} as change_pct_24h,
         {half_up(_change("cur", "p_7d"), 4)} as change_pct_7d,
