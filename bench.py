@@ -15,7 +15,6 @@ from tidemark.fixtures import RAW_TABLES, market
 from tidemark.session import get_spark
 
 HEADLINE = [
-    "market_regime",
     "enriched_assets",
     "sentiment_daily",
     "global_metrics",
@@ -71,7 +70,9 @@ def main() -> None:
             market(spark, sf_dir).stored(name)
 
     spark.range(1000).groupBy("id").count().write.format("noop").mode("overwrite").save()
-    seconds = {"land_raw": timed(land)}
+    seconds = {"land_raw": timed(land), "market_regime": timed(lambda: run("market_regime"))}
+    # the finished tables that the reports and checks read
+    seconds["store_tables"] = timed(lambda: run("row_counts"))
     seconds |= {name: timed(lambda name=name: run(name)) for name in HEADLINE}
     total = round(sum(seconds.values()), 3)
     print(

@@ -10,11 +10,13 @@ from tidemark.operators import latest, lookups, shares, ticks, topk
 
 
 # --- lookups -----------------------------------------------------------------
-def test_summary_join_with_hot_and_cold_keys(spark):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 10])
+def test_summary_join_with_hot_and_cold_keys(spark, broadcast_rows):
     n = F.col("id")
     key = F.when(n % 3 == 0, -1).when(n % 97 != 0, (n % 2000).cast("int"))
     df = spark.range(30_000).withColumn("k", key)
-    got = lookups.join_group_summary(df, "k", {"n": F.count("*"), "m": F.max("id")}, hot_keys=10)
+    summary = {"n": F.count("*"), "m": F.max("id")}
+    got = lookups.join_group_summary(df, "k", summary, broadcast_rows, hot_keys=10)
     per = df.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
     naive = df.join(per.withColumnRenamed("k", "k2"), F.col("k").eqNullSafe(F.col("k2")))
     assert got.count() == 30_000

@@ -34,10 +34,15 @@ def test_position(skewed):
     assert same(got, naive.withColumn("_idx", F.col("_idx").cast("long")))
 
 
+# plain window, and the scalable form
+BOTH = pytest.mark.parametrize("single_task_rows", [100_000, 10])
+
+
+@BOTH
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_with_ties_and_nulls(skewed, descending):
+def test_rank_with_ties_and_nulls(skewed, descending, single_task_rows):
     order = F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last()
-    got = o.competition_rank(skewed, "x", "r", descending)
+    got = o.competition_rank(skewed, "x", "r", descending, single_task_rows)
     naive = skewed.withColumn("r", F.rank().over(Window.orderBy(order)).cast("long"))
     assert same(got, naive)
 
@@ -61,8 +66,9 @@ def test_series_forms_agree(skewed):
     assert same(small, large)
 
 
-def test_occurrence_in_hot_group(skewed):
-    got = o.occurrence_in_group(skewed, "g", ["id"], "n")
+@BOTH
+def test_occurrence_in_hot_group(skewed, single_task_rows):
+    got = o.occurrence_in_group(skewed, "g", ["id"], "n", single_task_rows)
     naive = skewed.withColumn(
         "n", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("long")
     )
@@ -75,17 +81,20 @@ def test_running_total(skewed):
     assert same(got.select(*naive.columns), naive)
 
 
-def test_earlier_max(skewed):
+@BOTH
+def test_earlier_max(skewed, single_task_rows):
     keyed = skewed.withColumn("k", (F.col("id") / 10).cast("int"))
-    got = o.earlier_max(keyed, "k", F.col("x"), "m")
+    got = o.earlier_max(keyed, "k", F.col("x"), "m", single_task_rows)
     per = keyed.groupBy("k").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     before = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     assert same(got, per.withColumn("m", F.max("high").over(before)))
 
 
-def test_runs_by_hand(spark):
+@pytest.mark.parametrize("single_task_rows", [100, 1])
+def test_runs_by_hand(spark, single_task_rows):
     df = spark.createDataFrame(list(enumerate("aabbbacc")), "t int, z string")
-    got = rows(o.group_runs(df, ["t"], "z", "first", "last", "n"), "z", "first", "last", "n")
+    runs = o.group_runs(df, ["t"], "z", "first", "last", "n", single_task_rows)
+    got = rows(runs, "z", "first", "last", "n")
     assert got == [("a", 0, 1, 2), ("a", 5, 5, 1), ("b", 2, 4, 3), ("c", 6, 7, 2)]
 
 
@@ -99,9 +108,9 @@ def test_runs_and_ranks_on_any_series(spark, values):
             expected[-1][2], expected[-1][3] = t, expected[-1][3] + 1
         else:
             expected.append([z, t, t, 1])
-    got = rows(o.group_runs(df, ["t"], "z", "a", "b", "n"), "z", "a", "b", "n")
+    got = rows(o.group_runs(df, ["t"], "z", "a", "b", "n", 1), "z", "a", "b", "n")
     assert got == sorted(map(tuple, expected), key=repr)
-    ranked = {r.t: r.r for r in o.competition_rank(df, "z", "r").collect()}
+    ranked = {r.t: r.r for r in o.competition_rank(df, "z", "r", True, 1).collect()}
     key = [-1 if z is None else z for z in values]
     assert ranked == {t: 1 + sum(k > key[t] for k in key) for t in range(len(key))}
 
@@ -109,12 +118,24 @@ def test_runs_and_ranks_on_any_series(spark, values):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "t int, z int")
     assert o.with_position(df, ["t"]).count() == 0
-    assert o.competition_rank(df, "z", "r").count() == 0
-    assert o.occurrence_in_group(df, "z", ["t"], "n").count() == 0
-    assert o.series_columns(df, ["t"], {"l": lambda w: F.lag("z").over(w)}, 1).count() == 0
+    lag = {"l": lambda w: F.lag("z").over(w)}
+    for limit in (10, -1):
+        assert o.competition_rank(df, "z", "r", True, limit).count() == 0
+        assert o.occurrence_in_group(df, "z", ["t"], "n", limit).count() == 0
+        assert o.group_runs(df, ["t"], "z", "a", "b", "n", limit).count() == 0
+        assert o.series_columns(df, ["t"], lag, 1, limit).count() == 0
 
 
 def test_no_whole_table_task(skewed):
-    """The only single-task exchanges carry one row per slice."""
-    text = plan(o.competition_rank(skewed, "x", "r"))
+    """Above the bound, windows over everything see one row per slice only."""
+    counts = skewed.groupBy("x").agg(F.count("*").alias("n"))
+    text = plan(o.ranks_by_value(counts, "x", "n", "r"))
+    before_single = text.split("Exchange SinglePartition")[1].lstrip(", ")
+    assert "HashAggregate(keys=[_slice" in before_single.split("\n")[1]
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_rows_that_tie_on_the_order_still_split(spark):
+    df = spark.range(8_000).withColumn("day", F.lit("2024-01-01"))
+    sizes = o.slice_rows(df, ["day"], 8).groupBy("_slice").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2_500

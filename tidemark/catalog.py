@@ -489,6 +489,51 @@ _add(
 )
 
 
+# --- the same on whole tables, above the bound of a single task ---------------
+def _orders(m: Market) -> DataFrame:
+    return table(m.spark, m.sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+
+
+_add(
+    "rank_sliced",
+    lambda m: ordering.competition_rank(
+        table(m.spark, m.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
+        "l_extendedprice",
+        "price_rank",
+        single_task_rows=1000,
+    ),
+)
+_add(
+    "occurrence_sliced",
+    # three statuses hold all orders
+    lambda m: ordering.occurrence_in_group(
+        _orders(m), "o_orderstatus", ["o_orderkey"], "nth_in_status", single_task_rows=1000
+    ),
+)
+_add(
+    "runs_sliced",
+    lambda m: ordering.group_runs(
+        _orders(m), ["o_orderkey"], "o_orderstatus", "first_key", "last_key", "orders", 1000
+    ),
+)
+_add(
+    "running_total_sliced",
+    lambda m: ordering.running_total(
+        ordering.with_position(_orders(m), ["o_orderkey"]), F.col("o_custkey"), "customers_so_far"
+    ).select("o_orderkey", "customers_so_far"),
+)
+_add(
+    "summary_join_sliced",
+    lambda m: lookups.join_group_summary(
+        table(m.spark, m.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"),
+        "l_suppkey",
+        {"rows_of_supplier": F.count("*")},
+        broadcast_rows=10,
+        hot_keys=80,
+    ),
+)
+
+
 # --- quality -----------------------------------------------------------------
 def _verdicts(kinds: tuple[str, ...] | None) -> Callable[[Market], DataFrame]:
     return lambda m: checks.run_checks(_stored(m), m.now, kinds)

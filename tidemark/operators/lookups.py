@@ -2,34 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialised
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+
+BROADCAST_ROWS = 200_000
+
+
+def at_most(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` has no more than ``limit`` rows.
+
+    A count sends one number per task; on a stored table it reads row counts
+    from the file footers. (A limit before the count would send up to ``limit``
+    rows per task to a single one.) Call it on stored or materialised tables.
+    """
+    return df.count() <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint after a count, and no hint above the bound.
 
-    The count stops at ``max_rows + 1`` rows. Without the hint the join is left
-    to Catalyst and adaptive skew handling.
+    Without the hint the join is left to Catalyst and adaptive skew handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if at_most(df, max_rows) else df
+
+
+def join_broadcast(detail: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left join with a per-key table known to be small; a NULL key is a key."""
+    payload = [c for c in per_key.columns if c != key]
+    table = F.broadcast(per_key.withColumnRenamed(key, "_k"))
+    joined = detail.join(table, F.col(key).eqNullSafe(F.col("_k")), "left")
+    return joined.select(*detail.columns, *payload)
 
 
 def join_per_key(
-    detail: DataFrame, per_key: DataFrame, key: str, weight: str, hot_keys: int = 1000
+    detail: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    weight: str,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_keys: int = 1000,
 ) -> DataFrame:
     """Bring a table with one row per key back to the detail rows (left join).
 
-    ``weight`` is the number of detail rows of a key. Keys with more than
-    1/``hot_keys`` of all rows, of which there are fewer than ``hot_keys``, are
-    broadcast; only the others are shuffled. A hot row takes a salt no shuffled
-    key has, so its rows spread over all tasks of that shuffle.
+    ``per_key`` is read several times and should be a stored or materialised
+    table; ``weight`` is the number of detail rows of a key. A table counted
+    small is broadcast whole. Otherwise keys with more than 1/``hot_keys`` of
+    all rows, of which there are fewer than ``hot_keys``, are broadcast and only
+    the others are shuffled. A hot row takes a salt no shuffled key has, so its
+    rows spread over all tasks of that shuffle.
     """
     payload = [c for c in per_key.columns if c not in (key, weight)]
-    total = per_key.agg(F.sum(weight)).scalar()
+    if at_most(per_key, broadcast_rows):
+        return join_broadcast(detail, per_key.select(key, *payload), key)
     values = F.struct(*payload)
+    total = per_key.agg(F.sum(weight)).scalar()
     table = per_key.withColumn("_hot", F.col(weight) * F.lit(hot_keys) > total)
     hot = table.filter("_hot").select(F.col(key).alias("_hk"), values.alias("_hv"))
     cold = table.filter("NOT _hot").select(
@@ -38,19 +67,22 @@ def join_per_key(
     salt = F.when(F.col("_hv").isNull(), F.lit(0)).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*detail.columns), F.lit(997)).cast("int")
     )
-    marked = detail.join(
-        F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left"
-    ).withColumn("_salt", salt)
+    is_hot = F.col(key).eqNullSafe(F.col("_hk"))
+    marked = detail.join(F.broadcast(hot), is_hot, "left").withColumn("_salt", salt)
     same = F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_salt") == F.col("_cs"))
     joined = marked.join(cold, same, "left").withColumn("_v", F.coalesce("_hv", "_cv"))
     return joined.select(*detail.columns, *[F.col("_v")[c].alias(c) for c in payload])
 
 
 def join_group_summary(
-    df: DataFrame, key: str, summary: dict[str, object], hot_keys: int = 1000
+    df: DataFrame,
+    key: str,
+    summary: dict[str, Column],
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_keys: int = 1000,
 ) -> DataFrame:
     """Each row with the aggregates of its own group beside it."""
     per_key = df.groupBy(key).agg(
         F.count("*").alias("_rows"), *[c.alias(n) for n, c in summary.items()]
     )
-    return join_per_key(df, per_key, key, "_rows", hot_keys)
+    return join_per_key(df, materialised(per_key), key, "_rows", broadcast_rows, hot_keys)

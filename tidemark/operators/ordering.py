@@ -5,6 +5,9 @@ range-partitioned on the ordering instead. Each range is a *slice*: a run of
 consecutive rows that one task holds. What a slice needs from the slices before
 it is one small row per slice, so no step sees more than a slice, or the list
 of slices, at once.
+
+Input counted to be at most ``single_task_rows`` long takes a plain window
+instead, which is faster there and gives the same rows.
 """
 
 from __future__ import annotations
@@ -14,14 +17,15 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookups import join_per_key
-from tidemark.session import shared_dir
+from tidemark.operators.lookups import at_most, join_broadcast, join_per_key
+from tidemark.session import materialised
 
+SINGLE_TASK_ROWS = 200_000
 SLICE, POS, IDX = "_slice", "_pos", "_idx"
 _IN_SLICE_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row in the low 33 bits
 
 
-def _before(*order: str) -> WindowSpec:
+def _before(*order: Column | str) -> WindowSpec:
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
@@ -30,17 +34,16 @@ def slice_rows(df: DataFrame, order: Sequence[Column | str], slices: int | None
 
     The numbering depends on a sampled range split, so it is fixed once by a
     reliable checkpoint: every later read, a retry after a lost executor
-    included, sees the same slices.
+    included, sees the same slices. Rows that tie on ``order`` are told apart
+    by a hash of the whole row, so many of them still split over slices.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.repartitionByRange(count, *order)
-        .sortWithinPartitions(*order)
+    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total_order = [*order, F.xxhash64(*df.columns)]
+    return materialised(
+        df.repartitionByRange(count, *total_order)
+        .sortWithinPartitions(*total_order)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_SLICE_BITS)))
-        .checkpoint()
     )
 
 
@@ -88,14 +91,10 @@ def series_columns(
     order: Sequence[Column | str],
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     before: int,
-    single_task_rows: int = 200_000,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Trailing frames over one unpartitioned series.
-
-    A series counted to be at most ``single_task_rows`` long is left to a plain
-    window; a longer one goes through positions and blocks. Same rows either way.
-    """
-    if df.limit(single_task_rows + 1).count() <= single_task_rows:
+    """Trailing frames over one unpartitioned series."""
+    if at_most(df, single_task_rows):
         window = Window.orderBy(*order)
         return df.withColumns({name: build(window) for name, build in columns.items()})
     return trailing(with_position(df, order), columns, before).drop(SLICE, POS, IDX)
@@ -112,12 +111,18 @@ def running_total(positioned: DataFrame, value: Column, name: str) -> DataFrame:
     )
 
 
-def earlier_max(df: DataFrame, order: str, value: Column, name: str) -> DataFrame:
+def earlier_max(
+    df: DataFrame, order: str, value: Column, name: str, single_task_rows: int = SINGLE_TASK_ROWS
+) -> DataFrame:
     """Per distinct ``order`` value, the maximum of ``value`` over all smaller ones.
 
     Returns one row per ``order`` with its own ``low`` and ``high`` as well.
     """
-    per_key = df.groupBy(order).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    per_key = materialised(
+        df.groupBy(order).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    )
+    if at_most(per_key, single_task_rows):
+        return per_key.withColumn(name, F.max("high").over(_before(order)))
     sliced = slice_rows(per_key, [F.col(order)])
     starts = _per_slice_before(sliced, {"_top": F.max("high")}, {"_base": F.max("_top")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
@@ -126,25 +131,70 @@ def earlier_max(df: DataFrame, order: str, value: Column, name: str) -> DataFram
     )
 
 
-def competition_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
-    """``rank()`` over the whole table: 1 + rows strictly ahead, ties share a rank.
+def _value_order(value: str, descending: bool) -> Column:
+    return F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
 
-    Rows are counted per value first, so a value a third of the table shares is
-    one row when ordered; the rank then goes back to the rows by value.
+
+def ranks_by_value(
+    counts: DataFrame, value: str, ties: str, name: str, descending: bool = True
+) -> DataFrame:
+    """Rank of each distinct value: 1 + rows with a value strictly ahead.
+
+    ``counts`` has one row per value; ``ties`` is how many rows share it.
     """
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    sliced = slice_rows(df.groupBy(value).agg(F.count("*").alias("_ties")), [order])
-    starts = _per_slice_before(sliced, {"_n": F.sum("_ties")}, {"_base": F.sum("_n")})
+    sliced = slice_rows(counts.select(value, ties), [_value_order(value, descending)])
+    starts = _per_slice_before(sliced, {"_n": F.sum(ties)}, {"_base": F.sum("_n")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.coalesce("_base", F.lit(0)) + F.coalesce(F.sum("_ties").over(within), F.lit(0))
-    ranks = sliced.join(F.broadcast(starts), SLICE).select(
-        value, "_ties", (F.lit(1) + ahead).cast("bigint").alias(name)
+    ahead = F.coalesce("_base", F.lit(0)) + F.coalesce(F.sum(ties).over(within), F.lit(0))
+    return sliced.join(F.broadcast(starts), SLICE).select(
+        value, ties, (F.lit(1) + ahead).cast("bigint").alias(name)
     )
-    return join_per_key(df, ranks, value, "_ties")
+
+
+def attach_rank(
+    df: DataFrame,
+    counts: DataFrame,
+    value: str,
+    ties: str,
+    name: str,
+    descending: bool = True,
+    small: bool = False,
+) -> DataFrame:
+    """``rank()`` by ``value``, from the number of rows per value.
+
+    ``small`` states that ``counts`` was found to fit one task.
+    """
+    if small:
+        ahead = F.sum(ties).over(_before(_value_order(value, descending)))
+        rank = (F.lit(1) + F.coalesce(ahead, F.lit(0))).cast("bigint")
+        return join_broadcast(df, counts.select(value, rank.alias(name)), value)
+    ranks = materialised(ranks_by_value(counts, value, ties, name, descending))
+    return join_per_key(df, ranks, value, ties)
+
+
+def competition_rank(
+    df: DataFrame,
+    value: str,
+    name: str,
+    descending: bool = True,
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """``rank()`` over the whole table: ties share a rank.
+
+    Rows are counted per value first, so a value a third of the table shares is
+    one row when ordered; the rank then goes back to the rows by value.
+    """
+    counts = df.groupBy(value).agg(F.count("*").alias("_ties"))
+    small = at_most(df, single_task_rows)  # there are no more values than rows
+    return attach_rank(df, counts, value, "_ties", name, descending, small)
 
 
 def occurrence_in_group(
-    df: DataFrame, group: str, order: Sequence[str], name: str
+    df: DataFrame,
+    group: str,
+    order: Sequence[str],
+    name: str,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """``row_number()`` per group for groups of any size.
 
@@ -152,6 +202,9 @@ def occurrence_in_group(
     in the next ones. Only the first and last group of a slice can be shared
     with a neighbour: at most two rows per slice carry the counts across.
     """
+    if at_most(df, single_task_rows):
+        place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+        return df.withColumn(name, place.cast("bigint"))
     sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]])
     ends = sliced.groupBy(SLICE).agg(F.max(POS).alias("_end"))
     edge = (
@@ -183,13 +236,28 @@ def occurrence_in_group(
 
 
 def group_runs(
-    df: DataFrame, order: Sequence[str], group: str, first: str, last: str, length: str
+    df: DataFrame,
+    order: Sequence[str],
+    group: str,
+    first: str,
+    last: str,
+    length: str,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Maximal runs of consecutive rows with the same ``group`` value."""
-    positioned = with_position(df.select(*order, group), [F.col(c) for c in order])
-    marked = trailing(positioned, {"_prev": lambda w: F.lag(F.struct(group)).over(w)}, before=1)
+    series = df.select(*order, group)
+    previous = F.lag(F.struct(group))
     starts_run = F.col("_prev").isNull() | ~F.col("_prev")[group].eqNullSafe(F.col(group))
-    runs = running_total(marked, F.when(starts_run, 1).otherwise(0), "_run")
+    start = F.when(starts_run, 1).otherwise(0)
+    if at_most(series, single_task_rows):
+        line = Window.orderBy(*order)
+        marked = series.withColumn("_prev", previous.over(line))
+        so_far = line.rowsBetween(Window.unboundedPreceding, 0)
+        runs = marked.withColumn("_run", F.sum(start).over(so_far))
+    else:
+        positioned = with_position(series, [F.col(c) for c in order])
+        marked = trailing(positioned, {"_prev": previous.over}, before=1)
+        runs = running_total(marked, start, "_run")
     return (
         # a run has one group value; as a key it costs nothing, as a text minimum a sort
         runs.groupBy("_run", group)

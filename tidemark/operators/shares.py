@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.ratios import share_pct
+from tidemark.session import materialised
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:
@@ -16,14 +17,16 @@ def exact_sum(df: DataFrame, column: str) -> Column:
     return F.sum(column)
 
 
-def share_of_total(df: DataFrame, value: str, name: str, digits: int) -> DataFrame:
+def share_of_total(
+    df: DataFrame, value: str, name: str, digits: int, total: Column | None = None
+) -> DataFrame:
     """Each row's value in percent of the column total.
 
-    The total is a scalar subquery: one partial-aggregate pass instead of a
-    window that would pull the table into one task.
+    The total is a scalar subquery, one partial-aggregate pass, instead of a
+    window that would pull the table into one task. Pass it if it is known.
     """
-    total = df.agg(exact_sum(df, value)).scalar()
-    return df.withColumn(name, F.round(share_pct(F.col(value), total), digits))
+    whole = df.agg(exact_sum(df, value)).scalar() if total is None else total
+    return df.withColumn(name, F.round(share_pct(F.col(value), whole), digits))
 
 
 def group_share(
@@ -34,12 +37,17 @@ def group_share(
     digits: int,
     aggregates: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Group sums (row counts when ``value`` is None) and their share of the total."""
+    """Group sums (row counts when ``value`` is None) and their share of the total.
+
+    The total is summed from the group rows, which are materialised so that
+    the table is scanned once.
+    """
     measure = F.count("*").cast("double") if value is None else exact_sum(df, value)
-    grouped = df.groupBy(*keys).agg(
-        measure.alias("_part"), *[c.alias(n) for n, c in (aggregates or {}).items()]
+    grouped = materialised(
+        df.groupBy(*keys).agg(
+            measure.alias("_part"), *[c.alias(n) for n, c in (aggregates or {}).items()]
+        )
     )
-    total = grouped.agg(F.sum("_part")).scalar()
-    return grouped.withColumn(
-        name, F.round(share_pct(F.col("_part"), total), digits)
+    return share_of_total(
+        grouped, "_part", name, digits, grouped.agg(F.sum("_part")).scalar()
     ).drop("_part")

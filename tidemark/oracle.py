@@ -1038,6 +1038,24 @@ _BODIES: dict[str, str] = {
         for h in v.HORIZONS
         for way, op in (("up", ">"), ("down", "<"))
     ),
+    # the same on whole tables
+    "rank_sliced": """select l_orderkey, l_linenumber, l_extendedprice,
+        rank() over (order by l_extendedprice desc) as price_rank from lineitem""",
+    "occurrence_sliced": """select o_orderkey, o_orderstatus, o_custkey,
+        row_number() over (partition by o_orderstatus order by o_orderkey) as nth_in_status
+        from orders""",
+    "runs_sliced": """select o_orderstatus, min(o_orderkey) as first_key,
+        max(o_orderkey) as last_key, count(*) as orders
+        from (
+            select *, row_number() over (order by o_orderkey)
+                - row_number() over (partition by o_orderstatus order by o_orderkey) as island
+            from orders)
+        group by o_orderstatus, island""",
+    "running_total_sliced": """select o_orderkey,
+        cast(sum(o_custkey) over (order by o_orderkey) as bigint) as customers_so_far
+        from orders""",
+    "summary_join_sliced": """select l_orderkey, l_linenumber, l_suppkey,
+        count(*) over (partition by l_suppkey) as rows_of_supplier from lineitem""",
     # reports
     "q_regime": """select regime, regime_score, pct_up_24h, pct_up_7d, pct_up_30d,
         regime_narrative from market_regime""",

@@ -20,9 +20,11 @@ from tidemark.functions.dates import instant
 from tidemark.functions.ratios import share_pct
 from tidemark.functions.scores import contrarian_signal, crossover, scorecard, weighted_score
 from tidemark.operators.latest import with_latest
-from tidemark.operators.ordering import competition_rank, occurrence_in_group
+from tidemark.operators.lookups import at_most
+from tidemark.operators.ordering import SINGLE_TASK_ROWS, attach_rank, occurrence_in_group
 from tidemark.operators.shares import group_share, share_of_total
 from tidemark.operators.topk import top_k_both_ways
+from tidemark.session import materialised
 
 AsOf = Column | dt.datetime | str | None
 
@@ -53,15 +55,33 @@ def tier_summary(assets: DataFrame) -> DataFrame:
 
 
 def market_dominance(assets: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Each asset's share of all capital and its rank, beside its tier's share."""
+    """Each asset's share of all capital and its rank, beside its tier's share.
+
+    The assets are read twice: once reduced to one row per tier and distinct
+    capital, from which total, tiers and ranks follow, and once for the rows.
+    """
     base = assets.select("id", "name", "symbol", "market_cap", "price_tier")
-    shared = share_of_total(base, "market_cap", "dominance_pct", 4)
-    ranked = competition_rank(shared, "market_cap", "rank_by_mcap")
+    sizes = materialised(
+        base.groupBy("price_tier", "market_cap").agg(F.count("*").alias("ties"))
+    ).withColumn("capital", F.col("market_cap").cast("double") * F.col("ties"))
+    total = sizes.agg(F.sum("capital")).scalar()
     # one row per label of the size bands
-    tiers = tier_summary(base).select(
-        "price_tier", "tier_dominance_pct", F.col("coin_count").alias("coins_in_tier")
+    tiers = F.broadcast(
+        share_of_total(
+            sizes.groupBy("price_tier").agg(
+                F.sum("capital").alias("capital"), F.sum("ties").alias("coins_in_tier")
+            ),
+            "capital",
+            "tier_dominance_pct",
+            2,
+            total,
+        ).drop("capital")
     )
-    return ranked.join(F.broadcast(tiers), "price_tier", "left").select(
+    per_value = sizes.groupBy("market_cap").agg(F.sum("ties").alias("ties"))
+    shared = share_of_total(base, "market_cap", "dominance_pct", 4, total)
+    small = at_most(sizes, SINGLE_TASK_ROWS)
+    ranked = attach_rank(shared, per_value, "market_cap", "ties", "rank_by_mcap", small=small)
+    return ranked.join(tiers, "price_tier", "left").select(
         _day(as_of).alias("snapshot_date"),
         "id",
         "name",

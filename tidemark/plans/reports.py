@@ -107,17 +107,20 @@ def contrarian_picks(momentum: DataFrame) -> DataFrame:
 def dominance_by_tier(assets: DataFrame) -> DataFrame:
     """Share per tier, with the largest tier set against all others."""
     largest = v.SIZE_TIERS.labels[0]
+    columns = ["price_tier", "coin_count", "tier_dominance_pct"]
+    tiers = tier_summary(assets)
     side = F.when(F.col("price_tier") == largest, F.lit(largest)).otherwise(F.lit("others"))
-    tiers = tier_summary(assets).select(
-        F.lit("tier").alias("level"), "price_tier", "coin_count", "tier_dominance_pct"
-    )
-    sides = tier_summary(assets.withColumn("price_tier", side)).select(
-        F.lit("largest vs others").alias("level"),
-        "price_tier",
-        "coin_count",
+    sides = group_share(
+        tiers.withColumn("price_tier", side),
+        ["price_tier"],
+        "tier_market_cap",
         "tier_dominance_pct",
+        2,
+        {"coin_count": F.sum("coin_count")},
+    )
+    return tiers.select(F.lit("tier").alias("level"), *columns).unionByName(
+        sides.select(F.lit("largest vs others").alias("level"), *columns)
     )
-    return tiers.unionByName(sides)
 
 
 def freshness(assets: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under :func:`shared_dir` no other run uses."""
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to the shared checkpoint folder.
+
+    For a small aggregate that several parts of a plan read: they would each
+    scan its source again, and a checkpoint outlives a lost executor.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

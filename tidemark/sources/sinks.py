@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import materialised
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
@@ -49,11 +49,10 @@ def merge_latest(
     never overwritten by a plan that still reads it, and the checkpoint holds
     the rows if the overwrite is interrupted.
     """
-    shared_dir(spark)
     sources = [incoming]
     if _exists(spark, path):
         sources = [spark.read.parquet(path), incoming]
-    merged = latest_per_key(sources, keys, newest).checkpoint()
+    merged = materialised(latest_per_key(sources, keys, newest))
     return replace_table(merged, path)
 
 
