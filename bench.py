@@ -66,8 +66,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     def land() -> None:
-        for name in RAW_TABLES:
-            market(spark, sf_dir).stored(name)
+        market(spark, sf_dir).store(*RAW_TABLES)
 
     spark.range(1000).groupBy("id").count().write.format("noop").mode("overwrite").save()
     seconds = {"land_raw": timed(land), "market_regime": timed(lambda: run("market_regime"))}

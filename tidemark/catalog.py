@@ -178,6 +178,7 @@ ALL_TABLES = [*RAW_TABLES, *STAGED, *MARTS]
 
 
 def _stored(m: Market) -> dict[str, DataFrame]:
+    m.store(*ALL_TABLES)
     return {name: m.stored(name) for name in ALL_TABLES}
 
 

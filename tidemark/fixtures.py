@@ -22,6 +22,7 @@ from tidemark.operators import ticks as tk
 from tidemark.operators.ordering import with_position
 from tidemark.plans.refresh import MARTS, STAGED
 from tidemark.session import fresh_path
+from tidemark.sources.sinks import replace_all
 from tidemark.sources.schemas import ASSET_COLUMNS
 
 # The events span 30 days, so the longest horizon looks back 21.
@@ -65,8 +66,11 @@ def raw_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": key.cast("string"),
         "symbol": F.lower(F.concat(F.lit("s"), key.cast("string"))),
         "name": F.concat(F.lit("Asset "), key.cast("string")),
-        "current_price": F.when(key % 29 != 28, F.col("current_price")),
-        "market_cap_rank": F.when(key % 31 != 30, F.col("_idx") + 1),
+        # no quote after two days without a tick, no rank without a trade in the last day
+        "current_price": F.when(
+            F.col("last_at") > now - F.expr("interval 2 days"), F.col("current_price")
+        ),
+        "market_cap_rank": F.when(F.col("_recent").isNotNull(), F.col("_idx") + 1),
         "fully_diluted_valuation": F.col("market_cap") * 2,
         "total_volume": F.col("_recent").cast("double") * scale,
         "price_change_24h": F.col("change_24h"),
@@ -169,7 +173,7 @@ def raw_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string").alias("coin_id"),
         F.concat(F.lit("Asset "), key.cast("string")).alias("name"),
         F.lower(F.concat(F.lit("s"), key.cast("string"))).alias("symbol"),
-        F.when(key % 31 != 30, key + 1).alias("market_cap_rank"),
+        F.when(F.col("score") > 1, key + 1).alias("market_cap_rank"),
         "score",
         day_text(now).alias("snapshot_date"),
         now.alias("ingested_at"),
@@ -197,6 +201,7 @@ class Market:
         self.spark, self.sf_dir = spark, sf_dir
         self._root = fresh_path(spark, "tables")
         self._stored: dict[str, DataFrame] = {}
+        self._storing = threading.RLock()
         # the as-of time of the run: one value, read once
         newest = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
         self.now = instant(newest)
@@ -208,11 +213,31 @@ class Market:
             return STAGED[name](self, self.now)
         return MARTS[name](self, self.now)
 
+    def store(self, *names: str) -> None:
+        """Materialise the tables that are not yet, each layer side by side."""
+        missing = set(names) - set(self._stored)
+        if not missing:
+            return
+        with self._storing:
+            # staged tables and marts are built while several writes run, so
+            # what they read is landed before
+            wanted = missing if missing <= set(RAW_TABLES) else {*missing, *RAW_TABLES}
+            for layer in (RAW_TABLES, STAGED, MARTS):
+                builds = {
+                    name: (lambda name=name: self._build(name))
+                    for name in layer
+                    if name in wanted and name not in self._stored
+                }
+                if builds:
+                    self._stored |= replace_all(builds, self._root)
+
+    def _build(self, name: str) -> DataFrame:
+        if name in RAW_TABLES:
+            return RAW_TABLES[name](self.spark, self.sf_dir)
+        return self[name]
+
     def stored(self, name: str) -> DataFrame:
-        if name not in self._stored:
-            built = RAW_TABLES[name](self.spark, self.sf_dir) if name in RAW_TABLES else self[name]
-            built.write.mode("overwrite").parquet(f"{self._root}/{name}")
-            self._stored[name] = self.spark.read.parquet(f"{self._root}/{name}")
+        self.store(name)
         return self._stored[name]
 
     def ticks(self) -> DataFrame:

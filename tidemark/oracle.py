@@ -103,9 +103,10 @@ TABLES: dict[str, str] = {
         select cast(key as varchar) as id,
             's' || key as symbol,
             'Asset ' || key as name,
-            case when key % 29 <> 28 then cur end as current_price,
+            case when last_at > (select newest from now_at) - interval 2 day then cur end
+                as current_price,
             cap as market_cap,
-            case when key % 31 <> 30
+            case when recent is not null
                 then cast(row_number() over (order by cap desc, key) as bigint) end
                 as market_cap_rank,
             cap * 2 as fully_diluted_valuation,
@@ -164,7 +165,7 @@ TABLES: dict[str, str] = {
     "raw_trending": """
         select cast(user_id as varchar) as coin_id, 'Asset ' || user_id as name,
             's' || user_id as symbol,
-            case when user_id % 31 <> 30 then user_id + 1 end as market_cap_rank,
+            case when score > 1 then user_id + 1 end as market_cap_rank,
             score, strftime((select newest from now_at), '%Y-%m-%d') as snapshot_date,
             (select newest from now_at) as ingested_at
         from (

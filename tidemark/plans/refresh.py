@@ -10,7 +10,7 @@ from tidemark.functions.dates import instant
 from tidemark.operators.quality import require
 from tidemark.plans import marts, staging
 from tidemark.plans.checks import run_checks
-from tidemark.sources.sinks import replace_table
+from tidemark.sources.sinks import replace_all
 
 RAW = ("raw_assets", "raw_sentiment", "raw_global", "raw_trending", "raw_categories")
 
@@ -52,10 +52,10 @@ def refresh(
         STAGED,
         MARTS,
     ):
-        written = {
-            name: replace_table(build({**raw, **tables}, now), f"{target}/{name}")
-            for name, build in layer.items()
-        }
+        known = {**raw, **tables}
+        written = replace_all(
+            {name: (lambda build=build: build(known, now)) for name, build in layer.items()}, target
+        )
         if blocking:
             require(run_checks(written, now))
         tables.update(written)

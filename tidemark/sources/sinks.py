@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,22 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def replace_all(
+    builds: Mapping[str, Callable[[], DataFrame]], target: str, at_once: int = 4
+) -> dict[str, DataFrame]:
+    """Replace independent tables side by side.
+
+    A small table leaves most of a cluster idle while it is written; a few
+    writes at a time fill it. The first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        jobs = {
+            name: pool.submit(lambda name=name, build=build: replace_table(build(), f"{target}/{name}"))
+            for name, build in builds.items()
+        }
+        return {name: job.result() for name, job in jobs.items()}
+
+
 def latest_per_key(
     tables: Sequence[DataFrame], keys: Sequence[str], newest: str
 ) -> DataFrame:
