@@ -137,5 +137,11 @@ def test_no_whole_table_task(skewed):
 
 def test_rows_that_tie_on_the_order_still_split(spark):
     df = spark.range(8_000).withColumn("day", F.lit("2024-01-01"))
-    sizes = o.slice_rows(df, ["day"], 8).groupBy("_slice").count().collect()
-    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2_500
+    sizes = o.slice_rows(df, ["day"]).groupBy("_slice").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4_000
+
+
+def test_slices_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(o, "SLICE_ROWS", 1_000)
+    sliced = o.slice_rows(spark.range(10_000), ["id"], rows=10_000)
+    assert sliced.groupBy("_slice").count().count() == 11

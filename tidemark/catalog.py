@@ -258,7 +258,7 @@ _add(
 
 @_query("regime_label")
 def _regime_label(m: Market) -> DataFrame:
-    """Daily market change, in percent of the regime scale, put into regime bands."""
+    """The daily index stretched over the range of the score, put into regime bands."""
     score = F.round((F.col("value") - 50) * 0.88, 1)
     return m["raw_sentiment"].select(
         "timestamp_date", score.alias("score"), banded(score, v.REGIMES).alias("regime")

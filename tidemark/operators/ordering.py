@@ -7,7 +7,8 @@ it is one small row per slice, so no step sees more than a slice, or the list
 of slices, at once.
 
 Input counted to be at most ``single_task_rows`` long takes a plain window
-instead, which is faster there and gives the same rows.
+instead, which is faster there and gives the same rows. A count sends one number
+per task, and on a stored table reads only file footers.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookups import at_most, join_broadcast, join_per_key
+from tidemark.operators.lookups import join_broadcast, join_per_key
 from tidemark.session import materialised
 
 SINGLE_TASK_ROWS = 200_000
+SLICE_ROWS = 2_000_000
 SLICE, POS, IDX = "_slice", "_pos", "_idx"
 _IN_SLICE_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row in the low 33 bits
 
@@ -29,15 +31,19 @@ def _before(*order: Column | str) -> WindowSpec:
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def slice_rows(df: DataFrame, order: Sequence[Column | str], slices: int | None = None) -> DataFrame:
+def slice_rows(df: DataFrame, order: Sequence[Column | str], rows: int | None = None) -> DataFrame:
     """Add ``_slice`` (rank of the range) and ``_pos`` (row within it, from 0).
 
     The numbering depends on a sampled range split, so it is fixed once by a
     reliable checkpoint: every later read, a retry after a lost executor
-    included, sees the same slices. Rows that tie on ``order`` are told apart
-    by a hash of the whole row, so many of them still split over slices.
+    included, sees the same slices. Rows that tie on ``order`` are told apart by
+    a hash of the whole row, so many of them still split over slices. ``rows``,
+    an upper bound of the row count, keeps slices to about two million rows
+    where the session's shuffle partitions would make them larger.
     """
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None:
+        count = max(count, rows // SLICE_ROWS + 1)
     total_order = [*order, F.xxhash64(*df.columns)]
     return materialised(
         df.repartitionByRange(count, *total_order)
@@ -56,10 +62,10 @@ def _per_slice_before(
 
 
 def with_position(
-    df: DataFrame, order: Sequence[Column | str], slices: int | None = None
+    df: DataFrame, order: Sequence[Column | str], rows: int | None = None
 ) -> DataFrame:
     """Add ``_idx``, the 0-based position of each row in the whole ordering."""
-    sliced = slice_rows(df, order, slices)
+    sliced = slice_rows(df, order, rows)
     starts = _per_slice_before(sliced, {"_n": F.count("*")}, {"_start": F.sum("_n")})
     # one row per slice: bounded by the number of partitions
     return sliced.join(F.broadcast(starts), SLICE).withColumn(
@@ -94,10 +100,11 @@ def series_columns(
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Trailing frames over one unpartitioned series."""
-    if at_most(df, single_task_rows):
+    rows = df.count()
+    if rows <= single_task_rows:
         window = Window.orderBy(*order)
         return df.withColumns({name: build(window) for name, build in columns.items()})
-    return trailing(with_position(df, order), columns, before).drop(SLICE, POS, IDX)
+    return trailing(with_position(df, order, rows), columns, before).drop(SLICE, POS, IDX)
 
 
 def running_total(positioned: DataFrame, value: Column, name: str) -> DataFrame:
@@ -121,9 +128,10 @@ def earlier_max(
     per_key = materialised(
         df.groupBy(order).agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
-    if at_most(per_key, single_task_rows):
+    rows = per_key.count()
+    if rows <= single_task_rows:
         return per_key.withColumn(name, F.max("high").over(_before(order)))
-    sliced = slice_rows(per_key, [F.col(order)])
+    sliced = slice_rows(per_key, [F.col(order)], rows)
     starts = _per_slice_before(sliced, {"_top": F.max("high")}, {"_base": F.max("_top")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     return sliced.join(F.broadcast(starts), SLICE).select(
@@ -136,13 +144,18 @@ def _value_order(value: str, descending: bool) -> Column:
 
 
 def ranks_by_value(
-    counts: DataFrame, value: str, ties: str, name: str, descending: bool = True
+    counts: DataFrame,
+    value: str,
+    ties: str,
+    name: str,
+    descending: bool = True,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rank of each distinct value: 1 + rows with a value strictly ahead.
 
     ``counts`` has one row per value; ``ties`` is how many rows share it.
     """
-    sliced = slice_rows(counts.select(value, ties), [_value_order(value, descending)])
+    sliced = slice_rows(counts.select(value, ties), [_value_order(value, descending)], rows)
     starts = _per_slice_before(sliced, {"_n": F.sum(ties)}, {"_base": F.sum("_n")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce("_base", F.lit(0)) + F.coalesce(F.sum(ties).over(within), F.lit(0))
@@ -157,18 +170,19 @@ def attach_rank(
     value: str,
     ties: str,
     name: str,
+    rows: int,
     descending: bool = True,
-    small: bool = False,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """``rank()`` by ``value``, from the number of rows per value.
 
-    ``small`` states that ``counts`` was found to fit one task.
+    ``counts`` has at most ``rows`` rows.
     """
-    if small:
+    if rows <= single_task_rows:
         ahead = F.sum(ties).over(_before(_value_order(value, descending)))
         rank = (F.lit(1) + F.coalesce(ahead, F.lit(0))).cast("bigint")
         return join_broadcast(df, counts.select(value, rank.alias(name)), value)
-    ranks = materialised(ranks_by_value(counts, value, ties, name, descending))
+    ranks = materialised(ranks_by_value(counts, value, ties, name, descending, rows))
     return join_per_key(df, ranks, value, ties)
 
 
@@ -185,8 +199,8 @@ def competition_rank(
     one row when ordered; the rank then goes back to the rows by value.
     """
     counts = df.groupBy(value).agg(F.count("*").alias("_ties"))
-    small = at_most(df, single_task_rows)  # there are no more values than rows
-    return attach_rank(df, counts, value, "_ties", name, descending, small)
+    rows = df.count()  # there are no more values than rows
+    return attach_rank(df, counts, value, "_ties", name, rows, descending, single_task_rows)
 
 
 def occurrence_in_group(
@@ -202,10 +216,11 @@ def occurrence_in_group(
     in the next ones. Only the first and last group of a slice can be shared
     with a neighbour: at most two rows per slice carry the counts across.
     """
-    if at_most(df, single_task_rows):
+    rows = df.count()
+    if rows <= single_task_rows:
         place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
         return df.withColumn(name, place.cast("bigint"))
-    sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]])
+    sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]], rows)
     ends = sliced.groupBy(SLICE).agg(F.max(POS).alias("_end"))
     edge = (
         sliced.join(F.broadcast(ends), SLICE)
@@ -249,13 +264,14 @@ def group_runs(
     previous = F.lag(F.struct(group))
     starts_run = F.col("_prev").isNull() | ~F.col("_prev")[group].eqNullSafe(F.col(group))
     start = F.when(starts_run, 1).otherwise(0)
-    if at_most(series, single_task_rows):
+    rows = series.count()
+    if rows <= single_task_rows:
         line = Window.orderBy(*order)
         marked = series.withColumn("_prev", previous.over(line))
         so_far = line.rowsBetween(Window.unboundedPreceding, 0)
         runs = marked.withColumn("_run", F.sum(start).over(so_far))
     else:
-        positioned = with_position(series, [F.col(c) for c in order])
+        positioned = with_position(series, [F.col(c) for c in order], rows)
         marked = trailing(positioned, {"_prev": previous.over}, before=1)
         runs = running_total(marked, start, "_run")
     return (

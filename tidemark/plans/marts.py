@@ -20,8 +20,7 @@ from tidemark.functions.dates import instant
 from tidemark.functions.ratios import share_pct
 from tidemark.functions.scores import contrarian_signal, crossover, scorecard, weighted_score
 from tidemark.operators.latest import with_latest
-from tidemark.operators.lookups import at_most
-from tidemark.operators.ordering import SINGLE_TASK_ROWS, attach_rank, occurrence_in_group
+from tidemark.operators.ordering import attach_rank, occurrence_in_group
 from tidemark.operators.shares import group_share, share_of_total
 from tidemark.operators.topk import top_k_both_ways
 from tidemark.session import materialised
@@ -79,8 +78,9 @@ def market_dominance(assets: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
     per_value = sizes.groupBy("market_cap").agg(F.sum("ties").alias("ties"))
     shared = share_of_total(base, "market_cap", "dominance_pct", 4, total)
-    small = at_most(sizes, SINGLE_TASK_ROWS)
-    ranked = attach_rank(shared, per_value, "market_cap", "ties", "rank_by_mcap", small=small)
+    ranked = attach_rank(
+        shared, per_value, "market_cap", "ties", "rank_by_mcap", rows=sizes.count()
+    )
     return ranked.join(tiers, "price_tier", "left").select(
         _day(as_of).alias("snapshot_date"),
         "id",
