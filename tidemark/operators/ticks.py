@@ -137,14 +137,15 @@ def zscore(df: DataFrame, column: str, name: str, digits: int = 4) -> DataFrame:
     return df.withColumn(name, F.round(score, digits))
 
 
-def correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation over the rows where both are present.
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation of two columns over the rows where both are present.
 
     NULL, not an error, where a side does not vary.
     """
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    return F.expr(
+        f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) {both} * stddev_pop({y}) {both}, 0D)"
+    )
 
 
 def correlation_matrix(
@@ -165,21 +166,12 @@ def correlation_matrix(
         .agg(F.first("close"))
     )
     places = range(1, size + 1)
-    closes = [F.col(f"`{p}`") for p in places]
     # each day once per asset: (a, its close, all closes), not once per pair
-    sides = F.array(*[F.struct(F.lit(p).alias("a"), c.alias("x")) for p, c in zip(places, closes)])
-    per_asset = wide.select("*", F.explode(sides).alias("side")).groupBy(
-        F.col("side.a").alias("a")
-    )
-    rows = per_asset.agg(
-        F.array(
-            *[
-                F.struct(F.lit(p).alias("b"), correlation(F.col("side.x"), c).alias("r"))
-                for p, c in zip(places, closes)
-            ]
-        ).alias("cells")
-    )
-    long = rows.select("a", F.explode("cells").alias("c")).select("a", "c.b", "c.r")
+    sides = ", ".join(f"{p}, `{p}`" for p in places)
+    per_asset = wide.selectExpr("*", f"stack({size}, {sides}) AS (a, x)").groupBy("a")
+    rows = per_asset.agg(*[correlation("x", f"`{p}`").alias(f"r{p}") for p in places])
+    cells = ", ".join(f"{p}, r{p}" for p in places)
+    long = rows.selectExpr("a", f"stack({size}, {cells}) AS (b, r)")
     left = chosen.select(F.col(key).alias("asset_a"), F.col("position").alias("a"))
     right = chosen.select(F.col(key).alias("asset_b"), F.col("position").alias("b"))
     return (

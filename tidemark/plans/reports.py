@@ -166,17 +166,14 @@ def sentiment_price_correlation(
     if days is not None:
         newest = daily.agg(F.max("day")).scalar()
         prices = daily.filter(F.col("day") > F.date_sub(newest, days))
-    index = broadcast_if_small(
-        sentiment.select(F.col("timestamp_date").alias("day"), F.col("value").alias("mood"))
-    )
+    mood = F.col("value").cast("double").alias("mood")
+    index = broadcast_if_small(sentiment.select(F.col("timestamp_date").alias("day"), mood))
     return (
         prices.join(index, "day")
         .groupBy(key)
         .agg(
             F.count("*").alias("days"),
-            F.round(ticks.correlation(F.col("mood").cast("double"), F.col("close")), 6).alias(
-                "correlation"
-            ),
+            F.round(ticks.correlation("mood", "close"), 6).alias("correlation"),
         )
     )
 
