@@ -34,9 +34,9 @@ def _before(*order: Column | str) -> WindowSpec:
 def slice_rows(df: DataFrame, order: Sequence[Column | str], rows: int | None = None) -> DataFrame:
     """Add ``_slice`` (rank of the range) and ``_pos`` (row within it, from 0).
 
-    The numbering depends on a sampled range split, so it is fixed once by a
-    reliable checkpoint: every later read, a retry after a lost executor
-    included, sees the same slices. Rows that tie on ``order`` are told apart by
+    The numbering depends on a sampled range split, so it is written once as a
+    table: every later read, a retry after a lost executor included, sees the
+    same slices. Rows that tie on ``order`` are told apart by
     a hash of the whole row, so many of them still split over slices. ``rows``,
     an upper bound of the row count, keeps slices to about two million rows
     where the session's shuffle partitions would make them larger.

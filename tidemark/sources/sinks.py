@@ -62,9 +62,9 @@ def merge_latest(
 ) -> DataFrame:
     """Key merge into a Parquet table.
 
-    The merged rows go to the shared checkpoint folder first, so the table is
-    never overwritten by a plan that still reads it, and the checkpoint holds
-    the rows if the overwrite is interrupted.
+    The merged rows are written to the shared folder first, so the table is
+    never overwritten by a plan that still reads it, and the copy holds the rows
+    if the overwrite is interrupted.
     """
     sources = [incoming]
     if _exists(spark, path):
