@@ -66,14 +66,11 @@ REGIMES = Bands(
     ">=", ((25, "STRONG_BULL"), (10, "BULL"), (-10, "NEUTRAL"), (-25, "BEAR")), "STRONG_BEAR"
 )
 NARRATIVES = {
-    "STRONG_BULL": "Strong bullish momentum across the market. Majority of top coins are "
-    "trending up with positive sentiment.",
-    "BULL": "Moderately bullish conditions. Most indicators point upward but some caution "
-    "warranted.",
-    "NEUTRAL": "Mixed signals. Market is consolidating with no clear directional bias.",
-    "BEAR": "Bearish pressure building. More coins are declining and sentiment is weakening.",
-    "STRONG_BEAR": "Strong bearish conditions. Widespread selling pressure with extreme fear "
-    "in the market.",
+    "STRONG_BULL": "Strong bullish momentum across the market. Majority of top coins are trending up with positive sentiment.",  # noqa: E501
+    "BULL": "Moderately bullish conditions. Most indicators point upward but some caution warranted.",  # noqa: E501
+    "NEUTRAL": "Mixed signals. Market is consolidating with no clear directional bias.",  # noqa: E501
+    "BEAR": "Bearish pressure building. More coins are declining and sentiment is weakening.",  # noqa: E501
+    "STRONG_BEAR": "Strong bearish conditions. Widespread selling pressure with extreme fear in the market.",  # noqa: E501
 }
 
 # --- cutoffs -----------------------------------------------------------------

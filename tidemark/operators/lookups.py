@@ -16,7 +16,8 @@ def at_most(df: DataFrame, limit: int) -> bool:
 
     A count sends one number per task; on a stored table it reads row counts
     from the file footers. (A limit before the count would send up to ``limit``
-    rows per task to a single one.) Call it on stored or materialised tables.
+    rows per task to a single one.) Meant for stored or materialised tables and
+    small aggregates of them.
     """
     return df.count() <= limit
 

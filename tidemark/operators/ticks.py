@@ -157,8 +157,12 @@ def correlation_matrix(
     become one wide row, so a pair is an aggregate over wide rows and the table
     is never joined with itself.
     """
-    # positions are unique, so at most ``size`` rows
-    chosen = F.broadcast(leaders.filter(F.col("position").between(1, size)))
+    # one asset per position: at most ``size`` rows
+    chosen = F.broadcast(
+        leaders.filter(F.col("position").between(1, size))
+        .groupBy("position")
+        .agg(F.min(key).alias(key))
+    )
     wide = (
         daily.join(chosen, key)
         .groupBy("day")

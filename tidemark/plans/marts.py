@@ -20,6 +20,7 @@ from tidemark.functions.dates import instant
 from tidemark.functions.ratios import share_pct
 from tidemark.functions.scores import contrarian_signal, crossover, scorecard, weighted_score
 from tidemark.operators.latest import with_latest
+from tidemark.operators.lookups import broadcast_if_small
 from tidemark.operators.ordering import attach_rank, occurrence_in_group
 from tidemark.operators.shares import group_share, share_of_total
 from tidemark.operators.topk import top_k_both_ways
@@ -64,8 +65,8 @@ def market_dominance(assets: DataFrame, as_of: AsOf = None) -> DataFrame:
         base.groupBy("price_tier", "market_cap").agg(F.count("*").alias("ties"))
     ).withColumn("capital", F.col("market_cap").cast("double") * F.col("ties"))
     total = sizes.agg(F.sum("capital")).scalar()
-    # one row per label of the size bands
-    tiers = F.broadcast(
+    # one row per tier label, a handful unless a caller brings other labels
+    tiers = broadcast_if_small(
         share_of_total(
             sizes.groupBy("price_tier").agg(
                 F.sum("capital").alias("capital"), F.sum("ties").alias("coins_in_tier")
