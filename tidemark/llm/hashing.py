@@ -80,8 +80,17 @@ def _blocks(data: np.ndarray, inside: np.ndarray) -> Iterator[np.ndarray]:
     yield data[start:]
 
 
-def word_hashes(text: str | None, inside: np.ndarray = SPACED, lower: bool = True) -> np.ndarray:
-    """One 64-bit hash per word, in order; A-Z count as a-z if ``lower``."""
+def word_hashes(
+    text: str | None,
+    inside: np.ndarray = SPACED,
+    lower: bool = True,
+    heads: tuple[int, ...] = (),
+) -> np.ndarray:
+    """One 64-bit hash per word, in order; A-Z count as a-z if ``lower``.
+
+    ``heads`` adds, after a block's words, the hashes of the first bytes of those
+    words that are longer than so many bytes.
+    """
     if not text:
         return np.empty(0, dtype=U)
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
@@ -97,6 +106,9 @@ def word_hashes(text: str | None, inside: np.ndarray = SPACED, lower: bool = Tru
         prefix = np.zeros(len(block) + 1, dtype=U)
         np.cumsum(_BYTE[block] * power[: len(block)], out=prefix[1:])
         found.append(mixed((prefix[ends] - prefix[starts]) * inverse[starts]))
+        for n, salt in zip(heads, seeds(len(heads), 43), strict=True):
+            at = starts[ends - starts > n]
+            found.append(mixed((prefix[at + n] - prefix[at]) * inverse[at] + salt))
     return np.concatenate(found) if len(found) > 1 else found[0]
 
 
