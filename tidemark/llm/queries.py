@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import edit_counts, pii, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.cover_tree import near_duplicates as near_vectors
 from tidemark.llm.impact_search import top_k, whole_numbers
@@ -16,10 +17,36 @@ from tidemark.llm.odd_sketch import near_duplicates as near_documents
 from tidemark.llm.sharding import shard_documents
 
 
+#: Vocabulary files; the folder is found by :func:`tokenizer`.
+BYTE_PAIRS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+
+
+def tokenizer(name: str) -> tuple[bytes, str]:
+    """A vocabulary file's bytes, read on the driver, and the pre-token pattern."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
 def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op2_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer(BYTE_PAIRS)
+    counted = edit_counts.count_tokens(table(spark, sf_dir, "documents"), ranks, pattern)
+    after = edit_counts.recount(edit_counts.number_edits(counted), ranks, pattern)
+    return after.select(
+        "doc_id",
+        "n_tokens",
+        F.size("leaf_ends").cast("long").alias("n_leaves"),
+        F.size("edits").cast("long").alias("n_edits"),
+        "n_tokens_after",
+        "chars_encoded",
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_repeats=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,6 +57,12 @@ def op4_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    flagged = toxicity.flag(documents, labels, threshold=0.3)
+    return flagged.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
@@ -42,6 +75,16 @@ def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [
+        F.regexp_count("spans", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    digest = F.sha2(F.col("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, "spans")
+
+
 def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_documents(table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -50,8 +93,8 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_cover_tree, op3_mixing, op4_impact_search, op6_line_dedup, op7_histogram_sort,
-        op9_odd_sketch,
+        op1_cover_tree, op2_edit_counts, op3_mixing, op4_impact_search, op5_toxicity,
+        op6_line_dedup, op7_histogram_sort, op8_semi_markov, op9_odd_sketch,
     )
 }
 
