@@ -14,6 +14,7 @@ from tidemark.llm.impact_search import top_k, whole_numbers
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
 from tidemark.llm.odd_sketch import near_duplicates as near_documents
+from tidemark.llm.segment_sampling import sample_segmentations
 from tidemark.llm.sharding import shard_documents
 
 
@@ -90,11 +91,17 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_gumbel_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = tokenizer(PIECES)
+    return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_cover_tree, op2_edit_counts, op3_mixing, op4_impact_search, op5_toxicity,
         op6_line_dedup, op7_histogram_sort, op8_semi_markov, op9_odd_sketch,
+        op10_gumbel_segments,
     )
 }
 
