@@ -19,8 +19,8 @@ from tidemark.session import materialised
 
 #: Bits of the key that each round of probes resolves.
 ROUND_BITS = 12
-#: Rows of a shard that one task numbers, roughly.
-SLICE_ROWS = 100_000
+#: Rows that are numbered as one slice, at most, and least slices of the whole, roughly.
+SLICE_ROWS, SLICES = 100_000, 2048
 _TOP = 2**63
 
 
@@ -149,11 +149,12 @@ def shard_documents(docs: DataFrame, shards: int = 24, tolerance: float = 0.02)
     )
     placed = keys.withColumn("shard", _shard(find_splitters(keys, shards, tolerance)))
     placed = placed.withColumn("bin", F.shiftright("text_hash", 64 - ROUND_BITS))
+    slice_rows = min(SLICE_ROWS, max(1, keys.count() // SLICES))
     parts = materialised(
         placed.groupBy("shard", "bin")
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
-            "shard", "bin", F.ceil(F.col("rows") / SLICE_ROWS).cast("long").alias("parts")
+            "shard", "bin", F.ceil(F.col("rows") / slice_rows).cast("long").alias("parts")
         )
     )
     placed = placed.join(F.broadcast(parts), ["shard", "bin"]).withColumn(
