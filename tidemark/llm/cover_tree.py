@@ -23,7 +23,7 @@ from tidemark.llm.graph import components
 from tidemark.session import materialised
 
 #: Vectors in a block, roughly, and the most pivots taken.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 MOST_PIVOTS = 256
 #: Slack of every bound, far above the rounding of a distance, below what matters.
 SLACK = 1e-6
@@ -31,6 +31,8 @@ SLACK = 1e-6
 COARSE_SLACK = np.float32(1e-4)
 #: Children pairs of two nodes from which their distances are a matrix product.
 WIDE = 1024
+#: Rows held against the centres of a cover at a time.
+STRIP = 512
 #: Node pairs whose distance is computed at a time.
 CHUNK = 1 << 16
 
@@ -72,7 +74,7 @@ class CoverTree:
                 reach /= 2
                 if reach < 1e-7:
                     break
-            groups = _net(unit, rows, far, reach / 2)
+            groups = _net(unit, rows, reach / 2)
             stack += [(g, reach / 2, node) for g in reversed(groups)]
         self.unit = unit[self.order]
         self.lo_, self.hi_ = np.array(self.lo, dtype=np.int64), np.array(self.hi, dtype=np.int64)
@@ -84,17 +86,42 @@ def _distances(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
-def _net(unit: np.ndarray, rows: np.ndarray, far: np.ndarray, reach: float) -> list[np.ndarray]:
-    """Greedy cover: each centre takes the rows within ``reach`` that none has taken."""
-    groups = []
-    while len(rows):
-        near = far <= reach
-        near[0] = True
-        groups.append(rows[near])
-        rows = rows[~near]
-        if len(rows):
-            far = _distances(unit[rows], unit[rows[0]])
-    return groups
+def _net(unit: np.ndarray, rows: np.ndarray, reach: float) -> list[np.ndarray]:
+    """Greedy cover of ``rows``: groups around centres, each led by its centre.
+
+    A row within ``reach`` of a centre joins it, any other becomes one. Rows come in
+    strips, held against all centres by one matrix product. Which centre a row
+    joins is of no matter: a node's radius is measured from what it got.
+    """
+    kind = np.float32 if reach > 0.01 else np.float64
+    points, near = unit[rows].astype(kind), 1 - reach * reach / 2
+    centres = np.empty_like(points)
+    found: list[int] = []
+    label = np.empty(len(rows), dtype=np.int64)
+    for start in range(0, len(rows), STRIP):
+        strip = points[start : start + STRIP]
+        free = np.ones(len(strip), dtype=bool)
+        if found:
+            products = strip @ centres[: len(found)].T
+            best = products.argmax(axis=1)
+            free = products[np.arange(len(strip)), best] < near
+            label[start : start + len(strip)] = best
+        at = np.flatnonzero(free)
+        among = strip[at] @ strip[at].T >= near
+        alone = np.ones(len(at), dtype=bool)
+        for i in range(len(at)):
+            if alone[i]:
+                takes = among[i] & alone
+                takes[i] = True
+                label[start + at[takes]] = len(found)
+                centres[len(found)] = strip[at[i]]
+                found.append(start + int(at[i]))
+                alone &= ~takes
+    lead = np.ones(len(rows), dtype=np.int8)
+    lead[found] = 0
+    order = np.lexsort((lead, label))
+    cuts = np.flatnonzero(np.diff(label[order])) + 1
+    return [rows[g] for g in np.split(order, cuts)]
 
 
 def _pack(members: list[tuple[int, int]], tree: CoverTree) -> bytes:
@@ -180,9 +207,7 @@ class Walk:
         wide = kids_a * kids_b >= WIDE
         out = inner
         for x, y in zip(na[wide], nb[wide], strict=True):
-            out += self._crossed(
-                a.kids[a.starts[x] : a.starts[x + 1]], b.kids[b.starts[y] : b.starts[y + 1]]
-            )
+            out += self._crossed(self._frontier(a, x), self._frontier(b, y))
         na, nb, kids_a, kids_b = na[~wide], nb[~wide], kids_a[~wide], kids_b[~wide]
         open_a = (kids_a > 0) & ((kids_b == 0) | (a.radius[na] >= b.radius[nb]))
         if open_a.any():
@@ -212,9 +237,23 @@ class Walk:
                 i, j = np.triu_indices(hi - lo, 1)
                 self._exact(lo + i, lo + j)
             else:
+                kids = self._frontier(a, x)
                 out += [(kids, kids), *self._crossed(kids, kids)]
         return out
 
+    def _frontier(self, block: Block, node: int) -> np.ndarray:
+        """The nodes under ``node`` that are no wider than the threshold, or have no children.
+
+        Bounds of wider nodes hardly drop anything, so these are opened first.
+        """
+        done, nodes = [], np.array([node])
+        while len(nodes):
+            counts = block.starts[nodes + 1] - block.starts[nodes]
+            narrow = (counts == 0) | ((block.radius[nodes] <= self.reach / 2) & (nodes != node))
+            done.append(nodes[narrow])
+            nodes, _ = _opened(block, nodes[~narrow])
+        return np.concatenate(done)
+
     def _crossed(
         self, kids_a: np.ndarray, kids_b: np.ndarray
     ) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -228,16 +267,27 @@ class Walk:
         left, right = (
             x.unit[x.lo[k]].astype(np.float32) for x, k in ((a, kids_a), (b, kids_b))
         )
-        radius_a, radius_b = (
-            x.radius[k].astype(np.float32) for x, k in ((a, kids_a), (b, kids_b))
-        )
+        radius_a, radius_b = a.radius[kids_a], b.radius[kids_b]
+        wide_a, wide_b = np.flatnonzero(radius_a), np.flatnonzero(radius_b)
+
+        def least(x: np.ndarray | float, y: np.ndarray | float) -> np.ndarray:
+            """Least product of two centres whose nodes, of these radii, may hold a link."""
+            return np.float32(1 - COARSE_SLACK) - ((self.reach + x + y) ** 2 / 2).astype(np.float32)
+
+        single = least(np.zeros(1), 0.0)[0]
         strip = max(1, (1 << 21) // len(kids_b))
         for start in range(0, len(kids_a), strip):
-            part = slice(start, start + strip)
+            end = min(len(kids_a), start + strip)
             since = start if kids_a is kids_b else 0
-            least = (1 - COARSE_SLACK) - left[part] @ right[since:].T  # half a squared distance
-            limit = radius_a[part, None] + (radius_b[since:] + np.float32(self.reach))
-            i, j = np.nonzero(least <= limit * limit / 2)
+            products = left[start:end] @ right[since:].T
+            hit = products >= single
+            rows = wide_a[(wide_a >= start) & (wide_a < end)] - start
+            hit[rows] = products[rows] >= least(radius_a[start + rows, None], radius_b[None, since:])
+            cols = wide_b[wide_b >= since] - since
+            hit[:, cols] = products[:, cols] >= least(
+                radius_a[start:end, None], radius_b[None, since + cols]
+            )
+            i, j = np.divmod(np.flatnonzero(hit), hit.shape[1])
             if kids_a is kids_b:
                 i, j = i[j > i], j[j > i]
             out.append((kids_a[start + i], kids_b[since + j]))
