@@ -19,6 +19,8 @@ from tidemark.session import materialised
 _SPACES = " \t\n\x0b\x0c\r"
 #: Bits of one word's share in a variant's hash: sums of 2**22 words fit a long.
 _SHARE = (1 << 40) - 1
+#: What a key stands for: a line with one word replaced, one word less, or as it is.
+REPLACED, SHORTENED, WHOLE = range(3)
 
 
 def _words(line: Column) -> Column:
@@ -67,14 +69,17 @@ def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of the lines in ``wanted`` (at, h1, h2), read from their documents."""
+    """(id, h1, h2, words) of the lines in ``wanted`` (at, h1, h2), read from their documents.
+
+    Ids follow the order of ``at``: the earlier line has the smaller one.
+    """
     per_doc = materialised(
         wanted.groupBy(F.col("at.rid").alias("rid")).agg(
             F.collect_list(F.struct("at", "h1", "h2")).alias("picks")
         )
     )
     lines = F.split("text", "\n", -1)
-    return (
+    found = (
         docs.select(row_key().alias("rid"), "text")
         .join(small_or_shuffled(per_doc, 256), "rid")
         .select(F.explode(F.transform("picks", lambda p: F.struct(
@@ -84,6 +89,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         .select("x.at", "x.h1", "x.h2", _words(F.col("x.chars")).alias("words"))
         .dropDuplicates(["h1", "h2"])
     )
+    # numbered along a range sort and stored, so the numbers are in order and fixed
+    return materialised(
+        found.orderBy("at", "h1", "h2")
+        .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "words")
+    )
 
 
 def _variants(texts: DataFrame) -> DataFrame:
@@ -96,36 +106,34 @@ def _variants(texts: DataFrame) -> DataFrame:
     in that one place; keys without join a shortened line to a whole one.
     """
     words = texts.select(
-        "at", "h1", "h2", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")
+        "id", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")
     ).select(
-        "at", "h1", "h2", "n", "i",
+        "id", "n", "i",
         F.xxhash64("word", "i").bitwiseAND(F.lit(_SHARE)).alias("here"),
         F.xxhash64("word", F.col("i") - 1).bitwiseAND(F.lit(_SHARE)).alias("moved"),
     )
-    line = Window.partitionBy("h1", "h2")
+    line = Window.partitionBy("id")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = words.select(
-        "at", "h1", "h2", "n", "i",
+        "id", "n", "i",
         (F.sum("here").over(upto) - F.col("here")).alias("before"),
-        F.sum("moved").over(after).alias("moved_upto"),
-        F.sum("moved").over(line).alias("moved_all"),
+        (F.sum("moved").over(line) - F.sum("moved").over(upto)).alias("after"),
         F.sum("here").over(line).alias("whole"),
     )
-    rest = F.col("before") + F.col("moved_all") - F.col("moved_upto")
-    emitted = F.array(
-        F.struct(F.xxhash64("n", "i", rest).alias("key"), F.lit(0).alias("role")),
-        F.struct(
-            F.xxhash64(F.col("n") - 1, F.lit(-1), rest).alias("key"), F.lit(1).alias("role")
-        ),
-    )
-    whole = F.array(
-        F.struct(F.xxhash64("n", F.lit(-1), "whole").alias("key"), F.lit(2).alias("role"))
+    rest = F.col("before") + F.col("after")
+
+    def emitted(role: int, *parts) -> Column:
+        return F.struct(F.xxhash64(*parts).alias("key"), F.lit(role).cast("byte").alias("role"))
+
+    nowhere = F.lit(-1)
+    per_word = F.array(
+        emitted(REPLACED, F.col("n"), F.col("i"), rest),
+        emitted(SHORTENED, F.col("n") - 1, nowhere, rest),
     )
+    per_line = F.array(emitted(WHOLE, F.col("n"), nowhere, F.col("whole")))
     return summed.select(
-        "at", "h1", "h2",
-        F.explode(F.when(F.col("i") == 0, F.concat(emitted, whole)).otherwise(emitted)).alias("e"),
-    ).select(F.struct("at", "h1", "h2").alias("id"), "e.key", "e.role")
+        "id", F.explode(F.when(F.col("i") == 0, F.concat(per_word, per_line)).otherwise(per_word)).alias("e")
+    ).select("id", "e.key", "e.role")
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -154,32 +162,35 @@ def _near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     )
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
     wanted = halves.join(shared, "half").select("at", "h1", "h2").distinct()
-    texts = materialised(_texts(docs, wanted))
+    texts = _texts(docs, wanted)
     variants = _variants(texts)
+
+    def first(role: int) -> Column:
+        return F.min(F.when(F.col("role") == role, F.col("id")))
+
     earliest = variants.groupBy("key").agg(
         F.count(F.lit(1)).alias("c"),
-        F.min(F.when(F.col("role") == 0, F.col("id"))).alias("replaced"),
-        F.min(F.when(F.col("role") == 1, F.col("id"))).alias("shortened"),
-        F.min(F.when(F.col("role") == 2, F.col("id"))).alias("whole"),
+        first(REPLACED).alias("replaced"),
+        first(SHORTENED).alias("shortened"),
+        first(WHOLE).alias("whole"),
     ).where("c > 1")
     witness = (
-        F.when(F.col("role") == 0, F.col("replaced"))
-        .when(F.col("role") == 1, F.col("whole"))
+        F.when(F.col("role") == REPLACED, F.col("replaced"))
+        .when(F.col("role") == SHORTENED, F.col("whole"))
         .otherwise(F.col("shortened"))
     )
     found = (
         variants.join(earliest, "key")
         .select("id", witness.alias("witness"))
-        .where("witness.at < id.at")
+        .where("witness < id")
         .distinct()
     )
-    mine = texts.select(F.struct("at", "h1", "h2").alias("id"), F.col("words").alias("a"))
-    other = texts.select(F.struct("at", "h1", "h2").alias("witness"), F.col("words").alias("b"))
+    other = texts.select(F.col("id").alias("witness"), F.col("words").alias("other"))
     return (
-        found.join(mine, "id")
+        found.join(texts, "id")
         .join(other, "witness")
-        .where(_within_one_edit(F.col("a"), F.col("b")))
-        .select("id.h1", "id.h2")
+        .where(_within_one_edit(F.col("words"), F.col("other")))
+        .select("h1", "h2")
         .distinct()
     )
 
