@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, mixing, odd_sketch, segment_sampling, toxicity
 from tidemark.llm.common import table
@@ -25,7 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document or line has; emptied ones go."""
-    return line_dedup.without_repeated_lines(docs)
+    shorter = line_dedup.without_repeated_lines(docs)
+    return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

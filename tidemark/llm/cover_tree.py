@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_or_shuffled
+from tidemark.llm.common import small_or_shuffled, smallest_hashes
 from tidemark.llm.graph import components
 from tidemark.session import materialised
 
@@ -385,9 +385,7 @@ def _blocks(classes: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
     wanted = max(1, min(MOST_PIVOTS, n // block_rows))
     chosen = [
         (r["dims"], np.array(r["embedding"], dtype=np.float64))
-        for r in classes.orderBy("h1", "h2")
-        .limit(wanted)
-        .select("dims", "embedding")
+        for r in smallest_hashes(classes.select("h1", "h2", "dims", "embedding"), "h1", wanted)
         .collect()
     ]
     pivots = [(d, v / np.linalg.norm(v / np.abs(v).max()) / np.abs(v).max()) for d, v in chosen]

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_like
+from tidemark.llm.common import column_like, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -338,14 +338,10 @@ def train(docs: DataFrame) -> SegmentModel:
     smallest; of their regions up to SAMPLE_CHARS long, those with base spans come
     first, SAMPLE_REGIONS in all. Only those regions come to the driver.
     """
-    picked = (
-        docs.select("text")
-        .where(F.col("text").rlike("[0-9@]"))
-        .withColumn("h", F.xxhash64("text"))
-        .orderBy("h", "text")
-        .limit(SAMPLE_DOCS)
-        .select("text", "h")
+    eligible = docs.select("text", F.xxhash64("text").alias("h")).where(
+        F.col("text").rlike("[0-9@]")
     )
+    picked = smallest_hashes(eligible, "h", SAMPLE_DOCS)
 
     def regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.llm.common import column_like
+from tidemark.llm.common import column_like, smallest_hashes
 from tidemark.llm.hashing import byte_class, word_hashes
 
 #: Buckets are 2**BUCKET_BITS; factor vectors have FACTORS entries.
@@ -170,14 +170,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     bucket sets come to the driver. An id with several labels counts as toxic if
     one of them says so.
     """
-    picked = (
+    labelled = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_DOCS)
+        .withColumn("h", F.xxhash64("doc_id"))
     )
+    picked = smallest_hashes(labelled, "h", SAMPLE_DOCS).drop("h")
 
     def bucketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
