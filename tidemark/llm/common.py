@@ -11,6 +11,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Most bytes of rows that may be broadcast.
 BROADCAST_BYTES = 64 * 2**20
 
+#: Rows in a batch of whole texts that goes to Python.
+BATCH_ROWS = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +28,17 @@ def small_or_shuffled(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Sends texts to Python a few hundred at a time, unless the session sends fewer.
+
+    Spark's default of 10,000 rows is meant for short ones: of whole documents it
+    makes batches of tens or hundreds of megabytes, on both sides of the pipe.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting, "10000")) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def keyed(column: Column) -> Column:
     """The value as a string that is never NULL and tells NULL from every value."""
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))

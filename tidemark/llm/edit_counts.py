@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_like
+from tidemark.llm.common import column_like, lean_batches
 
 #: Characters after which a leaf ends at the next cut.
 LEAF = 512
@@ -149,6 +149,7 @@ def count_tokens(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     The two arrays are the stored form of the tree. NULL and empty texts have no
     leaves and 0 tokens.
     """
+    lean_batches(docs.sparkSession)
     n, ends, counts = (
         column_like(c, docs.columns) for c in ("n_tokens", "leaf_ends", "leaf_tokens")
     )
@@ -181,6 +182,7 @@ def recount(counted: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     Ranges of one text are disjoint. A text without edits, or NULL edits, keeps
     its count and encodes nothing; a NULL text counts as empty.
     """
+    lean_batches(counted.sparkSession)
 
     @F.pandas_udf("tokens long, encoded long")
     def updated(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.llm.common import column_like, keyed, small_or_shuffled
+from tidemark.llm.common import column_like, keyed, lean_batches, small_or_shuffled, smallest_hashes
 from tidemark.llm.graph import components
 from tidemark.llm.hashing import U, mixed, seeds, shingle_set, word_hashes
 from tidemark.session import materialised
@@ -33,6 +33,8 @@ BITS = 512
 SPREAD = 6.0
 #: Documents under one key above which they are joined by rare shingles instead.
 FEW = 48
+#: Sets of a crowd that tell which shingles are common in it, and most such shingles.
+SAMPLE_SETS, MOST_COMMON = 400, 100_000
 
 _FACTORS = seeds(SAMPLES, 101) | U(1)
 _TERMS = seeds(SAMPLES, 211)
@@ -170,28 +172,55 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) ->
 def _rare_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidates among the classes of crowded keys: all that can reach the similarity.
 
-    Shingles are ordered from the rarest on. Two sets at the similarity share one
-    of the first (1 - similarity) of each, and where the first shared one stands
-    bounds how much of both is left to share. So what a crowd has in common, a
-    passage or a template, makes no candidates: it stands too far back in the sets
-    that differ elsewhere.
+    Shingles are in one fixed order, those that are common in the crowd last. Two
+    sets at the similarity share one of the first (1 - similarity) of each, and
+    where the first shared one stands bounds how much of both is left to share. So
+    what a crowd has in common, a passage or a template, makes no candidates: it
+    stands too far back in the sets that differ elsewhere. Any order gives all
+    pairs; how common a shingle is comes from a bounded sample of the crowd.
     """
-    shingles = sets.join(crowd, "class_id").select(
-        "class_id", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
+    held = materialised(sets.join(crowd, "class_id"))
+    sample = smallest_hashes(
+        held.select("shingles", F.xxhash64("class_id").alias("h")), "h", SAMPLE_SETS
     )
-    shingles = materialised(shingles)
-    often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    ranked = (
-        shingles.join(often, "shingle")
-        .groupBy("class_id", "root", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("in_order"))
+    often = (
+        sample.select(F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("often"))
+        .where("often > 1")
+        .orderBy(F.col("often").desc(), "shingle")
+        .limit(MOST_COMMON)
+        .orderBy("shingle")
+        .collect()
+    )
+    common = np.array([r["shingle"] for r in often], dtype=np.int64)
+    counts = np.array([r["often"] for r in often], dtype=np.int64)
+
+    def fronts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = []
+            for class_id, root, shingles in zip(
+                batch["class_id"], batch["root"], batch["shingles"], strict=True
+            ):
+                weight = np.zeros(len(shingles), dtype=np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+                    weight = np.where(common[at] == shingles, counts[at], 0)
+                n = len(shingles)
+                front = n - -(-n * percent // 100) + 1
+                first = np.lexsort((shingles, weight))[:front]
+                parts.append(pd.DataFrame({
+                    "class_id": class_id, "root": root, "n": n, "place": np.arange(len(first)),
+                    "shingle": shingles[first],
+                }))
+            if parts:
+                yield pd.concat(parts)
+
+    early = materialised(
+        held.select("class_id", "root", "shingles").mapInPandas(
+            fronts, "class_id long, root long, n long, place long, shingle long"
+        )
     )
-    front = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    early = ranked.select(
-        "class_id", "root", "n",
-        F.posexplode(F.slice("in_order", F.lit(1), front.cast("int"))).alias("place", "s"),
-    ).where("s.often > 1").select("class_id", "root", "n", "place", F.col("s.shingle").alias("shingle"))
-    early = materialised(early)
     mixed_keys = (
         early.groupBy("shingle")
         .agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
@@ -246,6 +275,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     other: then component_id is NULL and kept true. Rows that share an id are
     linked by their texts alone. An empty table gives no rows.
     """
+    lean_batches(docs.sparkSession)
     named = docs.select("doc_id", "text", F.xxhash64(keyed(F.col("text"))).alias("text_hash"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     signed = materialised(

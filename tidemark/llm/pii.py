@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_like, smallest_hashes
+from tidemark.llm.common import column_like, lean_batches, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -408,6 +408,7 @@ def find_pii(docs: DataFrame, model: SegmentModel | None = None) -> DataFrame:
     and both columns are empty strings. Names that clash with columns of ``docs``
     get an underscore.
     """
+    lean_batches(docs.sparkSession)
     trained = model or train(docs)
 
     @F.pandas_udf("base string, every string")

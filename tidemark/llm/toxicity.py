@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.llm.common import column_like, smallest_hashes
+from tidemark.llm.common import column_like, lean_batches, smallest_hashes
 from tidemark.llm.hashing import byte_class, word_hashes
 
 #: Buckets are 2**BUCKET_BITS; factor vectors have FACTORS entries.
@@ -170,6 +170,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     bucket sets come to the driver. An id with several labels counts as toxic if
     one of them says so.
     """
+    lean_batches(docs.sparkSession)
     labelled = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .where(~held_out(F.col("doc_id")))
@@ -208,6 +209,7 @@ def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     NULL, empty and blank texts hold no bucket and get the machine's bias. Equal
     texts get equal scores.
     """
+    lean_batches(docs.sparkSession)
 
     @F.pandas_udf(DoubleType())
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
