@@ -79,7 +79,7 @@ class CountedText:
     """A text with the tree of its leaf counts, open to edits."""
 
     def __init__(self, text: str, ends: list[int], counts: list[int], count: Count) -> None:
-        starts = [0, *ends[:-1]]
+        starts = [0, *ends][: len(ends)]
         self.leaves = [text[a:b] for a, b in zip(starts, ends, strict=True)]
         self.starts = np.array(starts, dtype=np.int64)
         self.tree, self.count, self.encoded = SumTree(counts), count, 0
