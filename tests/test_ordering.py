@@ -145,3 +145,31 @@ def test_slices_stay_small(spark, monkeypatch):
     monkeypatch.setattr(o, "SLICE_ROWS", 1_000)
     sliced = o.slice_rows(spark.range(10_000), ["id"], rows=10_000)
     assert sliced.groupBy("_slice").count().count() == 11
+
+
+def test_ties_fall_alike_on_both_paths(spark):
+    rows = [(i % 3, "ab"[i % 2], float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "day int, kind string, value double")
+
+    def mean(window):
+        return F.avg("value").over(window.rowsBetween(-3, 0))
+
+    plain, sliced = (
+        o.series_columns(df, ["day"], {"m": mean}, 3, bound) for bound in (1000, 0)
+    )
+    assert same(plain, sliced)
+    plain, sliced = (
+        o.occurrence_in_group(df, "kind", ["day"], "n", bound) for bound in (1000, 0)
+    )
+    assert same(plain, sliced)
+    plain, sliced = (
+        o.group_runs(df, ["day"], "kind", "first", "last", "length", bound)
+        for bound in (1000, 0)
+    )
+    assert same(plain, sliced)
+
+
+def test_null_is_no_place_in_an_order(spark):
+    df = spark.createDataFrame([(None, 9), (1, 1), (2, 2)], "day int, at int")
+    rows_ = o.earlier_max(df, "day", F.col("at"), "top").collect()
+    assert {r["day"]: r["top"] for r in rows_} == {1: None, 2: 1}

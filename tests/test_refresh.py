@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 import pytest
 
@@ -117,4 +118,4 @@ def test_shared_folder_comes_from_the_session():
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session_module.shared_dir(_Session("yarn"))
-    assert session_module.shared_dir(_Session("local[2]")).startswith("/tmp/")
+    assert session_module.shared_dir(_Session("local[2]")).startswith(tempfile.gettempdir())

@@ -164,3 +164,11 @@ def test_incremental_ingest_takes_each_file_once(spark, folder):
     keyed(spark, ("a", 2, "new")).write.mode("append").json(landing)
     assert run() == [("a", 2, "new"), ("b", 1, "one")]
     assert run() == [("a", 2, "new"), ("b", 1, "one")]
+
+
+def test_a_response_without_data_stops_the_run(spark, folder):
+    path = folder("failed")
+    spark.createDataFrame([('{"status": {"error": "rate limit"}}',)], "value string").write.text(path)
+    for read in (readers.read_sentiment, readers.read_global):
+        with pytest.raises(Exception, match="response without 'data'"):
+            read(spark, path).collect()

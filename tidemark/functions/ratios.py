@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def default_nulls(df: DataFrame, columns: Iterable[str], default: float = 0.0) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in columns})
+    """NULL as the default, in the column's own type."""
+    kinds = {c: df.schema[c].dataType for c in columns}
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(default).cast(kind)) for c, kind in kinds.items()}
+    )
 
 
 def safe_ratio(

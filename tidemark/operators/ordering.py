@@ -7,7 +7,8 @@ it is one small row per slice, so no step sees more than a slice, or the list
 of slices, at once.
 
 Input counted to be at most ``single_task_rows`` long takes a plain window
-instead, which is faster there and gives the same rows. A count sends one number
+instead, which is faster there and gives the same rows: both orders end with a
+hash of the whole row, so ties fall alike on either path. A count sends one number
 per task, and on a stored table reads only file footers.
 """
 
@@ -27,6 +28,11 @@ SLICE, POS, IDX = "_slice", "_pos", "_idx"
 _IN_SLICE_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row in the low 33 bits
 
 
+def _total(order: Sequence[Column | str], columns: Sequence[str]) -> list[Column | str]:
+    """The ordering with ties told apart by a hash of the whole row."""
+    return [*order, F.xxhash64(*columns)]
+
+
 def _before(*order: Column | str) -> WindowSpec:
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -44,7 +50,7 @@ def slice_rows(df: DataFrame, order: Sequence[Column | str], rows: int | None =
     count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rows is not None:
         count = max(count, rows // SLICE_ROWS + 1)
-    total_order = [*order, F.xxhash64(*df.columns)]
+    total_order = _total(order, df.columns)
     return materialised(
         df.repartitionByRange(count, *total_order)
         .sortWithinPartitions(*total_order)
@@ -102,7 +108,7 @@ def series_columns(
     """Trailing frames over one unpartitioned series."""
     rows = df.count()
     if rows <= single_task_rows:
-        window = Window.orderBy(*order)
+        window = Window.orderBy(*_total(order, df.columns))
         return df.withColumns({name: build(window) for name, build in columns.items()})
     return trailing(with_position(df, order, rows), columns, before).drop(SLICE, POS, IDX)
 
@@ -123,10 +129,13 @@ def earlier_max(
 ) -> DataFrame:
     """Per distinct ``order`` value, the maximum of ``value`` over all smaller ones.
 
-    Returns one row per ``order`` with its own ``low`` and ``high`` as well.
+    Returns one row per ``order`` with its own ``low`` and ``high`` as well. NULL is
+    no place in an order: rows without one are left out.
     """
     per_key = materialised(
-        df.groupBy(order).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+        df.filter(F.col(order).isNotNull())
+        .groupBy(order)
+        .agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
     rows = per_key.count()
     if rows <= single_task_rows:
@@ -218,7 +227,7 @@ def occurrence_in_group(
     """
     rows = df.count()
     if rows <= single_task_rows:
-        place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+        place = F.row_number().over(Window.partitionBy(group).orderBy(*_total(order, df.columns)))
         return df.withColumn(name, place.cast("bigint"))
     sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]], rows)
     ends = sliced.groupBy(SLICE).agg(F.max(POS).alias("_end"))
@@ -266,7 +275,7 @@ def group_runs(
     start = F.when(starts_run, 1).otherwise(0)
     rows = series.count()
     if rows <= single_task_rows:
-        line = Window.orderBy(*order)
+        line = Window.orderBy(*_total(order, series.columns))
         marked = series.withColumn("_prev", previous.over(line))
         so_far = line.rowsBetween(Window.unboundedPreceding, 0)
         runs = marked.withColumn("_run", F.sum(start).over(so_far))

@@ -153,16 +153,21 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pairwise correlation of the daily closes of the leading assets.
 
-    ``leaders`` has the columns (id, position 1..size). The closes of one day
-    become one wide row, so a pair is an aggregate over wide rows and the table
-    is never joined with itself.
+    ``leaders`` has the columns (id, position 1..size); of assets that tie on the
+    last places, those with the smaller ids take part. The closes of one day become
+    one wide row, so a pair is an aggregate over wide rows and the table is never
+    joined with itself.
     """
-    # one asset per position: at most ``size`` rows
-    chosen = F.broadcast(
+    # at most ``size`` rows, numbered anew as positions may tie
+    first = (
         leaders.filter(F.col("position").between(1, size))
-        .groupBy("position")
-        .agg(F.min(key).alias(key))
+        .select(key, "position")
+        .distinct()
+        .orderBy("position", key)
+        .limit(size)
     )
+    place = F.row_number().over(Window.orderBy("position", key))
+    chosen = F.broadcast(first.withColumn("position", place))
     wide = (
         daily.join(chosen, key)
         .groupBy("day")

@@ -44,12 +44,18 @@ def read_assets(
     return df.select(*columns, instant(as_of).alias("ingested_at"))
 
 
+def _required(df: DataFrame, name: str) -> Column:
+    """The field; a response without it, such as an error, stops the run."""
+    problem = F.raise_error(F.lit(f"response without '{name}'")).cast(df.schema[name].dataType)
+    return F.when(F.col(name).isNull(), problem).otherwise(F.col(name))
+
+
 def read_sentiment(
     spark: SparkSession, path: str, as_of: AsOf = None, multiline: bool = False
 ) -> DataFrame:
     """``{"data": [{value, value_classification, timestamp}]}``; numbers come as text."""
     df = _json(spark, path, schemas.SENTIMENT_DOCUMENT, multiline)
-    return df.select(F.explode("data").alias("d")).select(
+    return df.select(F.explode(_required(df, "data")).alias("d")).select(
         F.col("d.value").cast("bigint").alias("value"),
         F.col("d.value_classification").alias("value_classification"),
         utc_day(F.col("d.timestamp").cast("bigint")).alias("timestamp_date"),
@@ -69,7 +75,8 @@ def read_global(
     spark: SparkSession, path: str, as_of: AsOf = None, multiline: bool = False
 ) -> DataFrame:
     """Nested per-currency maps flattened to one row per response."""
-    df = _json(spark, path, schemas.GLOBAL_DOCUMENT, multiline).select("data.*")
+    df = _json(spark, path, schemas.GLOBAL_DOCUMENT, multiline)
+    df = df.select(_required(df, "data").alias("data")).select("data.*")
     stamp = instant(as_of)
     return df.select(
         _entry("total_market_cap", "usd").alias("total_market_cap_usd"),
