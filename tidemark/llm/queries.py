@@ -105,4 +105,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_VECTORS = """
+vectors as (
+    select vec_id, list_transform(embedding, lambda x: {component}) as e
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)"""
+
+#: SQL twins of the operators whose result SQL can say in a page.
+ORACLE: dict[str, str] = {
+    "op1_cover_tree": f"""
+with recursive {_VECTORS.format(component="x::double")},
+links as (
+    select a.vec_id as a, b.vec_id as b
+    from vectors a join vectors b on a.vec_id <> b.vec_id
+    where list_sum(list_transform(a.e, lambda x: x * x)) > 0
+      and list_sum(list_transform(b.e, lambda x: x * x)) > 0
+      and list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reached as (
+    select a, b from links
+    union
+    select r.a, l.b from reached r join links l on l.a = r.b
+)
+select e.vec_id,
+    (select count(*) from links l where l.a = e.vec_id) as n_links,
+    coalesce((select least(min(r.b), e.vec_id) from reached r where r.a = e.vec_id), e.vec_id)
+        as component_id,
+    coalesce((select min(r.b) >= e.vec_id from reached r where r.a = e.vec_id), true) as kept
+from embeddings e""",
+    "op3_mixing": r"""
+with sized as (
+    select doc_id, source, md5(concat_ws('|', doc_id::varchar, text)) as key,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+    from documents
+),
+sources as (
+    select source, sum(size)::bigint as source_size,
+        (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+    from sized group by source
+),
+levels as (
+    select *, source_size * 3 as cap,
+        row_number() over filling as place,
+        (sum(source_size) over () - coalesce(sum(source_size * 3) over (
+            filling rows between unbounded preceding and 1 preceding), 0))::double
+        / sum(weight) over (filling rows between current row and unbounded following) as level
+    from sources
+    window filling as (order by source_size * 3 / weight::double, source nulls last)
+),
+targets as (
+    select source, source_size, least(cap::double, weight * (
+        select arg_min(level, place) from levels where level <= cap / weight::double)) as target
+    from levels
+),
+placed as (
+    select s.doc_id, s.size, t.source_size, t.target,
+        floor(t.target + 0.5)::bigint as budget,
+        coalesce(sum(s.size) over (partition by s.source order by s.key, s.doc_id
+            rows between unbounded preceding and 1 preceding), 0)::bigint as earlier
+    from sized s join targets t on s.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+    (case when source_size = 0 then 0 else budget // source_size * size
+        + greatest(0, least(size, budget % source_size - earlier)) end)::bigint as taken
+from placed""",
+    "op4_impact_search": f"""
+with {_VECTORS.format(component="floor(256 * x::double)::bigint")},
+scored as (
+    select q.vec_id as query_id, v.vec_id,
+        list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2]))::bigint as score
+    from vectors q join vectors v on q.vec_id <> v.vec_id
+    where q.vec_id % 50 = 0
+)
+select query_id,
+    row_number() over (partition by query_id order by score desc, vec_id)::integer as rank,
+    vec_id, score
+from scored
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
+}
