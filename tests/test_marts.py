@@ -82,10 +82,10 @@ def test_price_filter_reaches_the_scan(market):
     assert read == "struct<id:string,current_price:double,market_cap:double>"
 
 
-@pytest.mark.parametrize("single_task_rows", [1000, 3])
-def test_sentiment_means_start_partial(spark, single_task_rows):
+@pytest.mark.parametrize("slice_size", [1000, 3])
+def test_sentiment_means_start_partial(spark, slice_size):
     df = staging.stage_sentiment(
-        sentiment(spark, *range(10, 26)), single_task_rows=single_task_rows
+        sentiment(spark, *range(10, 26)), slice_size=slice_size
     ).orderBy("timestamp_date")
     out = df.collect()
     assert [r.ma_7d for r in out[:3]] == [10.0, 10.5, 11.0]

@@ -34,15 +34,15 @@ def test_position(skewed):
     assert same(got, naive.withColumn("_idx", F.col("_idx").cast("long")))
 
 
-# plain window, and the scalable form
-BOTH = pytest.mark.parametrize("single_task_rows", [100_000, 10])
+# one slice, and many
+BOTH = pytest.mark.parametrize("size", [100_000, 2_000])
 
 
 @BOTH
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_with_ties_and_nulls(skewed, descending, single_task_rows):
+def test_rank_with_ties_and_nulls(skewed, descending, size):
     order = F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last()
-    got = o.competition_rank(skewed, "x", "r", descending, single_task_rows)
+    got = o.competition_rank(skewed, "x", "r", descending, size)
     naive = skewed.withColumn("r", F.rank().over(Window.orderBy(order)).cast("long"))
     assert same(got, naive)
 
@@ -62,13 +62,13 @@ def test_trailing_across_many_blocks(skewed):
 def test_series_forms_agree(skewed):
     columns = {"mean": lambda w: F.avg("x").over(w.rowsBetween(-6, 0))}
     small = o.series_columns(skewed, ["id"], columns, 6)
-    large = o.series_columns(skewed, ["id"], columns, 6, single_task_rows=100)
+    large = o.series_columns(skewed, ["id"], columns, 6, size=1_500)
     assert same(small, large)
 
 
 @BOTH
-def test_occurrence_in_hot_group(skewed, single_task_rows):
-    got = o.occurrence_in_group(skewed, "g", ["id"], "n", single_task_rows)
+def test_occurrence_in_hot_group(skewed, size):
+    got = o.occurrence_in_group(skewed, "g", ["id"], "n", size)
     naive = skewed.withColumn(
         "n", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("long")
     )
@@ -82,18 +82,18 @@ def test_running_total(skewed):
 
 
 @BOTH
-def test_earlier_max(skewed, single_task_rows):
+def test_earlier_max(skewed, size):
     keyed = skewed.withColumn("k", (F.col("id") / 10).cast("int"))
-    got = o.earlier_max(keyed, "k", F.col("x"), "m", single_task_rows)
+    got = o.earlier_max(keyed, "k", F.col("x"), "m", size)
     per = keyed.groupBy("k").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     before = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     assert same(got, per.withColumn("m", F.max("high").over(before)))
 
 
-@pytest.mark.parametrize("single_task_rows", [100, 1])
-def test_runs_by_hand(spark, single_task_rows):
+@pytest.mark.parametrize("size", [100, 1, 3])
+def test_runs_by_hand(spark, size):
     df = spark.createDataFrame(list(enumerate("aabbbacc")), "t int, z string")
-    runs = o.group_runs(df, ["t"], "z", "first", "last", "n", single_task_rows)
+    runs = o.group_runs(df, ["t"], "z", "first", "last", "n", size)
     got = rows(runs, "z", "first", "last", "n")
     assert got == [("a", 0, 1, 2), ("a", 5, 5, 1), ("b", 2, 4, 3), ("c", 6, 7, 2)]
 
@@ -119,7 +119,7 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "t int, z int")
     assert o.with_position(df, ["t"]).count() == 0
     lag = {"l": lambda w: F.lag("z").over(w)}
-    for limit in (10, -1):
+    for limit in (10, 1):
         assert o.competition_rank(df, "z", "r", True, limit).count() == 0
         assert o.occurrence_in_group(df, "z", ["t"], "n", limit).count() == 0
         assert o.group_runs(df, ["t"], "z", "a", "b", "n", limit).count() == 0
@@ -137,17 +137,22 @@ def test_no_whole_table_task(skewed):
 
 def test_rows_that_tie_on_the_order_still_split(spark):
     df = spark.range(8_000).withColumn("day", F.lit("2024-01-01"))
-    sizes = o.slice_rows(df, ["day"]).groupBy("_slice").count().collect()
+    sizes = o.slice_rows(df, ["day"], 2_500).groupBy("_slice").count().collect()
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4_000
 
 
-def test_slices_stay_small(spark, monkeypatch):
-    monkeypatch.setattr(o, "SLICE_ROWS", 1_000)
-    sliced = o.slice_rows(spark.range(10_000), ["id"], rows=10_000)
+def test_equal_rows_split_too(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") > 4_999, -1).otherwise(F.col("id")).alias("x"))
+    sizes = o.slice_rows(df, ["x"], 5_001).groupBy("_slice").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 10_000
+
+
+def test_slices_stay_small(spark):
+    sliced = o.slice_rows(spark.range(10_000), ["id"], 1_000)
     assert sliced.groupBy("_slice").count().count() == 11
 
 
-def test_ties_fall_alike_on_both_paths(spark):
+def test_ties_fall_alike_for_any_number_of_slices(spark):
     rows = [(i % 3, "ab"[i % 2], float(i)) for i in range(40)]
     df = spark.createDataFrame(rows, "day int, kind string, value double")
 
@@ -155,16 +160,16 @@ def test_ties_fall_alike_on_both_paths(spark):
         return F.avg("value").over(window.rowsBetween(-3, 0))
 
     plain, sliced = (
-        o.series_columns(df, ["day"], {"m": mean}, 3, bound) for bound in (1000, 0)
+        o.series_columns(df, ["day"], {"m": mean}, 3, bound) for bound in (1000, 7)
     )
     assert same(plain, sliced)
     plain, sliced = (
-        o.occurrence_in_group(df, "kind", ["day"], "n", bound) for bound in (1000, 0)
+        o.occurrence_in_group(df, "kind", ["day"], "n", bound) for bound in (1000, 7)
     )
     assert same(plain, sliced)
     plain, sliced = (
         o.group_runs(df, ["day"], "kind", "first", "last", "length", bound)
-        for bound in (1000, 0)
+        for bound in (1000, 7)
     )
     assert same(plain, sliced)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows
 from tidemark.sources import readers, schemas, sinks
+from tidemark.files import names
 from tidemark.streaming.ingest import incremental_ingest
 
 AS_OF = "2024-02-01 10:00:00"
@@ -115,7 +116,51 @@ def test_merge_keeps_the_newest_and_is_idempotent(spark, folder):
     for batch in (first, second, second):
         sinks.merge_latest(spark, path, batch, ["id"], "at")
     expected = [("a", 2, "new"), ("b", 5, "kept"), ("c", 1, "added")]
-    assert rows(spark.read.parquet(path)) == expected
+    assert rows(sinks.read_merged(spark, path)) == expected
+
+
+def test_interrupted_merge_leaves_the_table(spark, folder):
+    path = folder()
+    sinks.merge_latest(spark, path, keyed(spark, ("a", 1, "old"), ("b", 1, "kept")), ["id"], "at")
+
+    def broken(text):
+        problem = F.raise_error(F.lit("lost")).cast("string")
+        return keyed(spark, ("a", 2, text)).withColumn("x", F.when(F.col("at") > 1, problem))
+
+    with pytest.raises(Exception, match="lost"):
+        sinks.merge_latest(spark, path, broken("new"), ["id"], "at")
+    assert rows(sinks.read_merged(spark, path)) == [("a", 1, "old"), ("b", 1, "kept")]
+    # a write that ended before its marker
+    unfinished = f"{path}/version=0000000009"
+    keyed(spark, ("a", 9, "torn")).withColumn("bucket_of_64", F.lit(1)).write.partitionBy(
+        "bucket_of_64"
+    ).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(unfinished)
+    assert rows(sinks.read_merged(spark, path)) == [("a", 1, "old"), ("b", 1, "kept")]
+    sinks.merge_latest(spark, path, keyed(spark, ("a", 2, "new")), ["id"], "at")
+    assert rows(sinks.read_merged(spark, path)) == [("a", 2, "new"), ("b", 1, "kept")]
+
+
+def test_merge_writes_only_the_buckets_it_touches(spark, folder):
+    path = folder()
+    many = spark.range(200).select(
+        F.col("id").cast("string").alias("id"), F.lit(1).alias("at"), F.lit("old").alias("x")
+    )
+    sinks.merge_latest(spark, path, many, ["id"], "at", buckets=8)
+    sinks.merge_latest(spark, path, keyed(spark, ("7", 2, "new")), ["id"], "at")
+    table = sinks.read_merged(spark, path)
+    assert table.count() == 200 and table.filter("x = 'new'").count() == 1
+    written = [n for n in names(spark, f"{path}/version=0000000002") if n != "_SUCCESS"]
+    assert len(written) == 1
+    assert len(names(spark, f"{path}/version=0000000001")) == 9
+    empty = keyed(spark, ("z", 1, "-")).limit(0)
+    assert sinks.merge_latest(spark, path, empty, ["id"], "at").count() == 200
+    assert len(names(spark, f"{path}/version=0000000001")) == 8
+
+
+def test_replace_may_read_what_it_replaces(spark, folder):
+    path = folder()
+    table = sinks.replace_table(keyed(spark, ("a", 1, "x"), ("b", 2, "y")), path)
+    assert rows(sinks.replace_table(table.filter("at = 2"), path)) == [("b", 2, "y")]
 
 
 def test_merge_prefers_the_incoming_row_on_a_tie(spark):
@@ -144,6 +189,13 @@ def test_append_retention_and_backfill(spark, folder):
     again = dated(spark, (10, "2024-01-01"), (20, "2024-01-02"), (30, "2024-01-03"))
     sinks.backfill(again, path, "snapshot_date", "2024-01-02", "2024-01-02")
     assert rows(spark.read.parquet(path), "id") == [(1,), (20,), (3,)]
+    # a day that recomputes to nothing goes, a repeated snapshot stays single
+    sinks.backfill(again.filter("id = 10"), path, "snapshot_date", "2024-01-01", "2024-01-02")
+    sinks.append_snapshot(dated(spark, (3, "2024-01-03")), path)
+    assert rows(spark.read.parquet(path), "id") == [(10,), (3,)]
+    sinks.drop_expired(spark, path, "snapshot_date", 2, F.lit("2024-01-03").cast("date"))
+    assert names(spark, path)[-1:] == ["snapshot_date=2024-01-03"]
+    assert rows(spark.read.parquet(path), "id") == [(3,)]
 
 
 def test_row_counts(spark):
@@ -157,7 +209,7 @@ def test_incremental_ingest_takes_each_file_once(spark, folder):
 
     def run():
         incremental_ingest(spark, landing, schema, target, progress, ["id"], "at")
-        return rows(spark.read.parquet(target))
+        return rows(sinks.read_merged(spark, target))
 
     keyed(spark, ("a", 1, "old"), ("b", 1, "one")).write.mode("append").json(landing)
     assert run() == [("a", 1, "old"), ("b", 1, "one")]

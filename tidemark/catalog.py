@@ -171,7 +171,7 @@ def _incremental(m: Market) -> DataFrame:
     for part in _halves(_daily(m)):
         part.write.mode("append").json(landing)
         incremental_ingest(m.spark, landing, schema, target, progress, ["id"], "day")
-    return m.spark.read.parquet(target)
+    return sinks.read_merged(m.spark, target)
 
 
 ALL_TABLES = [*RAW_TABLES, *STAGED, *MARTS]
@@ -451,7 +451,7 @@ def _moving_average(m: Market) -> DataFrame:
         ["o_orderkey", "o_custkey"],
         {"ma_7": staging.moving_mean("o_custkey", 7), "ma_14": staging.moving_mean("o_custkey", 14)},
         before=13,
-        single_task_rows=10_000,
+        size=10_000,
     )
 
 
@@ -501,14 +501,14 @@ _add(
         table(m.spark, m.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
         "l_extendedprice",
         "price_rank",
-        single_task_rows=1000,
+        size=1000,
     ),
 )
 _add(
     "occurrence_sliced",
     # three statuses hold all orders
     lambda m: ordering.occurrence_in_group(
-        _orders(m), "o_orderstatus", ["o_orderkey"], "nth_in_status", single_task_rows=1000
+        _orders(m), "o_orderstatus", ["o_orderkey"], "nth_in_status", size=1000
     ),
 )
 _add(

@@ -51,9 +51,8 @@ def join_per_key(
     ``per_key`` is read several times and should be a stored or materialised
     table; ``weight`` is the number of detail rows of a key. A table counted
     small is broadcast whole. Otherwise keys with more than 1/``hot_keys`` of
-    all rows, of which there are fewer than ``hot_keys``, are broadcast and only
-    the others are shuffled. A hot row takes a salt no shuffled key has, so its
-    rows spread over all tasks of that shuffle.
+    all rows, of which there are fewer than ``hot_keys``, are broadcast and their
+    rows stay where they are; only the others are shuffled.
     """
     payload = [c for c in per_key.columns if c not in (key, weight)]
     if at_most(per_key, broadcast_rows):
@@ -62,17 +61,17 @@ def join_per_key(
     total = per_key.agg(F.sum(weight)).scalar()
     table = per_key.withColumn("_hot", F.col(weight) * F.lit(hot_keys) > total)
     hot = table.filter("_hot").select(F.col(key).alias("_hk"), values.alias("_hv"))
-    cold = table.filter("NOT _hot").select(
-        F.col(key).alias("_ck"), F.lit(0).alias("_cs"), values.alias("_cv")
-    )
-    salt = F.when(F.col("_hv").isNull(), F.lit(0)).otherwise(
-        F.lit(1) + F.pmod(F.xxhash64(*detail.columns), F.lit(997)).cast("int")
-    )
+    cold = table.filter("NOT _hot").select(F.col(key).alias("_ck"), values.alias("_cv"))
     is_hot = F.col(key).eqNullSafe(F.col("_hk"))
-    marked = detail.join(F.broadcast(hot), is_hot, "left").withColumn("_salt", salt)
-    same = F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_salt") == F.col("_cs"))
-    joined = marked.join(cold, same, "left").withColumn("_v", F.coalesce("_hv", "_cv"))
-    return joined.select(*detail.columns, *[F.col("_v")[c].alias(c) for c in payload])
+    marked = detail.join(F.broadcast(hot), is_hot, "left")
+    own = [F.col(c) for c in detail.columns]
+    found = marked.filter("_hv IS NOT NULL").select(*own, F.col("_hv").alias("_v"))
+    others = (
+        marked.filter("_hv IS NULL")
+        .join(cold, F.col(key).eqNullSafe(F.col("_ck")), "left")
+        .select(*own, F.col("_cv").alias("_v"))
+    )
+    return found.unionAll(others).select(*own, *[F.col("_v")[c].alias(c) for c in payload])
 
 
 def join_group_summary(

@@ -4,12 +4,11 @@ A window with no partition key sends every row to one task. Here the table is
 range-partitioned on the ordering instead. Each range is a *slice*: a run of
 consecutive rows that one task holds. What a slice needs from the slices before
 it is one small row per slice, so no step sees more than a slice, or the list
-of slices, at once.
+of slices, at once. The plan is one for all sizes: a small table is one slice of it.
 
-Input counted to be at most ``single_task_rows`` long takes a plain window
-instead, which is faster there and gives the same rows: both orders end with a
-hash of the whole row, so ties fall alike on either path. A count sends one number
-per task, and on a stored table reads only file footers.
+Rows that tie on the given order follow a hash of the whole row, so results do not
+depend on the number of slices. Rows equal in every column are told apart by a
+number stored with them before the split, so that any of them can be cut.
 """
 
 from __future__ import annotations
@@ -19,41 +18,35 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookups import join_broadcast, join_per_key
+from tidemark.operators.lookups import join_per_key
 from tidemark.session import materialised
 
-SINGLE_TASK_ROWS = 200_000
 SLICE_ROWS = 2_000_000
-SLICE, POS, IDX = "_slice", "_pos", "_idx"
+SLICE, POS, IDX, _COPY = "_slice", "_pos", "_idx", "_copy"
 _IN_SLICE_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row in the low 33 bits
 
 
-def _total(order: Sequence[Column | str], columns: Sequence[str]) -> list[Column | str]:
-    """The ordering with ties told apart by a hash of the whole row."""
-    return [*order, F.xxhash64(*columns)]
-
-
 def _before(*order: Column | str) -> WindowSpec:
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def slice_rows(df: DataFrame, order: Sequence[Column | str], rows: int | None = None) -> DataFrame:
+def slice_rows(
+    df: DataFrame, order: Sequence[Column | str], size: int = SLICE_ROWS
+) -> DataFrame:
     """Add ``_slice`` (rank of the range) and ``_pos`` (row within it, from 0).
 
-    The numbering depends on a sampled range split, so it is written once as a
-    table: every later read, a retry after a lost executor included, sees the
-    same slices. Rows that tie on ``order`` are told apart by
-    a hash of the whole row, so many of them still split over slices. ``rows``,
-    an upper bound of the row count, keeps slices to about two million rows
-    where the session's shuffle partitions would make them larger.
+    The rows are stored first, each with a number of its own: the count then comes
+    from file footers, the range sample reads the stored table, and a task that is
+    run again sees the same numbers. The numbering of the slices depends on a
+    sampled split, so it is stored as well: every later read, a retry after a lost
+    executor included, sees the same slices. A slice has about ``size`` rows.
     """
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if rows is not None:
-        count = max(count, rows // SLICE_ROWS + 1)
-    total_order = _total(order, df.columns)
+    stored = materialised(df.withColumn(_COPY, F.monotonically_increasing_id()))
+    total_order = [*order, F.xxhash64(*df.columns), F.col(_COPY)]
     return materialised(
-        df.repartitionByRange(count, *total_order)
+        stored.repartitionByRange(stored.count() // size + 1, *total_order)
         .sortWithinPartitions(*total_order)
+        .drop(_COPY)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_SLICE_BITS)))
     )
@@ -68,12 +61,12 @@ def _per_slice_before(
 
 
 def with_position(
-    df: DataFrame, order: Sequence[Column | str], rows: int | None = None
+    df: DataFrame, order: Sequence[Column | str], size: int = SLICE_ROWS
 ) -> DataFrame:
     """Add ``_idx``, the 0-based position of each row in the whole ordering."""
-    sliced = slice_rows(df, order, rows)
+    sliced = slice_rows(df, order, size)
     starts = _per_slice_before(sliced, {"_n": F.count("*")}, {"_start": F.sum("_n")})
-    # one row per slice: bounded by the number of partitions
+    # one row per slice
     return sliced.join(F.broadcast(starts), SLICE).withColumn(
         IDX, F.coalesce("_start", F.lit(0)) + F.col(POS)
     ).drop("_start")
@@ -103,14 +96,10 @@ def series_columns(
     order: Sequence[Column | str],
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     before: int,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    size: int = SLICE_ROWS,
 ) -> DataFrame:
     """Trailing frames over one unpartitioned series."""
-    rows = df.count()
-    if rows <= single_task_rows:
-        window = Window.orderBy(*_total(order, df.columns))
-        return df.withColumns({name: build(window) for name, build in columns.items()})
-    return trailing(with_position(df, order, rows), columns, before).drop(SLICE, POS, IDX)
+    return trailing(with_position(df, order, size), columns, before).drop(SLICE, POS, IDX)
 
 
 def running_total(positioned: DataFrame, value: Column, name: str) -> DataFrame:
@@ -125,22 +114,19 @@ def running_total(positioned: DataFrame, value: Column, name: str) -> DataFrame:
 
 
 def earlier_max(
-    df: DataFrame, order: str, value: Column, name: str, single_task_rows: int = SINGLE_TASK_ROWS
+    df: DataFrame, order: str, value: Column, name: str, size: int = SLICE_ROWS
 ) -> DataFrame:
     """Per distinct ``order`` value, the maximum of ``value`` over all smaller ones.
 
     Returns one row per ``order`` with its own ``low`` and ``high`` as well. NULL is
     no place in an order: rows without one are left out.
     """
-    per_key = materialised(
+    per_key = (
         df.filter(F.col(order).isNotNull())
         .groupBy(order)
         .agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
-    rows = per_key.count()
-    if rows <= single_task_rows:
-        return per_key.withColumn(name, F.max("high").over(_before(order)))
-    sliced = slice_rows(per_key, [F.col(order)], rows)
+    sliced = slice_rows(per_key, [F.col(order)], size)
     starts = _per_slice_before(sliced, {"_top": F.max("high")}, {"_base": F.max("_top")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     return sliced.join(F.broadcast(starts), SLICE).select(
@@ -158,13 +144,13 @@ def ranks_by_value(
     ties: str,
     name: str,
     descending: bool = True,
-    rows: int | None = None,
+    size: int = SLICE_ROWS,
 ) -> DataFrame:
     """Rank of each distinct value: 1 + rows with a value strictly ahead.
 
     ``counts`` has one row per value; ``ties`` is how many rows share it.
     """
-    sliced = slice_rows(counts.select(value, ties), [_value_order(value, descending)], rows)
+    sliced = slice_rows(counts.select(value, ties), [_value_order(value, descending)], size)
     starts = _per_slice_before(sliced, {"_n": F.sum(ties)}, {"_base": F.sum("_n")})
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce("_base", F.lit(0)) + F.coalesce(F.sum(ties).over(within), F.lit(0))
@@ -179,28 +165,16 @@ def attach_rank(
     value: str,
     ties: str,
     name: str,
-    rows: int,
     descending: bool = True,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    size: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``rank()`` by ``value``, from the number of rows per value.
-
-    ``counts`` has at most ``rows`` rows.
-    """
-    if rows <= single_task_rows:
-        ahead = F.sum(ties).over(_before(_value_order(value, descending)))
-        rank = (F.lit(1) + F.coalesce(ahead, F.lit(0))).cast("bigint")
-        return join_broadcast(df, counts.select(value, rank.alias(name)), value)
-    ranks = materialised(ranks_by_value(counts, value, ties, name, descending, rows))
+    """``rank()`` by ``value``, from the number of rows per value."""
+    ranks = materialised(ranks_by_value(counts, value, ties, name, descending, size))
     return join_per_key(df, ranks, value, ties)
 
 
 def competition_rank(
-    df: DataFrame,
-    value: str,
-    name: str,
-    descending: bool = True,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, value: str, name: str, descending: bool = True, size: int = SLICE_ROWS
 ) -> DataFrame:
     """``rank()`` over the whole table: ties share a rank.
 
@@ -208,8 +182,7 @@ def competition_rank(
     one row when ordered; the rank then goes back to the rows by value.
     """
     counts = df.groupBy(value).agg(F.count("*").alias("_ties"))
-    rows = df.count()  # there are no more values than rows
-    return attach_rank(df, counts, value, "_ties", name, rows, descending, single_task_rows)
+    return attach_rank(df, counts, value, "_ties", name, descending, size)
 
 
 def occurrence_in_group(
@@ -217,7 +190,7 @@ def occurrence_in_group(
     group: str,
     order: Sequence[str],
     name: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    size: int = SLICE_ROWS,
 ) -> DataFrame:
     """``row_number()`` per group for groups of any size.
 
@@ -225,11 +198,7 @@ def occurrence_in_group(
     in the next ones. Only the first and last group of a slice can be shared
     with a neighbour: at most two rows per slice carry the counts across.
     """
-    rows = df.count()
-    if rows <= single_task_rows:
-        place = F.row_number().over(Window.partitionBy(group).orderBy(*_total(order, df.columns)))
-        return df.withColumn(name, place.cast("bigint"))
-    sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]], rows)
+    sliced = slice_rows(df, [F.col(group), *[F.col(c) for c in order]], size)
     ends = sliced.groupBy(SLICE).agg(F.max(POS).alias("_end"))
     edge = (
         sliced.join(F.broadcast(ends), SLICE)
@@ -266,30 +235,47 @@ def group_runs(
     first: str,
     last: str,
     length: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    size: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Maximal runs of consecutive rows with the same ``group`` value."""
-    series = df.select(*order, group)
-    previous = F.lag(F.struct(group))
-    starts_run = F.col("_prev").isNull() | ~F.col("_prev")[group].eqNullSafe(F.col(group))
-    start = F.when(starts_run, 1).otherwise(0)
-    rows = series.count()
-    if rows <= single_task_rows:
-        line = Window.orderBy(*_total(order, series.columns))
-        marked = series.withColumn("_prev", previous.over(line))
-        so_far = line.rowsBetween(Window.unboundedPreceding, 0)
-        runs = marked.withColumn("_run", F.sum(start).over(so_far))
-    else:
-        positioned = with_position(series, [F.col(c) for c in order], rows)
-        marked = trailing(positioned, {"_prev": previous.over}, before=1)
-        runs = running_total(marked, start, "_run")
-    return (
+    """Maximal runs of consecutive rows with the same ``group`` value.
+
+    The last value of each slice stands in for the row before the next one, so a
+    single window over the slice finds the starts and their running number. Runs
+    are reduced inside the slice; only the first of a slice continues an earlier
+    one, and a run number counts all starts up to it.
+    """
+    sliced = slice_rows(df.select(*order, group), [F.col(c) for c in order], size)
+    value = F.struct(group)
+    # one row per slice; no slice between two filled ones is missing from the order
+    ends = sliced.groupBy(SLICE).agg(F.max_by(value, POS).alias("_last"))
+    edges = ends.select(SLICE, F.lag("_last").over(Window.orderBy(SLICE)).alias("_edge"))
+    within = Window.partitionBy(SLICE).orderBy(POS)
+    previous = F.coalesce(F.lag(value).over(within), F.col("_edge"))
+    starts = F.when(
+        F.col("_prev").isNull() | ~F.col("_prev")[group].eqNullSafe(F.col(group)), 1
+    ).otherwise(0)
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    in_slice = (
+        sliced.join(F.broadcast(edges), SLICE)
+        .withColumn("_prev", previous)
+        .withColumn("_start", starts)
+        .withColumn("_run", F.sum("_start").over(so_far))
         # a run has one group value; as a key it costs nothing, as a text minimum a sort
-        runs.groupBy("_run", group)
+        .groupBy(SLICE, "_run", group)
         .agg(
             F.min(order[0]).alias(first),
             F.max(order[0]).alias(last),
             F.count("*").alias(length),
         )
+    )
+    pieces = materialised(in_slice)
+    bases = _per_slice_before(pieces, {"_n": F.max("_run")}, {"_base": F.sum("_n")})
+    return (
+        pieces.join(F.broadcast(bases), SLICE)
+        .withColumn("_run", F.coalesce("_base", F.lit(0)) + F.col("_run"))
+        .groupBy("_run", group)
+        .agg(
+            F.min(first).alias(first), F.max(last).alias(last), F.sum(length).alias(length)
+        )
         .drop("_run")
     )

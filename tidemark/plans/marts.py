@@ -79,9 +79,7 @@ def market_dominance(assets: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
     per_value = sizes.groupBy("market_cap").agg(F.sum("ties").alias("ties"))
     shared = share_of_total(base, "market_cap", "dominance_pct", 4, total)
-    ranked = attach_rank(
-        shared, per_value, "market_cap", "ties", "rank_by_mcap", rows=sizes.count()
-    )
+    ranked = attach_rank(shared, per_value, "market_cap", "ties", "rank_by_mcap")
     return ranked.join(tiers, "price_tier", "left").select(
         _day(as_of).alias("snapshot_date"),
         "id",

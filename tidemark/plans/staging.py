@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as v
 from tidemark.functions.bands import Bands, banded
 from tidemark.functions.ratios import default_nulls, remainder_pct, safe_ratio
-from tidemark.operators.ordering import series_columns
+from tidemark.operators.ordering import SLICE_ROWS, series_columns
 
 # raw name -> staged name, in output order; the second group may be NULL
 _DEFAULTED = {
@@ -90,7 +90,7 @@ def stage_sentiment(
     short: int = v.SHORT_MEAN,
     long: int = v.LONG_MEAN,
     zones: Bands = v.SENTIMENT_ZONES,
-    single_task_rows: int = 200_000,
+    slice_size: int = SLICE_ROWS,
 ) -> DataFrame:
     """Daily index with trailing means, day change and zone."""
     columns = {
@@ -99,7 +99,7 @@ def stage_sentiment(
         "daily_change": step_change("value"),
     }
     order = [F.col(c) for c in ("timestamp_date", "ingested_at", "value", "value_classification")]
-    smoothed = series_columns(raw, order, columns, max(short, long) - 1, single_task_rows)
+    smoothed = series_columns(raw, order, columns, max(short, long) - 1, slice_size)
     return smoothed.select(
         "timestamp_date",
         "value",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import files
+
 
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator here is written for.
@@ -40,16 +44,34 @@ def shared_dir(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+            own = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            context.setCheckpointDir(own)
         configured = context.getCheckpointDir()
     elif context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+_released_at_exit: set[str] = set()
+
+
+def _session_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of the session; frames that read them end with it."""
+    files.remove(files.folder(spark, _session_root(spark)))
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under :func:`shared_dir` no other run uses."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A path under :func:`shared_dir` no other run uses, removed when the driver exits."""
+    root = _session_root(spark)
+    if root not in _released_at_exit:
+        _released_at_exit.add(root)
+        atexit.register(files.remove, files.folder(spark, root), quiet=True)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame) -> DataFrame:

@@ -9,12 +9,19 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialised
+from tidemark import files
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Full replace of a Parquet table; returns the table as written."""
-    df.write.mode("overwrite").parquet(path)
+    """Full replace of a Parquet table; returns the table as written.
+
+    The rows are written whole beside the table and then take its place, so a failed
+    write leaves the old table, and ``df`` may read it.
+    """
+    parent, _, name = path.rstrip("/").rpartition("/")
+    beside = f"{parent}/_next-{name}"
+    df.write.mode("overwrite").parquet(beside)
+    files.move(df.sparkSession, beside, path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -57,28 +64,88 @@ def latest_per_key(
     )
 
 
-def merge_latest(
-    spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], newest: str
-) -> DataFrame:
-    """Key merge into a Parquet table.
+# --- merged tables -----------------------------------------------------------
+# A merged table is cut into buckets by a hash of its keys. A merge writes the buckets
+# it touches under a folder of its own, ``version=N/bucket_of_M=i``; the marker that
+# ends the write puts all of them in force at once. A write that was interrupted has
+# no marker and is not read.
+_VERSION, _BUCKET, _WRITTEN = "version=", "bucket_of_", "_SUCCESS"
+
+
+def _buckets_in_force(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder that holds each bucket (one entry a bucket)."""
+    held = {}
+    for version in files.names(spark, path):
+        inside = files.names(spark, f"{path}/{version}") if version.startswith(_VERSION) else []
+        if _WRITTEN in inside:
+            held |= {b: f"{path}/{version}/{b}" for b in inside if b.startswith(_BUCKET)}
+    return held
+
 
-    The merged rows are written to the shared folder first, so the table is
-    never overwritten by a plan that still reads it, and the copy holds the rows
-    if the overwrite is interrupted.
+def _drop_superseded(spark: SparkSession, path: str, held: Mapping[str, str]) -> None:
+    """Remove interrupted writes, and buckets that an earlier merge has replaced."""
+    in_force = set(held.values())
+    for version in files.names(spark, path):
+        at = f"{path}/{version}"
+        buckets = [f"{at}/{b}" for b in files.names(spark, at) if b.startswith(_BUCKET)]
+        old = [b for b in buckets if b not in in_force]
+        for place in [at] if len(old) == len(buckets) else old:
+            files.remove(files.folder(spark, place))
+
+
+def _read_buckets(spark: SparkSession, places: Sequence[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(*places)
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`merge_latest` keeps at ``path``.
+
+    The frame stays valid during the next merge, not beyond it.
     """
-    sources = [incoming]
-    if _exists(spark, path):
-        sources = [spark.read.parquet(path), incoming]
-    merged = materialised(latest_per_key(sources, keys, newest))
-    return replace_table(merged, path)
+    return _read_buckets(spark, list(_buckets_in_force(spark, path).values()))
+
 
+def merge_latest(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    newest: str,
+    buckets: int = 64,
+) -> DataFrame:
+    """Key merge into a table read with :func:`read_merged`, one writer at a time.
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    Only buckets that hold a key of ``incoming`` are read, and written once. The
+    merge takes effect as a whole when its last file is there; interrupted before,
+    it leaves the table as it was and can be repeated. ``buckets`` counts for a new
+    table; choose it so that a bucket is a few tasks' work. An empty batch changes
+    nothing and is returned where there is no table.
+    """
+    path = path.rstrip("/")
+    held = _buckets_in_force(spark, path)
+    _drop_superseded(spark, path, held)
+    if held:
+        buckets = int(next(iter(held)).removeprefix(_BUCKET).partition("=")[0])
+    column = f"{_BUCKET}{buckets}"
+    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets))
+    # at most one row a bucket
+    touched = [f"{column}={r[0]}" for r in incoming.select(bucket).distinct().collect()]
+    if not touched:
+        return read_merged(spark, path) if held else incoming
+    stored = [held[name] for name in touched if name in held]
+    sources = [_read_buckets(spark, stored)] if stored else []
+    merged = latest_per_key([*sources, incoming], keys, newest).withColumn(column, bucket)
+    versions = [int(n.removeprefix(_VERSION)) for n in files.names(spark, path) if n.startswith(_VERSION)]
+    (
+        merged.hint("rebalance", column)
+        .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        .partitionBy(column)
+        .parquet(f"{path}/{_VERSION}{max(versions, default=0) + 1:010d}")
+    )
+    return read_merged(spark, path)
 
 
+# --- dated tables ------------------------------------------------------------
 def write_days(df: DataFrame, path: str, day: str) -> None:
     """Write whole days; a day written before is replaced, others stay.
 
@@ -95,8 +162,11 @@ def write_days(df: DataFrame, path: str, day: str) -> None:
 
 
 def append_snapshot(df: DataFrame, path: str, day: str = "snapshot_date") -> None:
-    """Append rows under their snapshot day, keeping what is there."""
-    df.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
+    """Add a snapshot under its day, keeping the other days.
+
+    A run that is repeated writes its day again instead of doubling it.
+    """
+    write_days(df, path, day)
 
 
 def retained(df: DataFrame, day: str, keep_days: int, as_of: Column) -> DataFrame:
@@ -104,6 +174,19 @@ def retained(df: DataFrame, day: str, keep_days: int, as_of: Column) -> DataFram
     return df.filter(F.col(day).cast("date") > F.date_sub(as_of.cast("date"), keep_days))
 
 
+def _days(spark: SparkSession, path: str, day: str) -> list[str]:
+    prefix = f"{day}="
+    return [n.removeprefix(prefix) for n in files.names(spark, path) if n.startswith(prefix)]
+
+
+def drop_expired(spark: SparkSession, path: str, day: str, keep_days: int, as_of: Column) -> None:
+    """Delete the snapshots that :func:`retained` leaves out, a folder a day."""
+    last = spark.range(1).select(F.date_sub(as_of.cast("date"), keep_days).cast("string")).first()[0]
+    for name in _days(spark, path, day):
+        if name <= last:
+            files.remove(files.folder(spark, f"{path}/{day}={name}"))
+
+
 def in_range(df: DataFrame, day: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Rows of the backfill interval, both ends included."""
     lower, upper = (F.lit(str(d)).cast("date") for d in (start, end))
@@ -111,8 +194,17 @@ def in_range(df: DataFrame, day: str, start: dt.date | str, end: dt.date | str)
 
 
 def backfill(df: DataFrame, path: str, day: str, start: dt.date | str, end: dt.date | str) -> None:
-    """Recompute an interval of days in a day-partitioned table."""
-    write_days(in_range(df, day, start, end), path, day)
+    """Recompute an interval of days in a day-partitioned table.
+
+    A day of the interval that has no rows any more goes.
+    """
+    spark, fresh = df.sparkSession, in_range(df, day, start, end)
+    write_days(fresh, path, day)
+    # one row a day of the interval
+    filled = {str(r[0]) for r in fresh.select(F.col(day).cast("string")).distinct().collect()}
+    for name in _days(spark, path, day):
+        if str(start) <= name <= str(end) and name not in filled:
+            files.remove(files.folder(spark, f"{path}/{day}={name}"))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
