@@ -110,6 +110,19 @@ def test_row_checks_share_one_scan(tables):
     assert text.count("Relation") == 1
 
 
+def test_checks_of_one_key_set_share_a_grouping(market, tables):
+    for name, scans, by in (("assets", 2, "id"), ("top_performers", 3, "performance_category")):
+        suite = checks.all_checks({name: tables[name]}, market.now)[name]
+        if name == "assets":
+            assert {c.keys for c in suite if c.keys} == {("id",)}
+        plan = q.dq_suite(name, tables[name], suite)._jdf.queryExecution().executedPlan().toString()
+        # a reused subquery is listed again by its name only
+        grouped = {line.split("functions=")[0].split("(", 1)[1] for line in plan.splitlines()
+                   if f"HashAggregate(keys=[{by}#" in line and "partial_count" in line}
+        assert len({g for g in grouped if g.count("#") == 1}) == 1
+        assert plan.count("Scan parquet") <= scans * 2
+
+
 def test_inversions_against_pairwise_join(spark):
     df = spark.createDataFrame(
         [(1, 10), (1, 40), (2, 20), (3, 50), (4, 45), (5, 60), (5, 5)], "d int, t int"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as v
-from tidemark.fixtures import RAW_TABLES, Market, market, table
+from tidemark.fixtures import RAW_TABLES, Market, market, order_prices, table
 from tidemark.functions.bands import banded
 from tidemark.functions.dates import day_text, try_day
 from tidemark.functions.ratios import default_nulls, remainder_pct, safe_ratio, share_pct
@@ -614,11 +614,10 @@ def _correlations(m: Market) -> DataFrame:
 
 @_query("sentiment_price_corr")
 def _mood_correlation(m: Market) -> DataFrame:
-    """The index of the first days of the series against the closes of January."""
-    start = m["raw_sentiment"].agg(F.min("timestamp_date")).scalar()
-    shift = F.datediff(F.lit("2024-01-01").cast("date"), start)
-    moved = m["raw_sentiment"].withColumn("timestamp_date", F.date_add("timestamp_date", shift))
-    return reports.sentiment_price_correlation(moved, ticks.daily_prices(m.ticks()))
+    """The index against the turnover of the same day, over the whole series."""
+    return reports.sentiment_price_correlation(
+        m["raw_sentiment"], order_prices(m.spark, m.sf_dir)
+    )
 
 
 _add(

@@ -107,6 +107,12 @@ def _daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turnover per order priority and day: a daily series over all days of the index."""
+    daily = _daily_orders(spark, sf_dir).groupBy(F.col("o_orderpriority").alias("id"), "day")
+    return daily.agg((F.sum("cents") / F.lit(100.0)).alias("close"))
+
+
 def raw_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.sum(F.col("cents") % 101) % 101).cast("bigint")
     daily = _daily_orders(spark, sf_dir).groupBy("day").agg(value.alias("value"))
@@ -154,7 +160,7 @@ def raw_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    customers = table(spark, sf_dir, "customer")
     nations = F.broadcast(table(spark, sf_dir, "nation"))  # fixed 25 rows
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.select(
@@ -249,7 +255,10 @@ _lock = threading.Lock()
 
 
 def market(spark: SparkSession, sf_dir: str) -> Market:
-    """The market of a data folder, shared by all queries of a session."""
+    """The market of a data folder, shared by all queries of a session.
+
+    Its tables are derived once: a folder that changes meanwhile is not seen.
+    """
     key = (spark.sparkContext.applicationId, str(sf_dir))
     with _lock:
         if key not in _markets:

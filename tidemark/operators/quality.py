@@ -1,8 +1,8 @@
 """Data-quality checks on one table in as few passes as possible.
 
-All checks that look at rows one by one share a single aggregation. Checks on
-groups, duplicates or order each need a shuffle of their own and stand beside it
-as scalar subqueries. The result has one row per check:
+All checks that look at rows one by one share a single aggregation. Checks on the
+groups of one key set share one grouping, and stand beside it as a scalar subquery;
+so do checks that need a frame of their own. The result has one row per check:
 (table_name, check_name, kind, observed, passed).
 """
 
@@ -23,6 +23,9 @@ from tidemark.operators.ordering import earlier_max
 class Check:
     """``rows`` aggregates in the shared pass; ``table`` makes its own one-row frame.
 
+    ``groups`` aggregates the groups of ``keys``, which have their size ``_n`` and
+    the aggregates ``per_group``.
+
     ``holds`` is a SQL condition on ``{observed}``: a few hundred checks are
     cheaper to plan as text than as columns built one call at a time.
     """
@@ -32,6 +35,9 @@ class Check:
     holds: str
     rows: Column | None = None
     table: Callable[[DataFrame], DataFrame] | None = None
+    keys: tuple[str, ...] = ()
+    per_group: Mapping[str, Column] = field(default_factory=dict)
+    groups: Column | None = None
 
 
 def _is(op: str, bound: float) -> str:
@@ -56,32 +62,22 @@ def total(name: str, column: str, target: float, within: float) -> Check:
     return Check(name, "sum", near, rows=F.round(F.sum(column), 6))
 
 
-# --- own aggregation ---------------------------------------------------------
-def _groups(df: DataFrame, keys: Iterable[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("_n"))
-
-
+# --- one grouping per key set -------------------------------------------------
 def distinct(name: str, column: str, op: str, bound: int) -> Check:
-    def observe(df: DataFrame) -> DataFrame:
-        return _groups(df, [column]).agg(F.count(column).alias("observed"))
-
-    return Check(name, "distinct", _is(op, bound), table=observe)
-
-
-def _surplus(df: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the first of each key value."""
-    return _groups(df, [column]).agg(
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count(column)).alias("observed")
-    )
+    return Check(name, "distinct", _is(op, bound), keys=(column,), groups=F.count(column))
 
 
 def unique(name: str, column: str, nulls_count: bool = True) -> Check:
     """No value twice. With ``nulls_count`` a NULL is a violation as well."""
+    judged = F.lit(True) if nulls_count else F.col(column).isNotNull()
+    return Check(
+        name, "unique", _is("=", 0), keys=(column,), groups=_surplus_of(F.when(judged, F.col("_n")), column)
+    )
 
-    def observe(df: DataFrame) -> DataFrame:
-        return _surplus(df if nulls_count else df.filter(F.col(column).isNotNull()), column)
 
-    return Check(name, "unique", _is("=", 0), table=observe)
+def _surplus_of(rows: Column, column: str) -> Column:
+    """Rows beyond the first of each key value."""
+    return F.coalesce(F.sum(rows), F.lit(0)) - F.count(column)
 
 
 def groups(
@@ -93,26 +89,22 @@ def groups(
     aggregates: Mapping[str, Column] | None = None,
 ) -> Check:
     """Number of groups (that satisfy ``having``); ``_n`` is the group size."""
-    keys = list(keys)
-
-    def observe(df: DataFrame) -> DataFrame:
-        grouped = df.groupBy(*keys).agg(
-            F.count("*").alias("_n"), *[c.alias(n) for n, c in (aggregates or {}).items()]
-        )
-        return grouped.agg(
-            (F.count("*") if having is None else F.count_if(having)).alias("observed")
-        )
-
-    return Check(name, "group", _is(op, bound), table=observe)
+    matching = F.count("*") if having is None else F.count_if(having)
+    return Check(
+        name, "group", _is(op, bound), keys=tuple(keys), per_group=aggregates or {}, groups=matching
+    )
 
 
 def latest_count(name: str, order: str, op: str, bound: int) -> Check:
     """Rows of the most recent run."""
+    newest = F.coalesce(F.max_by("_n", order), F.lit(0))
+    return Check(name, "latest", _is(op, bound), keys=(order,), groups=newest)
 
-    def observe(df: DataFrame) -> DataFrame:
-        return latest_slice(df, order).agg(F.count("*").alias("observed"))
 
-    return Check(name, "latest", _is(op, bound), table=observe)
+# --- own frame ---------------------------------------------------------------
+def _surplus(df: DataFrame, column: str) -> DataFrame:
+    sizes = df.groupBy(column).agg(F.count("*").alias("_n"))
+    return sizes.agg(_surplus_of(F.col("_n"), column).alias("observed"))
 
 
 def latest_unique(name: str, order: str, column: str) -> Check:
@@ -190,6 +182,17 @@ def dq_suite(table_name: str, df: DataFrame, checks: Iterable[Check]) -> DataFra
     shared = [c.rows.alias(n) for n, c in numbered.items() if c.rows is not None]
     one_row = df.agg(*shared) if shared else df.sparkSession.range(1)
     alone = {n: c.table(df).scalar() for n, c in numbered.items() if c.table is not None}
+    key_sets: dict[tuple[str, ...], dict[str, Check]] = {}
+    for n, check in numbered.items():
+        if check.groups is not None:
+            key_sets.setdefault(check.keys, {})[n] = check
+    for keys, sharing in key_sets.items():
+        per_group = {k: c for check in sharing.values() for k, c in check.per_group.items()}
+        sizes = df.groupBy(*keys).agg(
+            F.count("*").alias("_n"), *[c.alias(k) for k, c in per_group.items()]
+        )
+        seen = sizes.agg(F.struct(*[c.groups.alias(n) for n, c in sharing.items()])).scalar()
+        alone |= {n: seen[n] for n in sharing}
     verdicts = [_verdict(table_name, c, n) for n, c in numbered.items()]
     return one_row.withColumns(alone).selectExpr(f"inline(array({', '.join(verdicts)}))")
 

@@ -8,43 +8,69 @@ from __future__ import annotations
 
 import re
 
-from tidemark import fixed_values as v
-from tidemark.functions.bands import Bands
-
 
 def half_up(expr: str, digits: int) -> str:
     """Round the decimal text of a double, ties away from zero, as Spark does."""
     return f"round(cast(cast({expr} as varchar) as decimal(38,18)), {digits})::double"
 
 
-def ladder(expr: str, bands: Bands) -> str:
-    def quoted(label: object) -> str:
-        return f"'{label}'" if isinstance(label, str) else str(label)
+# Fixed values, written out: the edges, points and labels of the published metrics.
+_CASES = {
+    "size_tier": "when {x} >= 100000000000 then 'mega_cap' when {x} >= 10000000000 then 'large_cap' "
+    "when {x} >= 1000000000 then 'mid_cap' when {x} >= 100000000 then 'small_cap' else 'micro_cap'",
+    "zone": "when {x} <= 25 then 'extreme_fear' when {x} <= 45 then 'fear' "
+    "when {x} <= 55 then 'neutral' when {x} <= 75 then 'greed' else 'extreme_greed'",
+    "label": "when {x} <= 25 then 'Extreme Fear' when {x} <= 45 then 'Fear' "
+    "when {x} <= 55 then 'Neutral' when {x} <= 75 then 'Greed' else 'Extreme Greed'",
+    "volatility": "when {x} > 15 then 'ultra_volatile' when {x} > 8 then 'high' "
+    "when {x} > 3 then 'moderate' when {x} > 1 then 'low' else 'stable'",
+    "activity": "when {x} > 0.5 then 'abnormally_high' when {x} > 0.2 then 'elevated' "
+    "when {x} > 0.05 then 'normal' else 'low'",
+    "confidence": "when {x} > 50 then 'HIGH' when {x} > 25 then 'MEDIUM' else 'LOW'",
+    "sentiment_points": "when {x} >= 75 then 20 when {x} >= 55 then 10 when {x} >= 45 then 0 "
+    "when {x} >= 25 then -10 else -20",
+    "regime": "when {x} >= 25 then 'STRONG_BULL' when {x} >= 10 then 'BULL' "
+    "when {x} >= -10 then 'NEUTRAL' when {x} >= -25 then 'BEAR' else 'STRONG_BEAR'",
+    "narrative": """
+        when {x} >= 25 then 'Strong bullish momentum across the market. Majority of top coins are trending up with positive sentiment.'
+        when {x} >= 10 then 'Moderately bullish conditions. Most indicators point upward but some caution warranted.'
+        when {x} >= -10 then 'Mixed signals. Market is consolidating with no clear directional bias.'
+        when {x} >= -25 then 'Bearish pressure building. More coins are declining and sentiment is weakening.'
+        else 'Strong bearish conditions. Widespread selling pressure with extreme fear in the market.'""",  # noqa: E501
+    "price_change_pct_24h": "when {x} > 5 then 20 when {x} > 0 then 10 when {x} > -5 then 0 else -10",
+    "price_change_pct_7d": "when {x} > 15 then 25 when {x} > 0 then 12 when {x} > -10 then 0 else -12",
+    "price_change_pct_30d": "when {x} > 30 then 25 when {x} > 0 then 12 when {x} > -20 then 0 else -12",
+    "volume_to_mcap_ratio": "when {x} > 0.3 then 15 when {x} > 0.1 then 8 else 0",
+    "distance_from_ath_pct": "when {x} > -20 then 15 when {x} > -50 then 8 else 0",
+}
+_HORIZONS = ("24h", "7d", "30d")
+_SCORED = (
+    "price_change_pct_24h",
+    "price_change_pct_7d",
+    "price_change_pct_30d",
+    "volume_to_mcap_ratio",
+    "distance_from_ath_pct",
+)
 
-    steps = " ".join(
-        f"when {expr} {bands.op} {edge} then {quoted(label)}" for edge, label in bands.steps
-    )
-    return f"(case {steps} else {quoted(bands.other)} end)"
+
+def case(name: str, expr: str) -> str:
+    return f"(case {_CASES[name].format(x=expr)} end)"
 
 
 def points(column: str) -> str:
-    return ladder(column, v.MOMENTUM_LADDERS[column])
+    return case(column, column)
 
 
-_SCORE = half_up(
-    "cast(" + " + ".join(points(c) for c in v.MOMENTUM_LADDERS) + " as double)", 1
-)
-_VOLATILITY = " + ".join(f"({c} / {d}::double * {w}::double)" for c, d, w in v.VOLATILITY_WEIGHTS)
-_SIGNAL = (
-    "case "
-    + " ".join(
-        f"when momentum_score >= {least}"
-        + (f" and fear_greed_index < {ceiling}" if ceiling is not None else "")
-        + f" then '{signal}'"
-        for least, ceiling, signal in v.SIGNALS
-    )
-    + f" else '{v.SIGNAL_OTHERWISE}' end"
-)
+_SCORE = half_up("cast(" + " + ".join(points(c) for c in _SCORED) + " as double)", 1)
+_VOLATILITY = """(abs_change_24h / 1.0::double * 0.3::double)
+    + (intraday_spread_pct / 1.0::double * 0.3::double)
+    + (abs_change_7d / 7.0::double * 0.2::double)
+    + (abs_change_30d / 30.0::double * 0.2::double)"""
+_SIGNAL = """case when momentum_score >= 60 and fear_greed_index < 30 then 'STRONG_BUY'
+    when momentum_score >= 40 then 'BUY'
+    when momentum_score >= -10 then 'NEUTRAL'
+    when momentum_score >= -40 then 'SELL'
+    else 'STRONG_SELL' end"""
 _ISO = "'%Y-%m-%dT%H:%M:%S'"
 _HORIZON = {
     "1h": "1 hour",
@@ -139,7 +165,7 @@ TABLES: dict[str, str] = {
     "day_value": """
         select day, cast(sum(cents) % 101 as bigint) as value from day_orders group by day""",
     "raw_sentiment": f"""
-        select value, {ladder("value", v.SENTIMENT_LABELS)} as value_classification,
+        select value, {case("label", "value")} as value_classification,
             day as timestamp_date, (select newest from now_at) as ingested_at
         from day_value""",
     "raw_global": f"""
@@ -174,8 +200,7 @@ TABLES: dict[str, str] = {
     "raw_categories": """
         select cast(c_custkey as varchar) as coin_id, c_mktsegment as category,
             n_name as subcategory
-        from customer join nation on c_nationkey = n_nationkey
-        where c_acctbal >= 0""",
+        from customer join nation on c_nationkey = n_nationkey""",
     "cleaned": f"""
         select {_ASSET_COLUMNS},
             ifnull(market_cap, 0) as market_cap,
@@ -189,7 +214,7 @@ TABLES: dict[str, str] = {
         from raw_assets where current_price > 0""",
     "assets": f"""
         select *,
-            {ladder("market_cap", v.SIZE_TIERS)} as price_tier,
+            {case("size_tier", "market_cap")} as price_tier,
             ifnull({half_up("total_volume_24h / nullif(market_cap, 0)", 4)}, 0)
                 as volume_to_mcap_ratio,
             {half_up("ath_drawdown_pct", 2)} as distance_from_ath_pct,
@@ -203,7 +228,7 @@ TABLES: dict[str, str] = {
             {half_up("avg(value) over last_7", 1)} as ma_7d,
             {half_up("avg(value) over last_14", 1)} as ma_14d,
             value - lag(value) over (order by timestamp_date) as daily_change,
-            {ladder("value", v.SENTIMENT_ZONES)} as sentiment_zone,
+            {case("zone", "value")} as sentiment_zone,
             ingested_at
         from raw_sentiment
         window last_7 as (order by timestamp_date rows 6 preceding),
@@ -244,9 +269,9 @@ TABLES: dict[str, str] = {
         select (select newest from now_at)::date as analysis_date, id, name, symbol, market_cap_rank,
             price_tier, current_price, intraday_spread_pct, abs_change_24h, abs_change_7d,
             abs_change_30d, {half_up("raw_score", 2)} as volatility_score,
-            {ladder("raw_score", v.VOLATILITY_TIERS)} as volatility_tier,
+            {case("volatility", "raw_score")} as volatility_tier,
             distance_from_ath_pct, volume_to_mcap_ratio,
-            {ladder("volume_to_mcap_ratio", v.VOLUME_ACTIVITY)} as volume_activity_level
+            {case("activity", "volume_to_mcap_ratio")} as volume_activity_level
         from scored where market_cap_rank <= 50""",
     "today": f"""
         select *, {_trend()} as sentiment_trend from sentiment
@@ -261,13 +286,13 @@ TABLES: dict[str, str] = {
             market_cap_rank, price_tier, price_change_pct_24h, price_change_pct_7d,
             price_change_pct_30d, volume_to_mcap_ratio, distance_from_ath_pct, momentum_score,
             fear_greed_index, market_sentiment, {_SIGNAL} as signal,
-            {ladder("abs(momentum_score)", v.CONFIDENCE)} as signal_confidence
+            {case("confidence", "abs(momentum_score)")} as signal_confidence
         from momentum where market_cap_rank <= 50""",
     "moves": " union all ".join(
         f"select id, name, symbol, current_price, market_cap_rank, price_tier, "
         f"'{h}' as timeframe, price_change_pct_{h} as change "
         f"from assets where market_cap_rank <= 100"
-        for h in v.HORIZONS
+        for h in _HORIZONS
     ),
     "top_performers": f"""
         select (select newest from now_at)::date as analysis_date, id, name, symbol, current_price,
@@ -297,12 +322,12 @@ TABLES: dict[str, str] = {
         select count(*) as total_coins, """
     + ", ".join(
         f"cast(sum(case when price_change_pct_{h} {op} 0 then 1 else 0 end) as bigint) as {way}_{h}"
-        for h in v.HORIZONS
+        for h in _HORIZONS
         for way, op in (("up", ">"), ("down", "<"))
     )
     + ", "
     + ", ".join(
-        f"{half_up(f'avg(price_change_pct_{h})', 2)} as avg_change_{h}" for h in v.HORIZONS
+        f"{half_up(f'avg(price_change_pct_{h})', 2)} as avg_change_{h}" for h in _HORIZONS
     )
     + f", {half_up('avg(volume_to_mcap_ratio)', 4)} as avg_volume_ratio"
     + " from assets where market_cap_rank <= 50",
@@ -311,26 +336,22 @@ TABLES: dict[str, str] = {
             g.btc_dominance, g.altcoin_dominance,
             {half_up(" + ".join(
                 f"({_share(f'up_{h}', 'total_coins')} - 50.0::double) * {w}::double"
-                for h, w in v.BREADTH_WEIGHTS.items()
-            ) + f" + {ladder('t.value', v.SENTIMENT_POINTS)} * {v.SENTIMENT_WEIGHT}::double", 1)}
+                for h, w in (("24h", 0.2), ("7d", 0.3), ("30d", 0.3))
+            ) + f" + {case('sentiment_points', 't.value')} * 0.2::double", 1)}
                 as regime_score
         from breadth b, today t,
             (select * from global_metrics order by snapshot_date desc limit 1) g""",
     "market_regime": f"""
         select (select newest from now_at)::date as analysis_date,
-            {ladder("regime_score", v.REGIMES)} as regime, regime_score,
+            {case("regime", "regime_score")} as regime, regime_score,
             total_coins as coins_analyzed, """
     + ", ".join(
-        f"{half_up(_share(f'up_{h}', 'total_coins'), 1)} as pct_up_{h}" for h in v.HORIZONS
+        f"{half_up(_share(f'up_{h}', 'total_coins'), 1)} as pct_up_{h}" for h in _HORIZONS
     )
     + f""", avg_change_24h, avg_change_7d, avg_change_30d, fg as fear_greed_current,
             ma_7d as fear_greed_ma_7d, sentiment_zone, market_cap_change_24h_pct, btc_dominance,
             altcoin_dominance, avg_volume_ratio,
-            {ladder("regime_score", Bands(
-                v.REGIMES.op,
-                tuple((edge, v.NARRATIVES[label]) for edge, label in v.REGIMES.steps),
-                v.NARRATIVES[v.REGIMES.other],
-            ))} as regime_narrative
+            {case("narrative", "regime_score")} as regime_narrative
         from state""",
     "daily": """
         select cast(user_id as varchar) as id, cast(ts as date) as day,
@@ -361,14 +382,11 @@ def sql(body: str) -> str:
 # --- quality -----------------------------------------------------------------
 # The contracts, read off as table: (may be empty, positive, unique, accepted, min, max).
 # Written out here so that a slip in the Spark contracts shows up.
-def _labels(*bands: Bands) -> list[list[str]]:
-    return [b.labels for b in bands]
-
-
-_T = v.SIZE_TIERS.labels
+_T = ["mega_cap", "large_cap", "mid_cap", "small_cap", "micro_cap"]
 _SIGNAL_LABELS = ["STRONG_BUY", "BUY", "NEUTRAL", "SELL", "STRONG_SELL"]
 _CATEGORY_LABELS = [f"top_{w}_{h}" for w in ("gainer", "loser") for h in ("24h", "7d", "30d")]
-_ZONES, _LABELS = v.SENTIMENT_ZONES.labels, v.SENTIMENT_LABELS.labels
+_ZONES = ["extreme_fear", "fear", "neutral", "greed", "extreme_greed"]
+_LABELS = ["Extreme Fear", "Fear", "Neutral", "Greed", "Extreme Greed"]
 
 REQUIRED = {
     "raw_assets": "id symbol current_price ingested_at name ath_date atl_date last_updated",
@@ -948,21 +966,21 @@ _BODIES: dict[str, str] = {
     + " from raw_assets",
     "valid_price_filter": "select id, current_price from raw_assets where current_price > 0",
     "rank_cutoff": "select id, market_cap_rank from raw_assets where market_cap_rank <= 50",
-    "price_tier": f"select id, market_cap, {ladder('market_cap', v.SIZE_TIERS)} as price_tier "
+    "price_tier": f"select id, market_cap, {case('size_tier', 'market_cap')} as price_tier "
     "from raw_assets",
     "sentiment_zone": "select timestamp_date, value, "
-    f"{ladder('value', v.SENTIMENT_ZONES)} as sentiment_zone from raw_sentiment",
+    f"{case('zone', 'value')} as sentiment_zone from raw_sentiment",
     "sentiment_points": "select timestamp_date, value, "
-    f"{ladder('value', v.SENTIMENT_POINTS)} as points from raw_sentiment",
+    f"{case('sentiment_points', 'value')} as points from raw_sentiment",
     "volatility_score": f"select id, {half_up('raw_score', 2)} as volatility_score from scored",
-    "volatility_tier": f"select id, {ladder('raw_score', v.VOLATILITY_TIERS)} as volatility_tier "
+    "volatility_tier": f"select id, {case('volatility', 'raw_score')} as volatility_tier "
     "from scored",
     "volume_activity": "select id, volume_to_mcap_ratio, "
-    f"{ladder('volume_to_mcap_ratio', v.VOLUME_ACTIVITY)} as volume_activity_level from assets",
+    f"{case('activity', 'volume_to_mcap_ratio')} as volume_activity_level from assets",
     "momentum_score": "select id, momentum_score from momentum",
     "signal_confidence": "select id, momentum_score, "
-    f"{ladder('abs(momentum_score)', v.CONFIDENCE)} as signal_confidence from momentum",
-    "regime_label": f"""select timestamp_date, score, {ladder("score", v.REGIMES)} as regime
+    f"{case('confidence', 'abs(momentum_score)')} as signal_confidence from momentum",
+    "regime_label": f"""select timestamp_date, score, {case("regime", "score")} as regime
         from (select *, {half_up("(value - 50) * 0.88::double", 1)} as score from raw_sentiment)""",
     "volume_ratio": f"""select id, case when market_cap > 0
         then {half_up("total_volume / market_cap", 4)} else 0 end as volume_to_mcap_ratio
@@ -1036,7 +1054,7 @@ _BODIES: dict[str, str] = {
     "order by momentum_score desc, id limit 10",
     "tagged_union": " union all ".join(
         f"select id, '{way}_{h}' as direction from assets where price_change_pct_{h} {op} 0"
-        for h in v.HORIZONS
+        for h in _HORIZONS
         for way, op in (("up", ">"), ("down", "<"))
     ),
     # the same on whole tables
@@ -1126,10 +1144,9 @@ _BODIES: dict[str, str] = {
         group by a.id, b.id""",
     "sentiment_price_corr": f"""select id, count(*) as days,
         {half_up(_correlation("mood", "close"), 6)} as correlation
-        from daily join (
-            select value::double as mood, timestamp_date
-                + (date '2024-01-01' - (select min(timestamp_date) from raw_sentiment))::int as day
-            from raw_sentiment) using (day)
+        from (select o_orderpriority as id, day, sum(cents) / 100.0::double as close
+            from day_orders group by all)
+        join (select value::double as mood, timestamp_date as day from raw_sentiment) using (day)
         group by id""",
     "rolling_volatility": "select id, day, close, "
     + ", ".join(
