@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 import tempfile
+from pathlib import Path
 
 import pytest
 
@@ -119,3 +122,17 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session_module.shared_dir(_Session("yarn"))
     assert session_module.shared_dir(_Session("local[2]")).startswith(tempfile.gettempdir())
+
+
+def test_intermediate_tables_go_with_the_driver(tmp_path):
+    script = (
+        "from tidemark.session import get_spark, materialised\n"
+        f"spark = get_spark('end', 'local[1]', **{{'spark.checkpoint.dir': '{tmp_path}',"
+        " 'spark.ui.enabled': 'false'})\n"
+        "assert materialised(spark.range(5)).count() == 5\n"
+        f"import os; assert os.listdir('{tmp_path}/tidemark')\n"
+        "spark.stop()\n"
+    )
+    root = Path(session_module.__file__).parents[1]
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=root, timeout=120)
+    assert list((tmp_path / "tidemark").iterdir()) == []

@@ -132,12 +132,16 @@ def test_interrupted_merge_leaves_the_table(spark, folder):
     assert rows(sinks.read_merged(spark, path)) == [("a", 1, "old"), ("b", 1, "kept")]
     # a write that ended before its marker
     unfinished = f"{path}/version=0000000009"
-    keyed(spark, ("a", 9, "torn")).withColumn("bucket_of_64", F.lit(1)).write.partitionBy(
-        "bucket_of_64"
+    keyed(spark, ("a", 9, "torn")).withColumn("bucket_of_16", F.lit(1)).write.partitionBy(
+        "bucket_of_16"
     ).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(unfinished)
     assert rows(sinks.read_merged(spark, path)) == [("a", 1, "old"), ("b", 1, "kept")]
     sinks.merge_latest(spark, path, keyed(spark, ("a", 2, "new")), ["id"], "at")
     assert rows(sinks.read_merged(spark, path)) == [("a", 2, "new"), ("b", 1, "kept")]
+    more = keyed(spark, ("c", 3, "more")).withColumn("y", F.lit(7))
+    assert rows(sinks.merge_latest(spark, path, more, ["id"], "at")) == [
+        ("a", 2, "new", None), ("b", 1, "kept", None), ("c", 3, "more", 7)
+    ]
 
 
 def test_merge_writes_only_the_buckets_it_touches(spark, folder):

@@ -37,19 +37,21 @@ def slice_rows(
 
     The rows are stored first, each with a number of its own: the count then comes
     from file footers, the range sample reads the stored table, and a task that is
-    run again sees the same numbers. The numbering of the slices depends on a
-    sampled split, so it is stored as well: every later read, a retry after a lost
-    executor included, sees the same slices. A slice has about ``size`` rows.
+    run again sees the same numbers. Where there are several slices, their numbering
+    depends on a sampled split and is stored as well: every later read, a retry after
+    a lost executor included, sees the same slices. A slice has about ``size`` rows.
     """
     stored = materialised(df.withColumn(_COPY, F.monotonically_increasing_id()))
     total_order = [*order, F.xxhash64(*df.columns), F.col(_COPY)]
-    return materialised(
-        stored.repartitionByRange(stored.count() // size + 1, *total_order)
+    slices = stored.count() // size + 1
+    cut = (
+        stored.repartitionByRange(slices, *total_order)
         .sortWithinPartitions(*total_order)
         .drop(_COPY)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_SLICE_BITS)))
     )
+    return cut if slices == 1 else materialised(cut)
 
 
 def _per_slice_before(

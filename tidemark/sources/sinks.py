@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import files
 
@@ -93,8 +94,9 @@ def _drop_superseded(spark: SparkSession, path: str, held: Mapping[str, str]) ->
             files.remove(files.folder(spark, place))
 
 
-def _read_buckets(spark: SparkSession, places: Sequence[str]) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(*places)
+def _schema(spark: SparkSession, held: Mapping[str, str]) -> StructType:
+    """The columns of the newest write, which has all earlier ones too (one footer)."""
+    return spark.read.parquet(max(held.values())).schema
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -102,7 +104,8 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
     The frame stays valid during the next merge, not beyond it.
     """
-    return _read_buckets(spark, list(_buckets_in_force(spark, path).values()))
+    held = _buckets_in_force(spark, path.rstrip("/"))
+    return spark.read.schema(_schema(spark, held)).parquet(*held.values())
 
 
 def merge_latest(
@@ -111,7 +114,7 @@ def merge_latest(
     incoming: DataFrame,
     keys: Sequence[str],
     newest: str,
-    buckets: int = 64,
+    buckets: int = 16,
 ) -> DataFrame:
     """Key merge into a table read with :func:`read_merged`, one writer at a time.
 
@@ -132,9 +135,13 @@ def merge_latest(
     touched = [f"{column}={r[0]}" for r in incoming.select(bucket).distinct().collect()]
     if not touched:
         return read_merged(spark, path) if held else incoming
-    stored = [held[name] for name in touched if name in held]
-    sources = [_read_buckets(spark, stored)] if stored else []
-    merged = latest_per_key([*sources, incoming], keys, newest).withColumn(column, bucket)
+    sources = [incoming]
+    if held:
+        places = [held[name] for name in touched if name in held]
+        schema = _schema(spark, held)
+        stored = spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+        sources = [stored, incoming]
+    merged = latest_per_key(sources, keys, newest).withColumn(column, bucket)
     versions = [int(n.removeprefix(_VERSION)) for n in files.names(spark, path) if n.startswith(_VERSION)]
     (
         merged.hint("rebalance", column)
