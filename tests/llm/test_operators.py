@@ -571,3 +571,34 @@ def test_a_text_with_few_segmentations_gives_all(spark, model):
     assert len(rows) == 2  # with the space apart or not
     assert sum(math.exp(r["log_prob"]) for r in rows) == pytest.approx(1)
     assert {r["inclusion"] for r in rows} == {1.0}
+
+
+def test_characters_beyond_16_bits_go_as_their_pieces(spark, model):
+    vocabulary = segment_sampling.read_vocabulary(model)
+    pieces = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.normal[i]}
+    far = [p for p in pieces if len(p) == 1 and ord(p) > 0xFFFF]
+    assert len(far) == 59
+    bare = next(chr(c) for c in range(0x1F600, 0x20000) if chr(c) not in pieces)
+
+    def every(rest):
+        if not rest:
+            yield 0.0, ()
+        for end in range(1, len(rest) + 1):
+            if rest[:end] in pieces:
+                for weight, tail in every(rest[end:]):
+                    yield weight + vocabulary.weights[pieces[rest[:end]]], (pieces[rest[:end]], *tail)
+        if rest and rest[0] not in pieces:
+            ids = tuple(int(vocabulary.byte_ids[b]) for b in rest[0].encode())
+            for weight, tail in every(rest[1:]):
+                yield weight + vocabulary.byte_weight * len(ids), ids + tail
+
+    texts = [*far, f"a{far[0]}{bare}it{far[-1]}", f"{bare}{far[1]} {far[1]}in", f"{bare}\U0010ffff"]
+    rows = segment_sampling.sample_segmentations(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, k=40
+    ).collect()
+    for t, text in enumerate(texts):
+        expected = {ids: w for w, ids in every("▁" + text.replace(" ", "▁"))}
+        total = np.logaddexp.reduce(list(expected.values()))
+        got = {tuple(r["ids"]): r["log_prob"] for r in rows if r["doc_id"] == t}
+        assert got == pytest.approx({ids: w - total for ids, w in expected.items()})
+        assert all(r["round_trip"] for r in rows if r["doc_id"] == t)
