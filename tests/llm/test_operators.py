@@ -169,6 +169,58 @@ def test_lines_against_all_pairs(spark, none):
     assert line_dedup.without_repeated_lines(none).columns == none.columns
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(words))
+        words[at : at + rng.choice([0, 1, 1])] = rng.choice([[], ["zz"], [f"q{rng.random()}"]])
+    return words
+
+
+def test_long_lines_a_tenth_apart_against_all_pairs(spark):
+    rng = random.Random(8)
+    passage = prose(rng, 30).split()  # a passage that many unlike lines hold
+    pool = [prose(rng, rng.choice([39, 40, 44, 60, 75, 130])).split() for _ in range(14)]
+    pool += [passage + prose(rng, 25).split() for _ in range(20)]
+    pool += [["so"] * 60, ["so", "on"] * 30]
+    pool += [edited(rng, w, e) for w in list(pool) for e in (1, 2, 3, 4, 7, 14)]
+    rng.shuffle(pool)
+    rows = [(i, " ".join(w)) for i, w in enumerate(pool)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = {
+        i: any(
+            edits(w, e) <= (min(len(w), len(e)) // 10 if min(len(w), len(e)) >= 40 else 1)
+            for e in pool[:i]
+        )
+        for i, w in enumerate(pool)
+    }
+    assert {r["doc_id"]: r["n_dropped"] == 1 for r in got} == expected
+    assert 60 < sum(expected.values()) < len(pool) - 60
+
+
+def test_planted_edits_of_long_lines_are_found(spark):
+    rng = random.Random(9)
+    base = [prose(rng, 60 + i).split() for i in range(8)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        for e in (2, 3, 4):
+            words = list(w)
+            for at in rng.sample(range(len(w)), e):
+                words[at] = "changed"
+            rows.append((100 * e + i, " ".join(words)))
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["n_dropped"]} == {i for i, _ in rows if i >= 100}
+
+
 # sharding
 
 

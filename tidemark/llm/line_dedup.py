@@ -1,11 +1,18 @@
 """Line dedup by a deletion-neighbourhood join (native DataFrame operations only).
 
-Two lines repeat each other if their word sequences are equal, or differ by at
-most one word put in, left out or replaced. A line goes if an earlier line
-repeats it. Equal lines meet by hash. For the others, every line emits the
-sequences that remain when one of its words is left out, as hashed keys; lines
-within one edit share a key, so a minimum per key finds the earliest, and no pair
-within a key is ever formed.
+Two lines repeat each other if their word sequences are equal, or differ by few
+words put in, left out or replaced: one, or from ``LONG`` words on, a tenth of the
+shorter line's. A line goes if an earlier line repeats it. Equal lines meet by
+hash. Short lines emit the sequences that remain when one of their words is left
+out, as hashed keys; lines within one edit share a key, so a minimum per key finds
+the earliest, and no pair within a key is ever formed.
+
+Long lines emit runs of ``RUN`` words. An edit touches that many of them at most,
+so of the runs in any fixed order, two lines within k edits share ``SHARED`` of
+their first RUN * k + SHARED. Runs that a sample finds often come last, so a
+passage that many lines hold gives keys only to lines that are little else. Lines
+are first held against the earliest of each key; only those that find no repeat
+there are held against all earlier lines of their keys.
 """
 
 from __future__ import annotations
@@ -13,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_like, row_key, small_or_shuffled
+from tidemark.llm.common import column_like, row_key, small_or_shuffled, smallest_hashes
 from tidemark.session import materialised
 
 _SPACES = " \t\n\x0b\x0c\r"
@@ -21,6 +28,12 @@ _SPACES = " \t\n\x0b\x0c\r"
 _SHARE = (1 << 40) - 1
 #: What a key stands for: a line with one word replaced, one word less, or as it is.
 REPLACED, SHORTENED, WHOLE = range(3)
+#: Words from which a line may differ by a tenth of them.
+LONG = 40
+#: Words of a run, and how many first runs two near lines share.
+RUN, SHARED = 4, 3
+#: Classes that runs are counted in, and lines of the sample.
+CLASSES, SAMPLE_LINES = 1 << 16, 2000
 
 
 def _words(line: Column) -> Column:
@@ -64,22 +77,20 @@ def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
         F.xxhash64("words").alias("h1"),
         F.xxhash64(F.lit(1), "words").alias("h2"),
         "size",
-        F.when(F.col("size") >= near_words, halves).alias("halves"),
+        # of two lines within one edit, one may have LONG words and the other one less
+        F.when(F.col("size").between(near_words, LONG), halves).alias("halves"),
     )
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, h1, h2, words) of the lines in ``wanted`` (at, h1, h2), read from their documents.
-
-    Ids follow the order of ``at``: the earlier line has the smaller one.
-    """
+def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(at, h1, h2, words) of the lines in ``wanted`` (at, h1, h2), from their documents."""
     per_doc = materialised(
         wanted.groupBy(F.col("at.rid").alias("rid")).agg(
             F.collect_list(F.struct("at", "h1", "h2")).alias("picks")
         )
     )
     lines = F.split("text", "\n", -1)
-    found = (
+    return (
         docs.select(row_key().alias("rid"), "text")
         .join(small_or_shuffled(per_doc, 256), "rid")
         .select(F.explode(F.transform("picks", lambda p: F.struct(
@@ -87,8 +98,15 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             F.get(lines, p["at"]["line"]).alias("chars"),
         ))).alias("x"))
         .select("x.at", "x.h1", "x.h2", _words(F.col("x.chars")).alias("words"))
-        .dropDuplicates(["h1", "h2"])
     )
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, h1, h2, words) of the lines in ``wanted`` (at, h1, h2).
+
+    Ids follow the order of ``at``: the earlier line has the smaller one.
+    """
+    found = _read(docs, wanted).dropDuplicates(["h1", "h2"])
     # numbered along a range sort and stored, so the numbers are in order and fixed
     return materialised(
         found.orderBy("at", "h1", "h2")
@@ -156,7 +174,7 @@ def _within_one_edit(a: Column, b: Column) -> Column:
 
 
 def _near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h1, h2) of distinct lines with an earlier distinct line within one edit."""
+    """(h1, h2) of distinct lines with ``halves`` and an earlier one within one edit."""
     halves = distinct.where("halves is not null").select(
         "at", "h1", "h2", F.explode("halves").alias("half")
     )
@@ -195,13 +213,148 @@ def _near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
+def _runs(lines: DataFrame) -> DataFrame:
+    """``lines`` (.., words) with n words and, instead of them, hashes of all runs."""
+    hashed = lines.select(
+        *[c for c in lines.columns if c != "words"],
+        F.size("words").alias("n"),
+        F.explode(F.array(F.transform("words", lambda w: F.xxhash64(w)))).alias("each"),
+    )
+    runs = F.transform(
+        F.slice("each", F.lit(1), F.col("n") - (RUN - 1)),
+        lambda h, i: F.xxhash64(h, *[F.get("each", i + d) for d in range(1, RUN)]),
+    )
+    return hashed.withColumn("each", F.array_distinct(runs)).withColumnRenamed("each", "runs")
+
+
+def _class(run: Column) -> Column:
+    return run.bitwiseAND(F.lit(CLASSES - 1)).cast("int")
+
+
+def _crowded(docs: DataFrame, long: DataFrame) -> bytes:
+    """Per class of runs, 1 if lines of a sample have runs of it far above the average."""
+    sample = smallest_hashes(long.select("h1", "h2", "at"), "h1", SAMPLE_LINES)
+    counted = (
+        _runs(_read(docs, sample))
+        .select(F.explode("runs").alias("run"))
+        .groupBy(_class(F.col("run")).alias("class"))
+        .agg(F.count(F.lit(1)).alias("c"))
+        .collect()
+    )
+    bound = 8 + 4 * sum(r["c"] for r in counted) / CLASSES
+    out = bytearray(CLASSES)
+    for r in counted:
+        out[r["class"]] = r["c"] > bound
+    return bytes(out)
+
+
+def _first_runs(docs: DataFrame, long: DataFrame) -> DataFrame:
+    """(at, h1, h2, n, need, keys): the first runs of each line, and how many to share.
+
+    A line of so few different runs that all of them are keys shares one at least.
+    """
+    table = F.lit(_crowded(docs, long))
+
+    def placed(run: Column) -> Column:
+        often = F.substring(table, _class(run) + 1, 1) == F.lit(b"\x01")
+        return F.when(often, run.bitwiseAND(F.lit(2**63 - 1))).otherwise(
+            run.bitwiseOR(F.lit(-(2**63)))
+        )
+
+    most = RUN * F.floor(F.col("n") / 10).cast("int") + SHARED
+    return (
+        _runs(_read(docs, long.select("at", "h1", "h2")))
+        .withColumn("keys", F.slice(F.sort_array(F.transform("runs", placed)), F.lit(1), most))
+        .select(
+            "at", "h1", "h2", "n",
+            F.when(F.size("keys") >= most, SHARED).otherwise(1).alias("need"),
+            "keys",
+        )
+    )
+
+
+def _spelt(codes: Column) -> Column:
+    """A text with one character per number; surrogates are no characters."""
+    characters = F.transform(
+        codes, lambda c: F.lpad(F.hex(F.when(c < 0xD800, c).otherwise(c + 0x800)), 8, "0")
+    )
+    return F.decode(F.unhex(F.array_join(characters, "")), "UTF-32")
+
+
+def _spelling(texts: DataFrame) -> DataFrame:
+    """``texts`` with 20-bit codes of their words, and with the text these spell."""
+    # an array that several columns read: a lateral step computes it once
+    codes = F.transform("words", lambda w: F.xxhash64(w).bitwiseAND(F.lit(2**20 - 1)))
+    return texts.withColumn("codes", F.explode(F.array(codes))).withColumn("spelt", _spelt(F.col("codes")))
+
+
+def _within_a_tenth(pairs: DataFrame) -> DataFrame:
+    """Pairs whose words differ by a tenth of the shorter's at most, exactly.
+
+    Equal words have equal codes, so codes differ no more than words do, and as
+    much if the pair has as many codes as words. In the few pairs where two words
+    meet in a code, the words are numbered instead.
+    """
+    most = F.floor(F.least(F.size("words"), F.size("words_")) / 10).cast("int")
+    alike = pairs.where(F.call_function("levenshtein", "spelt", "spelt_", most) >= 0).withColumn(
+        "numbers", F.explode(F.array(F.array_distinct(F.concat("words", "words_"))))
+    )
+    told_apart = F.size("numbers") == F.size(F.array_distinct(F.concat("codes", "codes_")))
+
+    def numbered(words: str) -> Column:
+        return _spelt(F.transform(words, lambda w: F.array_position("numbers", w)))
+
+    exact = F.call_function("levenshtein", numbered("words"), numbered("words_"), most) >= 0
+    return alike.where(F.when(told_apart, True).otherwise(exact))
+
+
+def _proven(docs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(h1, h2) of lines in ``left`` within a tenth of an earlier one they share keys with."""
+    earlier = right.select("key", *[F.col(c).alias(f"{c}_") for c in ("at", "h1", "h2", "n", "need")])
+    fewest = F.floor(F.least("n", "n_") / 10)
+    pairs = materialised(
+        left.join(earlier, "key")
+        .where((F.col("at_") < F.col("at")) & (F.abs(F.col("n") - F.col("n_")) <= fewest))
+        .groupBy("h1", "h2", "at", "h1_", "h2_", "at_")
+        .agg(F.count(F.lit(1)).alias("c"), F.max(F.greatest("need", "need_")).alias("need"))
+        .where("c >= need")
+        .drop("c", "need")
+    )
+    ends = pairs.select("at", "h1", "h2").union(pairs.select("at_", "h1_", "h2_"))
+    texts = materialised(_spelling(_texts(docs, ends.distinct())).drop("id"))
+    other = texts.select(*[F.col(c).alias(f"{c}_") for c in texts.columns])
+    both = pairs.join(texts, ["h1", "h2"]).join(other, ["h1_", "h2_"])
+    return _within_a_tenth(both).select("h1", "h2").distinct()
+
+
+def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(h1, h2) of distinct lines of LONG words with an earlier one within a tenth."""
+    long = materialised(_first_runs(docs, distinct.where(F.col("size") >= LONG)))
+    keys = long.select("h1", F.explode("keys").alias("key")).repartition("key")
+    shared = (
+        keys.groupBy("key")
+        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+        .where("low < high")
+        .select("key")
+    )
+    held = materialised(
+        keys.join(shared.hint("shuffle_hash"), "key").distinct()
+        .join(long.select("at", "h1", "h2", "n", "need").distinct(), "h1")
+    )
+    first = held.groupBy("key").agg(F.min(F.struct("at", "h1", "h2", "n", "need")).alias("w"))
+    easy = materialised(_proven(docs, held, first.select("key", "w.*")))
+    others = _proven(docs, held.join(easy, ["h1", "h2"], "left_anti"), held)
+    return easy.union(others)
+
+
 def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
     """(rid, dropped): per document with any, the numbers of the lines that go, from 0.
 
     ``rid`` is :func:`tidemark.llm.common.row_key`. Earlier means a smaller doc_id,
     then a smaller line number; NULL ids come last. Lines of fewer than
     ``min_words`` words never go; lines of fewer than ``near_words`` only for an
-    equal one.
+    equal one. Of lines with ``LONG`` words or more, a tenth of the shorter one's
+    words may differ, otherwise one word.
 
     Before any variant is emitted, lines that share neither their leading nor
     their trailing half with another line are left out: one edit leaves one of
@@ -213,10 +366,12 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
         occurrences.groupBy("h1", "h2").agg(
             F.min("at").alias("at"),
             F.count(F.lit(1)).alias("times"),
+            F.first("size").alias("size"),
             F.first("halves").alias("halves"),
         )
     )
-    near = _near_repeats(docs, distinct).withColumn("near", F.lit(True))
+    near = _near_repeats(docs, distinct).union(_near_long_repeats(docs, distinct))
+    near = near.distinct().withColumn("near", F.lit(True))
     verdicts = materialised(
         distinct.select("h1", "h2", F.col("at").alias("first"), "times")
         .join(near, ["h1", "h2"], "left")
