@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document or line has; emptied ones go."""
-    shorter = line_dedup.without_repeated_lines(docs)
+    shorter = line_dedup.without_repeated_lines(docs, min_words=1, near_words=5)
     return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

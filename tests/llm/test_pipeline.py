@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import corpus_pipeline
 from tests.conftest import SF
 from tidemark.llm.queries import QUERIES
@@ -30,3 +32,23 @@ def test_stages_take_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_short_lines_repeat_in_query_and_stage(spark, folder):
+    rows = [
+        (1, "one\n\na b c d\nsix words stand in this line"),
+        (2, "one\n\na b c d\nsix words stood in this line\nnew"),
+        (3, "one\na b c e\nfive other words are here"),
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long"
+    )
+    kept = {1: rows[0][1], 2: "\nnew", 3: "a b c e\nfive other words are here"}
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    assert {r["doc_id"]: r["text"] for r in stage(spark, docs, SF).collect()} == kept
+    path = folder("short")
+    docs.write.parquet(f"{path}/documents.parquet")
+    found = QUERIES["op6_line_dedup"](spark, path).collect()
+    assert {r["doc_id"]: r["text_md5"] for r in found} == {
+        i: hashlib.md5(t.encode()).hexdigest() for i, t in kept.items()
+    }

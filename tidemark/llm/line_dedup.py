@@ -420,9 +420,11 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> Da
     )
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(
+    docs: DataFrame, min_words: int = 5, near_words: int = 10
+) -> DataFrame:
     """Columns of ``docs``; documents of which every line went are gone themselves."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, min_words, near_words)
     n_lines, n_dropped = out.columns[-2:]
     whole = F.col(n_lines) > F.col(n_dropped)
     return out.where(whole | (F.col(n_lines) == 0)).select(*docs.columns)

@@ -65,7 +65,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    out = dedup_lines(table(spark, sf_dir, "documents"), min_words=1, near_words=5)
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
