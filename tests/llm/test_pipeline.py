@@ -52,3 +52,13 @@ def test_short_lines_repeat_in_query_and_stage(spark, folder):
     assert {r["doc_id"]: r["text_md5"] for r in found} == {
         i: hashlib.md5(t.encode()).hexdigest() for i, t in kept.items()
     }
+
+
+def test_toxicity_stage_keeps_all_where_nothing_is_learnt(spark, folder):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    schema = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic").schema
+    for rows in ([], [(0, 0)], [(i, 1) for i in range(8)]):
+        path = folder("labels")
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/labels.parquet")
+        assert {r["doc_id"] for r in stage(spark, docs, path).collect()} == set(range(8))

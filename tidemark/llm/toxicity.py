@@ -238,7 +238,13 @@ def flag(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFram
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose score is below ``threshold``; a NULL text stays if that is."""
-    flagged = flag(docs, labels, threshold)
-    predicted = flagged.columns[-1]
-    return flagged.where(F.col(predicted) == 0).select(*docs.columns)
+    """Rows of ``docs`` whose score is below ``threshold``; a NULL text stays if that is.
+
+    All rows stay where nothing was learnt that tells one text from another: without
+    usable labels, or with one label only.
+    """
+    machine = train(docs, labels)
+    if not len(machine.buckets):
+        return docs
+    points = column_like("score", docs.columns)
+    return score(docs, machine, points).where(F.col(points) < threshold).select(*docs.columns)
