@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import edit_counts, pii, toxicity
+from tidemark.llm import code_compression, edit_counts, fill_middle, packing, pii, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.cover_tree import near_duplicates as near_vectors
 from tidemark.llm.impact_search import top_k, whole_numbers
@@ -16,10 +16,12 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.odd_sketch import near_duplicates as near_documents
 from tidemark.llm.segment_sampling import sample_segmentations
 from tidemark.llm.sharding import shard_documents
+from tidemark.session import materialised
 
 
 #: Vocabulary files; the folder is found by :func:`tokenizer`.
 BYTE_PAIRS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 
 def tokenizer(name: str) -> tuple[bytes, str]:
@@ -96,12 +98,41 @@ def op10_gumbel_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2, with_ids=False)
 
 
+def op11_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, _ = tokenizer(WORDS)
+    packed = packing.pack(table(spark, sf_dir, "documents"), words, end_id=1, longest=2048)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = fill_middle.fill_in_middle(documents, seed=1, rewritten=90, suffix_first=20)
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op13_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    coded, codebooks = code_compression.compress(vectors, parts=16, entries=64, rounds=2)
+    summed = code_compression.with_group_error(
+        materialised(coded), "label", "error", "label_error"
+    )
+    digest = F.lit(code_compression.digest(codebooks)).alias("codebooks_sha256")
+    return summed.select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_cover_tree, op2_edit_counts, op3_mixing, op4_impact_search, op5_toxicity,
         op6_line_dedup, op7_histogram_sort, op8_semi_markov, op9_odd_sketch,
-        op10_gumbel_segments,
+        op10_gumbel_segments, op11_binary_packing, op12_fill_in_middle, op13_code_compression,
     )
 }
 
@@ -113,6 +144,33 @@ vectors as (
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 )"""
 
+_VECTORS_OF_13 = """
+vectors as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)"""
+_NEAREST_OF_13 = """nearest{i} as (
+    select vec_id, p, any_value(x.v) as v, min(struct_pack(d := list_sum(list_transform(
+        list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, k := b.k)) as near
+    from parts x join book{i} b using (p) group by vec_id, p
+)"""
+_ROUND_OF_13 = (
+    _NEAREST_OF_13
+    + """,
+sums{i} as (
+    select p, near.k as k, i, sum(v[i])::bigint as s, count(*) as n
+    from nearest{i}, unnest(range(1, len(v) + 1)) as t(i) group by p, near.k, i
+),
+moved{i} as (
+    select p, k, list((s - ((s % n) + n) % n) // n order by i) as v from sums{i} group by p, k
+),
+book{j} as (
+    select p, k, coalesce(m.v, b.v) as v from book{i} b left join moved{i} m using (p, k)
+)"""
+)
+
 #: SQL twins of the operators whose result SQL can say in a page.
 ORACLE: dict[str, str] = {
     "op1_cover_tree": f"""
@@ -184,4 +242,54 @@ select query_id,
     vec_id, score
 from scored
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
+    "op12_fill_in_middle": """
+with hashed as (
+    select doc_id, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n,
+        sha256('1:' || coalesce(doc_id::varchar, '')) as h
+    from documents
+),
+drawn as (
+    select *,
+        ('0x' || h[1:8])::bigint % (n + 1) as a, ('0x' || h[9:16])::bigint % (n + 1) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>')
+                or contains(text, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 90 then 'plain'
+            when ('0x' || h[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end as form
+    from hashed
+),
+cut as (
+    select *, least(a, b) as p, greatest(a, b) - least(a, b) as m,
+        '<P>' || substring(text, 1, least(a, b)) as prefix,
+        '<M>' || substring(text, least(a, b) + 1, greatest(a, b) - least(a, b)) as middle,
+        '<S>' || substring(text, greatest(a, b) + 1, n) as suffix
+    from drawn
+)
+select doc_id, n, form,
+    case when form <> 'plain' then p end as prefix_chars,
+    case when form <> 'plain' then m end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then prefix || suffix || middle
+        else suffix || prefix || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from cut""",
+    "op13_code_compression": f"""
+with {_VECTORS_OF_13},
+parts as (
+    select vec_id, label, p, e[p * (len(e) // 16) + 1 : (p + 1) * (len(e) // 16)] as v
+    from vectors, range(16) as t(p)
+),
+first as (select vec_id, row_number() over (order by vec_id) - 1 as k from vectors
+    order by vec_id limit 64),
+book0 as (select p, k, v from parts join first using (vec_id)),
+{_ROUND_OF_13.format(i=0, j=1)},
+{_ROUND_OF_13.format(i=1, j=2)},
+{_NEAREST_OF_13.format(i=2)},
+coded as (
+    select vec_id, string_agg(printf('%02x', near.k), '' order by p) as code,
+        sum(near.d)::bigint as error
+    from nearest2 group by vec_id
+)
+select vec_id, code, error,
+    (sum(error) over (partition by label))::bigint as label_error,
+    (select sha256(string_agg(array_to_string(v, ','), ',' order by p, k)) from book2)
+        as codebooks_sha256
+from coded join vectors using (vec_id)""",
 }
