@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing
@@ -41,14 +45,39 @@ def docs(spark):
 
 
 def plain(words, text):
-    return [*Tokenizer.from_buffer(words).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*reference(words).encode(text or "", add_special_tokens=False).ids, 1]
 
 
 @pytest.mark.parametrize("known", [0, 50, 10**6])
 def test_chunks_encode_as_the_whole_text(words, docs, known):
     encode = packing.ChunkEncoder(words, known)
-    for r in docs.collect():
-        assert [*encode(r["text"] or ""), 1] == plain(words, r["text"]), r["text"]
+    texts = [r["text"] or "" for r in docs.collect()]
+    for _ in range(2):  # unknown, then known
+        for start in range(0, len(texts), 30):
+            batch = texts[start : start + 30]
+            for text, ids in zip(batch, encode(batch), strict=True):
+                assert [*ids, 1] == plain(words, text), text
+
+
+def test_another_tokenizer_encodes_whole_chunks(words):
+    told = json.loads(words)
+    told["normalizer"] = {"type": "Lowercase"}
+    other = json.dumps(told).encode()
+    encode = packing.ChunkEncoder(other)
+    texts = ["Some words, it's", "", "été x"]
+    assert [[*ids, 1] for ids in encode(texts)] == [plain(other, t) for t in texts]
+
+
+@given(st.text(st.sampled_from("abZ'sStTreVEmlLd0129.,<|>endoftxÀÿßØ×é \n-\x7f\x1f"), max_size=60))
+@settings(deadline=None, max_examples=400)
+def test_words_of_simple_chunks(words, text):
+    encode = packing._encoder(words)
+    assert [*encode([text])[0], 1] == [*reference(words).encode(text, add_special_tokens=False).ids, 1]
+
+
+@lru_cache
+def reference(words):
+    return Tokenizer.from_buffer(words)
 
 
 @pytest.mark.parametrize("longest", [1, 8, 2048])

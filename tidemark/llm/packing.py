@@ -8,10 +8,11 @@ padding, and sequences of equal length form a bucket that batches are drawn from
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,58 +23,151 @@ from tidemark.llm.common import WORD, lean_batches
 
 #: Bits of a sequence id that hold the place in a task's bucket, and those that hold the task.
 PLACE_BITS, TASK_BITS = 34, 24
-#: Most ids of known chunks that a task remembers; then it starts anew.
-KNOWN_IDS = 4_000_000
+#: Most chunks and words that a Python worker remembers; then it starts anew.
+KNOWN = 1_000_000
 #: Ids that a task sends back at a time, about.
 SENT_IDS = 1_000_000
 
 _CHUNK = re.compile(WORD)
 
+# The steps of the tokenizers whose words are told apart here.
+_STEPS = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "pre_tokenizer": ["Split", "ByteLevel"],
+}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Characters on which those steps say nothing but lower case, and their words.
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+class Known:
+    """Ids of strings met before, in one array that grows by doubling."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self._starts = np.zeros(1024, dtype=np.int64)
+        self._ids = np.empty(4096, dtype="<u4")
+
+    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.number)
+        ends = self._starts[first] + np.cumsum(sizes)
+        self.number.update(zip(names, range(first, first + len(names)), strict=True))
+        self._starts = _roomy(self._starts, len(self.number) + 1)
+        self._starts[first + 1 : len(self.number) + 1] = ends
+        self._ids = _roomy(self._ids, int(ends[-1]))
+        self._ids[ends[-1] - len(ids) : ends[-1]] = ids
+
+    def take(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings in a row, and how many each has."""
+        at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        starts, sizes = self._starts[at], self._starts[at + 1] - self._starts[at]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        return self._ids[places + np.repeat(starts - ends + sizes, sizes)], sizes
+
+
+def _roomy(a: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(a):
+        return a
+    out = np.empty(max(size, 2 * len(a)), dtype=a.dtype)
+    out[: len(a)] = a
+    return out
+
 
 class ChunkEncoder:
     """Ids of whole texts, one distinct chunk between white space at a time.
 
     Fit for tokenizers that drop white space and never look across it: the ids of a
-    text are then those of its chunks in a row. A chunk met before costs a lookup.
+    text are then those of its chunks in a row, and a chunk met before costs a lookup.
+    Where the tokenizer's steps are the ones known here, a new chunk of plain Latin
+    letters is cut into its words, and only new words go through the merges.
     """
 
-    def __init__(self, tokenizer_json: bytes, known_ids: int = KNOWN_IDS) -> None:
+    def __init__(self, tokenizer_json: bytes, known: int = KNOWN) -> None:
         # tasks share the cores already; read when the first batch is encoded
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_buffer(tokenizer_json)
-        self._known_ids = known_ids
-        self._forget()
+        self._merges, self._special = None, ()
+        told = json.loads(tokenizer_json)
+        if _known_steps(told):
+            told |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
+            self._merges = Tokenizer.from_str(json.dumps(told))
+            letters = [chr(c) for c in range(256) if _SIMPLE.fullmatch(chr(c))]
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self._bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+            self._special = tuple(
+                t.content for t in self._tokenizer.get_added_tokens_decoder().values()
+            )
+        self._most = known
+        self._chunks, self._words = Known(), Known()
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [_CHUNK.findall(text) for text in texts]
+        if len(self._chunks.number) + len(self._words.number) > self._most:
+            self._chunks, self._words = Known(), Known()
+        number = self._chunks.number
+        unseen = list({c: None for chunks in split for c in chunks if c not in number})
+        if unseen:
+            simple = [c for c in unseen if self._is_simple(c)]
+            if simple:
+                self._learn_words(simple)
+            if others := [c for c in unseen if c not in number]:
+                found = [
+                    e.ids for e in self._tokenizer.encode_batch(others, add_special_tokens=False)
+                ]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
+                self._chunks.add(others, flat, sizes)
+        return [self._chunks.take(chunks)[0] for chunks in split]
 
-    def _forget(self) -> None:
-        self._number: dict[str, int] = {}
-        self._ids, self._starts = np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+    def _is_simple(self, chunk: str) -> bool:
+        return (
+            self._merges is not None
+            and _SIMPLE.fullmatch(chunk) is not None
+            and not ("<" in chunk and any(s in chunk for s in self._special))
+        )
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self._ids) > self._known_ids:
-            self._forget()
-        unseen = list({c: None for c in chunks if c not in self._number})
+    def _learn_words(self, chunks: list[str]) -> None:
+        words = [_WORDS.findall(c.lower()) for c in chunks]
+        unseen = list({w: None for ws in words for w in ws if w not in self._words.number})
         if unseen:
-            found = [e.ids for e in self._tokenizer.encode_batch(unseen, add_special_tokens=False)]
-            first = len(self._number)
-            self._number.update((c, first + i) for i, c in enumerate(unseen))
-            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            self._ids = np.concatenate([self._ids, *(np.array(f, dtype="<u4") for f in found)])
-            self._starts = np.append(self._starts, self._starts[-1] + np.cumsum(sizes))
-
-    def __call__(self, text: str) -> np.ndarray:
-        chunks = _CHUNK.findall(text)
-        if not chunks:
-            return np.empty(0, dtype="<u4")
-        try:
-            at = np.fromiter(map(self._number.__getitem__, chunks), np.int64, len(chunks))
-        except KeyError:
-            self._learn(chunks)
-            at = np.fromiter(map(self._number.__getitem__, chunks), np.int64, len(chunks))
-        starts, sizes = self._starts[at], self._starts[at + 1] - self._starts[at]
-        ends = np.cumsum(sizes)
-        return self._ids[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)]
+            found = self._merges.encode(
+                [w.translate(self._bytes) for w in unseen],
+                is_pretokenized=True,
+                add_special_tokens=False,
+            )
+            sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(unseen))
+            self._words.add(unseen, np.array(found.ids, dtype=np.int64), sizes)
+        ids, sizes = self._words.take([w for ws in words for w in ws])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        per_chunk = np.add.reduceat(sizes, np.append(0, ends[:-1]))
+        self._chunks.add(chunks, ids, per_chunk)
+
+
+def _known_steps(told: dict) -> bool:
+    """Whether a tokenizer file has the steps that :data:`_WORDS` stands for."""
+    normalizers = (told["normalizer"] or {}).get("normalizers", [])
+    splitters = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in normalizers] == _STEPS["normalizer"]
+        and [s["type"] for s in splitters] == _STEPS["pre_tokenizer"]
+        and splitters[0]["pattern"] == {"Regex": _SPLIT}
+        and splitters[0]["behavior"] == "Removed"
+        and splitters[0]["invert"]
+        and not splitters[1]["add_prefix_space"]
+        and not splitters[1]["use_regex"]
+    )
+
+
+@lru_cache(maxsize=1)
+def _encoder(tokenizer_json: bytes) -> ChunkEncoder:
+    """One encoder per Python worker: its next task goes on with what it knows."""
+    return ChunkEncoder(tokenizer_json)
 
 
 def binary_pieces(tokens: int, longest: int) -> list[int]:
@@ -90,7 +184,7 @@ def _packed(
     longest: int,
     schema: pa.Schema,
 ) -> Iterator[pa.RecordBatch]:
-    encode = ChunkEncoder(tokenizer_json)
+    encode = _encoder(tokenizer_json)
     end = np.array([end_id], dtype="<u4")
     places = [0] * longest.bit_length()  # sequences so far of each bucket in this task
 
@@ -106,8 +200,9 @@ def _packed(
     for batch in batches:
         task = (batch.column(2)[0].as_py() if len(batch) else 0) << PLACE_BITS
         held, size = [], 0
-        for row, text in enumerate(batch.column(1)):
-            ids = np.concatenate([encode(text.as_py() or ""), end])
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        for row, own in enumerate(encode(texts)):
+            ids = np.concatenate([own, end])
             start = 0
             for length in binary_pieces(len(ids), longest):
                 bucket = longest.bit_length() - length.bit_length()
