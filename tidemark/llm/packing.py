@@ -13,6 +13,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ KNOWN = 1_000_000
 SENT_IDS = 1_000_000
 
 _CHUNK = re.compile(WORD)
+#: White space to ``str.split`` that is none to the tokenizers.
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 # The steps of the tokenizers whose words are told apart here.
 _STEPS = {
@@ -39,7 +42,8 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Characters on which those steps say nothing but lower case, and their words.
 _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n")
+_BREAK = "\n"
 
 
 class Known:
@@ -59,13 +63,13 @@ class Known:
         self._ids = _roomy(self._ids, int(ends[-1]))
         self._ids[ends[-1] - len(ids) : ends[-1]] = ids
 
-    def take(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the strings in a row, and how many each has."""
+    def take(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of the strings in a row, how many each has, and the strings' numbers."""
         at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
         starts, sizes = self._starts[at], self._starts[at + 1] - self._starts[at]
         ends = np.cumsum(sizes)
         places = np.arange(ends[-1] if len(ends) else 0)
-        return self._ids[places + np.repeat(starts - ends + sizes, sizes)], sizes
+        return self._ids[places + np.repeat(starts - ends + sizes, sizes)], sizes, at
 
 
 def _roomy(a: np.ndarray, size: int) -> np.ndarray:
@@ -103,15 +107,21 @@ class ChunkEncoder:
                 t.content for t in self._tokenizer.get_added_tokens_decoder().values()
             )
         self._most = known
+        self._forget()
+
+    def _forget(self) -> None:
         self._chunks, self._words = Known(), Known()
+        self._words.add([_BREAK], np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [_CHUNK.findall(text) for text in texts]
+        split = [
+            _CHUNK.findall(t) if any(c in t for c in _NOT_SPACE) else t.split() for t in texts
+        ]
         if len(self._chunks.number) + len(self._words.number) > self._most:
-            self._chunks, self._words = Known(), Known()
+            self._forget()
         number = self._chunks.number
-        unseen = list({c: None for chunks in split for c in chunks if c not in number})
+        unseen = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in number]
         if unseen:
             simple = [c for c in unseen if self._is_simple(c)]
             if simple:
@@ -133,8 +143,8 @@ class ChunkEncoder:
         )
 
     def _learn_words(self, chunks: list[str]) -> None:
-        words = [_WORDS.findall(c.lower()) for c in chunks]
-        unseen = list({w: None for ws in words for w in ws if w not in self._words.number})
+        words = _WORDS.findall(_BREAK.join(chunks).lower())
+        unseen = [w for w in dict.fromkeys(words) if w not in self._words.number]
         if unseen:
             found = self._merges.encode(
                 [w.translate(self._bytes) for w in unseen],
@@ -143,10 +153,9 @@ class ChunkEncoder:
             )
             sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(unseen))
             self._words.add(unseen, np.array(found.ids, dtype=np.int64), sizes)
-        ids, sizes = self._words.take([w for ws in words for w in ws])
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        per_chunk = np.add.reduceat(sizes, np.append(0, ends[:-1]))
-        self._chunks.add(chunks, ids, per_chunk)
+        ids, sizes, number = self._words.take(words)
+        starts = np.append(0, np.flatnonzero(number == 0) + 1)  # the break was the first word
+        self._chunks.add(chunks, ids, np.add.reduceat(sizes, starts))
 
 
 def _known_steps(told: dict) -> bool:
