@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exact import exact_total
 from tidemark.functions.ratios import share_pct
 from tidemark.session import materialised
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:
-    """Sum that cannot overflow for integers; doubles are summed as they are."""
+    """Sum that cannot overflow for integers and has no order of adding for doubles."""
     if isinstance(df.schema[column].dataType, T.IntegralType):
         return F.sum(F.col(column).cast("decimal(20,0)")).cast("double")
-    return F.sum(column)
+    return exact_total(column)
 
 
 def share_of_total(
@@ -49,5 +50,5 @@ def group_share(
         )
     )
     return share_of_total(
-        grouped, "_part", name, digits, grouped.agg(F.sum("_part")).scalar()
+        grouped, "_part", name, digits, grouped.agg(exact_total("_part")).scalar()
     ).drop("_part")

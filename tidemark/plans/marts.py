@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as v
 from tidemark.functions.bands import Bands, banded
 from tidemark.functions.dates import instant
+from tidemark.functions.exact import exact_mean, exact_total
 from tidemark.functions.ratios import share_pct
 from tidemark.functions.scores import contrarian_signal, crossover, scorecard, weighted_score
 from tidemark.operators.latest import with_latest
@@ -49,7 +50,7 @@ def tier_summary(assets: DataFrame) -> DataFrame:
         2,
         {
             "coin_count": F.count("*"),
-            "tier_market_cap": F.sum(F.col("market_cap").cast("double")),
+            "tier_market_cap": exact_total("market_cap"),
         },
     )
 
@@ -64,12 +65,12 @@ def market_dominance(assets: DataFrame, as_of: AsOf = None) -> DataFrame:
     sizes = materialised(
         base.groupBy("price_tier", "market_cap").agg(F.count("*").alias("ties"))
     ).withColumn("capital", F.col("market_cap").cast("double") * F.col("ties"))
-    total = sizes.agg(F.sum("capital")).scalar()
+    total = sizes.agg(exact_total("capital")).scalar()
     # one row per tier label, a handful unless a caller brings other labels
     tiers = broadcast_if_small(
         share_of_total(
             sizes.groupBy("price_tier").agg(
-                F.sum("capital").alias("capital"), F.sum("ties").alias("coins_in_tier")
+                exact_total("capital").alias("capital"), F.sum("ties").alias("coins_in_tier")
             ),
             "capital",
             "tier_dominance_pct",
@@ -223,7 +224,7 @@ def zone_statistics(sentiment: DataFrame) -> DataFrame:
         1,
         {
             "days_count": F.count("*"),
-            "avg_index_value": F.round(F.avg("value"), 1),
+            "avg_index_value": exact_mean("value", 1),
             "min_value": F.min("value"),
             "max_value": F.max("value"),
             "std_dev": F.coalesce(F.round(F.stddev_samp("value"), 1), F.lit(0.0)),
@@ -238,7 +239,7 @@ def trend_summary(sentiment: DataFrame) -> DataFrame:
         .groupBy("sentiment_trend")
         .agg(
             F.count("*").alias("trend_days"),
-            F.round(F.avg("value"), 1).alias("avg_value_during_trend"),
+            exact_mean("value", 1).alias("avg_value_during_trend"),
         )
     )
 
@@ -282,8 +283,8 @@ def market_breadth(
         F.count("*").alias("total_coins"),
         *[counted(c > 0).alias(f"up_{h}") for h, c in moves.items()],
         *[counted(c < 0).alias(f"down_{h}") for h, c in moves.items()],
-        *[F.round(F.avg(c), 2).alias(f"avg_change_{h}") for h, c in moves.items()],
-        F.round(F.avg("volume_to_mcap_ratio"), 4).alias("avg_volume_ratio"),
+        *[exact_mean(c, 2).alias(f"avg_change_{h}") for h, c in moves.items()],
+        exact_mean("volume_to_mcap_ratio", 4).alias("avg_volume_ratio"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as v
+from tidemark.functions.exact import exact_mean
 from tidemark.operators import ticks
 from tidemark.operators.lookups import broadcast_if_small
 from tidemark.operators.shares import group_share
@@ -69,8 +70,8 @@ def category_comparison(
         .groupBy("category")
         .agg(
             F.count("*").alias("assets"),
-            F.round(F.avg("momentum_score"), 2).alias("avg_momentum"),
-            F.round(F.avg("volatility_score"), 2).alias("avg_volatility"),
+            exact_mean("momentum_score", 2).alias("avg_momentum"),
+            exact_mean("volatility_score", 2).alias("avg_volatility"),
             *[F.count_if(F.col("signal") == s).alias(s.lower()) for s in signals],
         )
     )
@@ -86,7 +87,7 @@ def subcategory_performance(
     joined = with_category(assets.select("id", "price_change_pct_7d"), dimension)
     return joined.groupBy("subcategory").agg(
         F.count("*").alias("assets"),
-        F.round(F.avg("price_change_pct_7d"), 2).alias("avg_change_7d"),
+        exact_mean("price_change_pct_7d", 2).alias("avg_change_7d"),
     )
 
 
@@ -145,7 +146,7 @@ def signal_cohorts(momentum: DataFrame) -> DataFrame:
         .otherwise(F.lit("neutral"))
     )
     return momentum.groupBy(cohort.alias("cohort")).agg(
-        F.count("*").alias("assets"), F.round(F.avg("market_cap_rank"), 2).alias("avg_rank")
+        F.count("*").alias("assets"), exact_mean("market_cap_rank", 2).alias("avg_rank")
     )
 
 
