@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_slice
+from tidemark.functions.exact import exact_total
+from tidemark.operators.inversions import inversion_count, inversions_of_groups
 from tidemark.operators.ordering import earlier_max
 
 
@@ -24,7 +26,10 @@ class Check:
     """``rows`` aggregates in the shared pass; ``table`` makes its own one-row frame.
 
     ``groups`` aggregates the groups of ``keys``, which have their size ``_n`` and
-    the aggregates ``per_group``.
+    the aggregates ``per_group``; of two parts of a table, ``merge`` combines those.
+    ``summed`` is the column whose exact sum ``rows`` rounds, else ``rows`` is a count.
+    A check with its own frame says with ``of_groups`` how it follows from the groups
+    of ``keys``, for tables that are kept as states.
 
     ``holds`` is a SQL condition on ``{observed}``: a few hundred checks are
     cheaper to plan as text than as columns built one call at a time.
@@ -37,7 +42,10 @@ class Check:
     table: Callable[[DataFrame], DataFrame] | None = None
     keys: tuple[str, ...] = ()
     per_group: Mapping[str, Column] = field(default_factory=dict)
+    merge: Callable[[str], Column] = F.max
     groups: Column | None = None
+    summed: str | None = None
+    of_groups: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _is(op: str, bound: float) -> str:
@@ -58,8 +66,7 @@ def count(name: str, op: str, bound: int, matching: Column | None = None) -> Che
 def total(name: str, column: str, target: float, within: float) -> Check:
     """Column sum close to a target; without any row there is no sum and no pass."""
     near = f"round(abs({{observed}} - {target}D), 6) < {within}D"
-    # rounded, so that the order in which doubles are added cannot turn the verdict
-    return Check(name, "sum", near, rows=F.round(F.sum(column), 6))
+    return Check(name, "sum", near, rows=F.round(exact_total(column), 6), summed=column)
 
 
 # --- one grouping per key set -------------------------------------------------
@@ -88,7 +95,10 @@ def groups(
     having: Column | None = None,
     aggregates: Mapping[str, Column] | None = None,
 ) -> Check:
-    """Number of groups (that satisfy ``having``); ``_n`` is the group size."""
+    """Number of groups (that satisfy ``having``); ``_n`` is the group size.
+
+    ``aggregates`` are maxima, of which a table kept in parts takes the maximum.
+    """
     matching = F.count("*") if having is None else F.count_if(having)
     return Check(
         name, "group", _is(op, bound), keys=tuple(keys), per_group=aggregates or {}, groups=matching
@@ -109,27 +119,43 @@ def _surplus(df: DataFrame, column: str) -> DataFrame:
 
 def latest_unique(name: str, order: str, column: str) -> Check:
     """No value twice in the most recent run."""
+
+
+    def of_groups(groups: DataFrame) -> DataFrame:
+        runs = groups.where(F.col(order).isNotNull()).groupBy(order)
+        per_run = runs.agg(_surplus_of(F.col("_n"), column).alias("_surplus"))
+        newest = F.coalesce(F.max_by("_surplus", order), F.lit(0))
+        return per_run.agg(newest.alias("observed"))
+
     return Check(
-        name, "latest", _is("=", 0), table=lambda df: _surplus(latest_slice(df, order), column)
+        name,
+        "latest",
+        _is("=", 0),
+        table=lambda df: _surplus(latest_slice(df, order), column),
+        keys=(order, column),
+        of_groups=of_groups,
     )
 
 
 def inversions(df: DataFrame, order: str, value: str) -> DataFrame:
     """Keys holding a row whose ``value`` is below that of some smaller key.
 
-    Compared with the running maximum of the smaller keys: one ordered pass in
-    place of the pairwise join that counts the pairs themselves.
+    Compared with the running maximum of the smaller keys, in one ordered pass;
+    :func:`inversion_count` tells how many pairs there are.
     """
     seen = earlier_max(df, order, F.col(value), "earlier")
     return seen.filter(F.col("low") < F.col("earlier")).select(order)
 
 
 def ordered(name: str, order: str, value: str) -> Check:
+    """No pair of rows in which the later one has the smaller value."""
     return Check(
         name,
         "order",
         _is("=", 0),
-        table=lambda df: inversions(df, order, value).agg(F.count("*").alias("observed")),
+        table=lambda df: inversion_count(df, order, value),
+        keys=(order, value),
+        of_groups=lambda groups: inversions_of_groups(groups, order, value),
     )
 
 
@@ -166,7 +192,8 @@ class Contract:
 
 
 # --- running -----------------------------------------------------------------
-def _verdict(table_name: str, check: Check, observed: str) -> str:
+def verdict(table_name: str, check: Check, observed: str) -> str:
+    """The row of a check as SQL text, from a column or expression that holds what it observed."""
     measured = f"double({observed})"
     text = check.name.replace("\\", "\\\\").replace("'", "\\'")
     return (
@@ -193,7 +220,7 @@ def dq_suite(table_name: str, df: DataFrame, checks: Iterable[Check]) -> DataFra
         )
         seen = sizes.agg(F.struct(*[c.groups.alias(n) for n, c in sharing.items()])).scalar()
         alone |= {n: seen[n] for n in sharing}
-    verdicts = [_verdict(table_name, c, n) for n, c in numbered.items()]
+    verdicts = [verdict(table_name, c, n) for n, c in numbered.items()]
     return one_row.withColumns(alone).selectExpr(f"inline(array({', '.join(verdicts)}))")
 
 

@@ -2,7 +2,8 @@
 
 Ticks are first reduced to one row per asset and day with partial aggregates,
 so an asset with a third of all ticks is spread over the map tasks and reaches
-its window as one row per day.
+its window as one row per day. The last of several ticks at one time is the one
+with the largest value.
 """
 
 from __future__ import annotations
@@ -12,9 +13,43 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exact import exact_total
 from tidemark.functions.ratios import change_pct
 
 
+def _rank_of(value: Column) -> Column:
+    """A whole number that orders doubles as they order themselves: NULL least, NaN most.
+
+    Built as the bits of a double are, from exponent and mantissa, so that distinct
+    values get distinct numbers (but for those within 1e-300 of 0).
+    """
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    mantissa = size * F.pow(F.lit(2.0), -power)
+    low = mantissa < 1  # the logarithm was rounded up to a whole number
+    power, mantissa = power - low.cast("int"), F.when(low, mantissa * 2).otherwise(mantissa)
+    bits = (power + 1023) * F.lit(2**52) + ((mantissa - 1) * F.lit(2.0**52)).cast("bigint")
+    rank = F.when(size < 1e-300, F.lit(0)).otherwise(F.when(value < 0, -bits).otherwise(bits))
+    return (
+        F.when(value.isNull(), F.lit(-(2**62) * 2 + 1))
+        .when(size < float("inf"), rank)
+        .when(value < 0, F.lit(-(2**62) * 2 + 2))
+        .otherwise(F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(F.lit(2**63 - 2)))
+        .cast("decimal(20,0)")
+    )
+
+
+def tick_order(time: str, value: str) -> Column:
+    """Orders ticks by time, and ticks at one time by value, in one number of fixed width.
+
+    As the order of ``max_by`` it keeps the aggregation a hash aggregation; a pair of
+    columns there would have every task sort its ticks first.
+    """
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(18,0)")
+    scaled = micros * F.lit(str(2**64)).cast("decimal(20,0)")
+    return (scaled + _rank_of(F.col(value).cast("double"))).cast("decimal(38,0)")
+
+
 def snapshot(
     ticks: DataFrame,
     horizons: Mapping[str, str],
@@ -22,24 +57,26 @@ def snapshot(
     key: str = "id",
     time: str = "ts",
     value: str = "value",
+    now: Column | None = None,
 ) -> DataFrame:
     """Last price, day range and volume, all-time marks and changes per horizon.
 
-    ``horizons`` maps a suffix to an interval back from the newest tick of the
-    table; the reference price is the last one at or before that time. All
-    aggregates keep fixed-width state, so ticks are combined by hash on the map
-    side and never sorted.
+    ``horizons`` maps a suffix to an interval back from ``now``, by default the
+    newest tick of the table; the reference price is the last one at or before that
+    time. All aggregates keep fixed-width state, so ticks are combined by hash on
+    the map side and never sorted.
     """
-    now = ticks.agg(F.max(time)).scalar()
-    at, price = F.col(time), F.col(value)
+    if now is None:
+        now = ticks.agg(F.max(time)).scalar()
+    at, price, order = F.col(time), F.col(value), F.col("_order")
     last_day = at > now - F.expr("interval 1 day")
     past = {
-        h: F.max_by(price, F.when(at <= now - F.expr(f"interval {span}"), at))
+        h: F.max_by(price, F.when(at <= now - F.expr(f"interval {span}"), order))
         for h, span in horizons.items()
     }
-    grouped = ticks.groupBy(key).agg(
-        F.max_by(price, at).alias("current_price"),
-        F.sum(F.when(last_day, price)).alias("total_volume"),
+    grouped = ticks.withColumn("_order", tick_order(time, value)).groupBy(key).agg(
+        F.max_by(price, order).alias("current_price"),
+        exact_total(F.when(last_day, price)).alias("total_volume"),
         F.max(F.when(last_day, price)).alias("high_24h"),
         F.min(F.when(last_day, price)).alias("low_24h"),
         F.max(price).alias("ath"),
@@ -66,7 +103,8 @@ def daily_prices(
 ) -> DataFrame:
     """Closing price and traded volume per asset and day."""
     return ticks.groupBy(key, F.col(time).cast("date").alias("day")).agg(
-        F.max_by(value, time).alias("close"), F.sum(value).alias("volume")
+        F.max_by(value, tick_order(time, value)).alias("close"),
+        exact_total(value).alias("volume"),
     )
 
 
@@ -153,16 +191,16 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pairwise correlation of the daily closes of the leading assets.
 
-    ``leaders`` has the columns (id, position 1..size); of assets that tie on the
-    last places, those with the smaller ids take part. The closes of one day become
-    one wide row, so a pair is an aggregate over wide rows and the table is never
-    joined with itself.
+    ``leaders`` has the columns (id, position); the first ``size`` by position and id
+    take part, whatever positions are missing or tied, and an asset listed twice takes
+    part once. The closes of one day become one wide row, so a pair is an aggregate
+    over wide rows and the table is never joined with itself.
     """
     # at most ``size`` rows, numbered anew as positions may tie
     first = (
-        leaders.filter(F.col("position").between(1, size))
-        .select(key, "position")
-        .distinct()
+        leaders.filter(F.col("position").isNotNull() & F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.min("position").alias("position"))
         .orderBy("position", key)
         .limit(size)
     )
