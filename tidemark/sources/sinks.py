@@ -181,17 +181,22 @@ def retained(df: DataFrame, day: str, keep_days: int, as_of: Column) -> DataFram
     return df.filter(F.col(day).cast("date") > F.date_sub(as_of.cast("date"), keep_days))
 
 
-def _days(spark: SparkSession, path: str, day: str) -> list[str]:
+def stored_days(spark: SparkSession, path: str, day: str) -> list[str]:
+    """The days that have a folder."""
     prefix = f"{day}="
     return [n.removeprefix(prefix) for n in files.names(spark, path) if n.startswith(prefix)]
 
 
+def remove_day(spark: SparkSession, path: str, day: str, name: str) -> None:
+    files.remove(files.folder(spark, f"{path}/{day}={name}"))
+
+
 def drop_expired(spark: SparkSession, path: str, day: str, keep_days: int, as_of: Column) -> None:
     """Delete the snapshots that :func:`retained` leaves out, a folder a day."""
     last = spark.range(1).select(F.date_sub(as_of.cast("date"), keep_days).cast("string")).first()[0]
-    for name in _days(spark, path, day):
+    for name in stored_days(spark, path, day):
         if name <= last:
-            files.remove(files.folder(spark, f"{path}/{day}={name}"))
+            remove_day(spark, path, day, name)
 
 
 def in_range(df: DataFrame, day: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
@@ -209,9 +214,9 @@ def backfill(df: DataFrame, path: str, day: str, start: dt.date | str, end: dt.d
     write_days(fresh, path, day)
     # one row a day of the interval
     filled = {str(r[0]) for r in fresh.select(F.col(day).cast("string")).distinct().collect()}
-    for name in _days(spark, path, day):
+    for name in stored_days(spark, path, day):
         if str(start) <= name <= str(end) and name not in filled:
-            files.remove(files.folder(spark, f"{path}/{day}={name}"))
+            remove_day(spark, path, day, name)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
