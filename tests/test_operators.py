@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows, same
 from tidemark.operators import latest, lookups, shares, ticks, topk
+from tidemark.session import materialised
 
 
 # --- lookups -----------------------------------------------------------------
-@pytest.mark.parametrize("broadcast_rows", [100_000, 10])
-def test_summary_join_with_hot_and_cold_keys(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10_000_000, 10])
+def test_summary_join_with_hot_and_cold_keys(spark, broadcast_bytes):
     n = F.col("id")
     key = F.when(n % 3 == 0, -1).when(n % 97 != 0, (n % 2000).cast("int"))
     df = spark.range(30_000).withColumn("k", key)
     summary = {"n": F.count("*"), "m": F.max("id")}
-    got = lookups.join_group_summary(df, "k", summary, broadcast_rows, hot_keys=10)
+    got = lookups.join_group_summary(df, "k", summary, broadcast_bytes, hot_keys=10)
     per = df.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
     naive = df.join(per.withColumnRenamed("k", "k2"), F.col("k").eqNullSafe(F.col("k2")))
     assert got.count() == 30_000
@@ -25,12 +26,42 @@ def test_summary_join_with_hot_and_cold_keys(spark, broadcast_rows):
 
 def test_broadcast_only_below_the_bound(spark):
     small, fact = spark.range(10), spark.range(1000)
-    joined = fact.join(lookups.broadcast_if_small(small, 10), "id")
+    assert lookups.measured_bytes(small) == 10 * (32 + 8)
+    joined = fact.join(lookups.broadcast_if_small(small, 400), "id")
     assert "BroadcastHashJoin" in plan(joined)
-    hinted = lookups.broadcast_if_small(small, 9)
+    hinted = lookups.broadcast_if_small(small, 399)
     assert "ResolvedHint" not in hinted._jdf.queryExecution().analyzed().toString()
 
 
+def test_the_width_of_rows_counts(spark):
+    wide = spark.range(50).select(
+        "id",
+        F.repeat(F.lit("é"), 10_000).alias("text"),
+        F.array(F.lit(1), F.lit(2)).alias("numbers"),
+        F.lit(None).cast("string").alias("nothing"),
+        F.lit(1).cast("decimal(38,2)").alias("price"),
+    )
+    assert 50 * 20_000 < lookups.measured_bytes(wide) < 50 * 20_200
+    assert lookups.measured_bytes(wide.limit(0)) == 0
+    detail = spark.range(2_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("id"))
+    per_key = materialised(
+        wide.join(detail.groupBy("id").agg(F.count("*").alias("n")), "id", "left").fillna(0, ["n"])
+    )
+    ways = {}
+    # what the planner makes of the small compressed files is not asked here
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for limit in (10**7, 10**5):
+        joined = lookups.join_per_key(detail, per_key.drop("numbers"), "id", "n", limit, hot_keys=20)
+        ways[limit] = rows(joined.withColumn("text", F.length("text")))
+        assert ("SortMergeJoin" in plan(joined) or "ShuffledHashJoin" in plan(joined)) == (
+            limit == 10**5
+        )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert ways[10**7] == ways[10**5]
+    assert len(ways[10**5]) == 2_000
+
+
 # --- shares ------------------------------------------------------------------
 def test_share_of_total(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "id string, x long")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +15,15 @@ from tidemark.functions.bands import banded
 from tidemark.functions.dates import day_text, try_day
 from tidemark.functions.ratios import default_nulls, remainder_pct, safe_ratio, share_pct
 from tidemark.functions.scores import contrarian_signal, scorecard, weighted_score
-from tidemark.operators import latest, lookups, ordering, quality, shares, ticks, topk
-from tidemark.plans import checks, marts, reports, staging
+from tidemark.operators import (
+    latest, lookups, ordering, quality, quality_states, shares, sketches, tick_states, ticks, topk,
+)
+from tidemark.operators.inversions import inversion_count
+from tidemark.plans import checks, marts, reports, restate, staging
 from tidemark.plans.refresh import MARTS, STAGED
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, materialised
 from tidemark.sources import readers, sinks
+from tidemark.sources.published import Publisher
 from tidemark.streaming.ingest import incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +180,35 @@ def _incremental(m: Market) -> DataFrame:
     return sinks.read_merged(m.spark, target)
 
 
+_RESTATED = ("1995-03-10", "1995-03-12")
+
+
+@_query("backfill_dependants")
+def _dependants(m: Market) -> DataFrame:
+    """Three days restated: the staged series after the rows that read them were rewritten."""
+    path, staged = fresh_path(m.spark, "staged-months"), m["sentiment"]
+    restate.store_sentiment(staged, path, restate.MONTH)
+    changed = F.col(restate.DAY).between(*[F.lit(d).cast("date") for d in _RESTATED])
+    value = F.when(changed, 100 - F.col("value")).otherwise(F.col("value"))
+    restated = m["raw_sentiment"].withColumns(
+        {"value_classification": banded(value, v.SENTIMENT_LABELS), "value": value}
+    )
+    restate.restate_sentiment(restated, path, *_RESTATED, folder=restate.MONTH)
+    return m.spark.read.parquet(path).select(*staged.columns)
+
+
+@_query("published_tables")
+def _published(m: Market) -> DataFrame:
+    """Rows of the tables by name, after one of them was replaced by another shape."""
+    publisher = Publisher(m.spark, fresh_path(m.spark, "published"))
+    publisher.publish(m["raw_assets"], "raw", "assets")
+    publisher.publish(m.spark.table("raw.assets").limit(0), "staging", "enriched_assets")
+    publisher.publish(m["assets"], "staging", "enriched_assets")
+    publisher.publish(m["market_regime"], "analytics", "market_regime")
+    names = ("raw.assets", "staging.enriched_assets", "analytics.market_regime")
+    return sinks.row_counts({name: m.spark.table(name) for name in names})
+
+
 ALL_TABLES = [*RAW_TABLES, *STAGED, *MARTS]
 
 
@@ -382,16 +417,24 @@ _add(
         "o_orderkey", "o_custkey", "o_totalprice"
     ),
 )
+
+
+def _order_days(m: Market) -> DataFrame:
+    day = F.col("o_orderdate").cast("date").alias("order_day")
+    return table(m.spark, m.sf_dir, "orders").select(day, "o_orderkey")
+
+
 _add(
     "order_inversions",
-    lambda m: quality.inversions(
-        table(m.spark, m.sf_dir, "orders").select(
-            F.col("o_orderdate").cast("date").alias("order_day"), "o_orderkey"
-        ),
-        "order_day",
-        "o_orderkey",
+    # in slices of a few thousand orders, so that rows meet in all three ways
+    lambda m: inversion_count(_order_days(m), "order_day", "o_orderkey", size=4_000).select(
+        F.col("inversions").cast("bigint").alias("inversions")
     ),
 )
+_add(
+    "order_inversion_days",
+    lambda m: quality.inversions(_order_days(m), "order_day", "o_orderkey"),
+)
 
 # --- aggregates --------------------------------------------------------------
 _add("market_breadth", lambda m: marts.market_breadth(m["assets"]))
@@ -417,6 +460,25 @@ _add(
     ),
 )
 
+_SKETCHED = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+
+
+@_query("distinct_sketches")
+def _sketches(m: Market) -> DataFrame:
+    """Distinct values from sketches stored by order priority: near the exact number or not."""
+    orders = table(m.spark, m.sf_dir, "orders")
+    path = fresh_path(m.spark, "sketches")
+    states = sketches.distinct_states(orders, _SKETCHED, ["o_orderpriority"])
+    states.toDF("by", *_SKETCHED).write.parquet(path)
+    whole = sketches.merged(m.spark.read.parquet(path), _SKETCHED)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("estimate")) for c in _SKETCHED]
+    found = sketches.estimates(whole, _SKETCHED).select(F.inline(F.array(*cells)))
+    off = F.abs(F.col("estimate") - F.col("values")) / F.col("values")
+    return reports.distinct_counts(orders, _SKETCHED).join(found, "column_name").select(
+        "column_name", "values", (off <= 4 * sketches.relative_error()).alias("near")
+    )
+
+
 # --- windows, order and top-k ------------------------------------------------
 _add(
     "asset_share",
@@ -529,7 +591,7 @@ _add(
         table(m.spark, m.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"),
         "l_suppkey",
         {"rows_of_supplier": F.count("*")},
-        broadcast_rows=10,
+        broadcast_bytes=10,
         hot_keys=80,
     ),
 )
@@ -573,6 +635,24 @@ _add(
     lambda m: reports.subcategory_performance(m.stored("assets"), m["raw_categories"]),
 )
 
+@_query("dq_from_states")
+def _state_verdicts(m: Market) -> DataFrame:
+    """All verdicts from states of three parts of each table, added one after another."""
+    root, tables = fresh_path(m.spark, "states"), _stored(m)
+    every = checks.all_checks(tables, m.now)
+    part = F.pmod(F.xxhash64(F.lit("part"), F.monotonically_increasing_id()), F.lit(3))
+
+    def add(name: str) -> None:
+        split = materialised(tables[name].withColumn("_part", part))
+        for i in range(3):
+            rows = split.where(F.col("_part") == i).drop("_part")
+            quality_states.add_day(rows, every[name], f"{root}/{name}", f"2024-01-0{i + 1}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(add, tables))
+    return quality_states.suites_from_states(m.spark, root, every)
+
+
 # --- series ------------------------------------------------------------------
 _add(
     "zone_runs",
@@ -606,12 +686,40 @@ def _snapshot(m: Market) -> DataFrame:
     )
 
 
+@_query("snapshot_from_states")
+def _state_snapshot(m: Market) -> DataFrame:
+    """The snapshot at the end of the newest day, from states extended day by day."""
+    path, all_ticks = fresh_path(m.spark, "tick-states"), m.ticks()
+    newest = all_ticks.agg(F.max("ts").cast("date")).first()[0]
+    week_ago = newest - dt.timedelta(days=7)
+    day = F.col("ts").cast("date")
+    tick_states.extend(m.spark, path, all_ticks.where(day < newest), since=week_ago)
+    tick_states.extend(m.spark, path, all_ticks.where(day == F.lit(newest)))
+    snap = tick_states.snapshot_at(m.spark, path, newest, {"24h": 1, "7d": 7})
+    return snap.select(
+        "id", "current_price", F.round("total_volume", 2).alias("total_volume"), "high_24h",
+        "low_24h", "ath", "atl", "first_at", "last_at",
+        F.round("ath_change_pct", 4).alias("ath_change_pct"),
+        F.round("change_pct_24h", 4).alias("change_pct_24h"),
+        F.round("change_pct_7d", 4).alias("change_pct_7d"),
+        "ticks",
+    )
+
+
 @_query("correlation_matrix")
 def _correlations(m: Market) -> DataFrame:
     leaders = m["raw_assets"].select("id", F.col("market_cap_rank").cast("int").alias("position"))
     return ticks.correlation_matrix(ticks.daily_prices(m.ticks()), leaders)
 
 
+@_query("sentiment_price_corr_30d")
+def _recent_mood(m: Market) -> DataFrame:
+    """The index against the turnover of the same day, over the last 30 days."""
+    return reports.sentiment_price_correlation(
+        m["raw_sentiment"], order_prices(m.spark, m.sf_dir), days=30
+    )
+
+
 @_query("sentiment_price_corr")
 def _mood_correlation(m: Market) -> DataFrame:
     """The index against the turnover of the same day, over the whole series."""

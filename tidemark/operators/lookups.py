@@ -4,30 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialised
 
 
-BROADCAST_ROWS = 200_000
+#: Most bytes of rows that are sent to every executor.
+BROADCAST_BYTES = 32 * 2**20
+#: What a row takes in memory beside its values.
+_ROW_BYTES = 32
 
 
-def at_most(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has no more than ``limit`` rows.
+def measured_bytes(df: DataFrame) -> int:
+    """What the rows take in memory: counted rows times fixed widths, and the bytes of texts.
 
-    A count sends one number per task; on a stored table it reads row counts
-    from the file footers. (A limit before the count would send up to ``limit``
-    rows per task to a single one.) Meant for stored or materialised tables and
-    small aggregates of them.
+    One number leaves each task. Meant for stored or materialised tables and small
+    aggregates of them.
     """
-    return df.count() <= limit
+    fixed, measured = _ROW_BYTES, []
+    for name, field in zip(df.columns, df.schema.fields, strict=True):
+        column, kind = F.col(f"`{name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            measured.append(F.octet_length(column))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            # the text of a nested value is about as long as the value, or longer
+            measured.append(F.octet_length(F.to_json(F.struct(column))))
+        else:
+            fixed += 16 if isinstance(kind, T.DecimalType) else 8
+    texts = [F.coalesce(F.sum(m), F.lit(0)) for m in measured]
+    rows, *sizes = df.agg(F.count("*"), *texts).first()
+    return rows * fixed + sum(sizes)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint after a count, and no hint above the bound.
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df) <= limit
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for rows measured to fit, and no hint above the bound.
 
     Without the hint the join is left to Catalyst and adaptive skew handling.
     """
-    return F.broadcast(df) if at_most(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
 def join_broadcast(detail: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
@@ -43,25 +61,29 @@ def join_per_key(
     per_key: DataFrame,
     key: str,
     weight: str,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = 1000,
 ) -> DataFrame:
     """Bring a table with one row per key back to the detail rows (left join).
 
     ``per_key`` is read several times and should be a stored or materialised
-    table; ``weight`` is the number of detail rows of a key. A table counted
+    table; ``weight`` is the number of detail rows of a key. A table measured
     small is broadcast whole. Otherwise keys with more than 1/``hot_keys`` of
-    all rows, of which there are fewer than ``hot_keys``, are broadcast and their
-    rows stay where they are; only the others are shuffled.
+    all rows, of which there are fewer than ``hot_keys``, are broadcast where they
+    fit, and their rows stay where they are; only the others are shuffled. Hot keys
+    with values too wide to send are shuffled like the others, for adaptive
+    execution to split.
     """
     payload = [c for c in per_key.columns if c not in (key, weight)]
-    if at_most(per_key, broadcast_rows):
+    if fits_broadcast(per_key, broadcast_bytes):
         return join_broadcast(detail, per_key.select(key, *payload), key)
     values = F.struct(*payload)
     total = per_key.agg(F.sum(weight)).scalar()
     table = per_key.withColumn("_hot", F.col(weight) * F.lit(hot_keys) > total)
     hot = table.filter("_hot").select(F.col(key).alias("_hk"), values.alias("_hv"))
     cold = table.filter("NOT _hot").select(F.col(key).alias("_ck"), values.alias("_cv"))
+    if not fits_broadcast(hot, max(broadcast_bytes, BROADCAST_BYTES)):
+        hot, cold = hot.limit(0), table.select(F.col(key).alias("_ck"), values.alias("_cv"))
     is_hot = F.col(key).eqNullSafe(F.col("_hk"))
     marked = detail.join(F.broadcast(hot), is_hot, "left")
     own = [F.col(c) for c in detail.columns]
@@ -78,11 +100,11 @@ def join_group_summary(
     df: DataFrame,
     key: str,
     summary: dict[str, Column],
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = 1000,
 ) -> DataFrame:
     """Each row with the aggregates of its own group beside it."""
     per_key = df.groupBy(key).agg(
         F.count("*").alias("_rows"), *[c.alias(n) for n, c in summary.items()]
     )
-    return join_per_key(df, materialised(per_key), key, "_rows", broadcast_rows, hot_keys)
+    return join_per_key(df, materialised(per_key), key, "_rows", broadcast_bytes, hot_keys)

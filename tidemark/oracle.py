@@ -14,6 +14,23 @@ def half_up(expr: str, digits: int) -> str:
     return f"round(cast(cast({expr} as varchar) as decimal(38,18)), {digits})::double"
 
 
+def _units(expr: str) -> str:
+    """The exact sum of decimal texts, as a whole number of units of 1e-12."""
+    total = f"sum(cast(cast({expr} as varchar) as decimal(38,12)))"
+    return f"cast(replace(cast({total} as varchar), '.', '') as hugeint)"
+
+
+def exact_sum(expr: str) -> str:
+    return f"(sum(cast(cast({expr} as varchar) as decimal(38,12)))::double)"
+
+
+def exact_mean(expr: str, digits: int) -> str:
+    """The mean of decimal texts, rounded half-up once, whatever the order of adding."""
+    units, n = _units(expr), f"count({expr})::hugeint"
+    half = f"(2 * abs({units}) * {10**digits} + {n} * 1000000000000) // (2 * {n} * 1000000000000)"
+    return f"(sign({units}) * ({half})::double / {float(10**digits)})"
+
+
 # Fixed values, written out: the edges, points and labels of the published metrics.
 _CASES = {
     "size_tier": "when {x} >= 100000000000 then 'mega_cap' when {x} >= 10000000000 then 'large_cap' "
@@ -83,7 +100,7 @@ _HORIZON = {
 
 def _past(spans: dict[str, str]) -> str:
     return ", ".join(
-        f"max_by(value, ts) filter (where ts <= (select newest from now_at) - interval {span}) as p_{h}"
+        f"max_by(value, row(ts, value)) filter (where ts <= (select newest from now_at) - interval {span}) as p_{h}"
         for h, span in spans.items()
     )
 
@@ -113,7 +130,7 @@ TABLES: dict[str, str] = {
     "now_at": "select max(ts) as newest from events",
     "per_user": f"""
         select user_id as key,
-            max_by(value, ts) as cur,
+            max_by(value, row(ts, value)) as cur,
             sum(cast(round(value * 100) as bigint)) as cents,
             sum(cast(round(value * 100) as bigint))
                 filter (where ts > (select newest from now_at) - interval 1 day) as recent,
@@ -168,6 +185,10 @@ TABLES: dict[str, str] = {
         select value, {case("label", "value")} as value_classification,
             day as timestamp_date, (select newest from now_at) as ingested_at
         from day_value""",
+    "restated_sentiment": f"""
+        select * replace ({case("label", "value")} as value_classification) from (
+            select * replace (case when timestamp_date between '1995-03-10' and '1995-03-12'
+                then 100 - value else value end as value) from raw_sentiment)""",
     "raw_global": f"""
         select cap as total_market_cap_usd, vol as total_volume_usd,
             {_share("first_part", "cap")} as btc_dominance,
@@ -246,14 +267,14 @@ TABLES: dict[str, str] = {
             ingested_at
         from raw_global""",
     "tiers": f"""
-        select price_tier, count(*) as coin_count, sum(market_cap) as tier_market_cap,
-            {half_up(_share("sum(market_cap)", "(select sum(market_cap) from assets)"), 2)}
+        select price_tier, count(*) as coin_count, {exact_sum("market_cap")} as tier_market_cap,
+            {half_up(_share(exact_sum("market_cap"), f"(select {exact_sum('market_cap')} from assets)"), 2)}
                 as tier_dominance_pct
         from assets group by price_tier""",
     "market_dominance": f"""
         select (select newest from now_at)::date as snapshot_date, a.id, a.name, a.symbol,
             a.market_cap,
-            {half_up(_share("a.market_cap", "(select sum(market_cap) from assets)"), 4)}
+            {half_up(_share("a.market_cap", f"(select {exact_sum('market_cap')} from assets)"), 4)}
                 as dominance_pct,
             1 + (select count(*) from assets b where b.market_cap > a.market_cap) as rank_by_mcap,
             a.price_tier, t.tier_dominance_pct, t.coin_count as coins_in_tier
@@ -327,9 +348,9 @@ TABLES: dict[str, str] = {
     )
     + ", "
     + ", ".join(
-        f"{half_up(f'avg(price_change_pct_{h})', 2)} as avg_change_{h}" for h in _HORIZONS
+        f"{exact_mean(f'price_change_pct_{h}', 2)} as avg_change_{h}" for h in _HORIZONS
     )
-    + f", {half_up('avg(volume_to_mcap_ratio)', 4)} as avg_volume_ratio"
+    + f", {exact_mean('volume_to_mcap_ratio', 4)} as avg_volume_ratio"
     + " from assets where market_cap_rank <= 50",
     "state": f"""
         select b.*, t.value as fg, t.ma_7d, t.sentiment_zone, g.market_cap_change_24h_pct,
@@ -353,9 +374,12 @@ TABLES: dict[str, str] = {
             altcoin_dominance, avg_volume_ratio,
             {case("narrative", "regime_score")} as regime_narrative
         from state""",
-    "daily": """
+    "leaders": """
+        select id, row_number() over (order by market_cap_rank, id) as place
+        from raw_assets where market_cap_rank is not null""",
+    "daily": f"""
         select cast(user_id as varchar) as id, cast(ts as date) as day,
-            max_by(value, ts) as close, sum(value) as volume
+            max_by(value, row(ts, value)) as close, {exact_sum("value")} as volume
         from events group by all""",
     "moved": """
         select *, close - lag(close) over s as move,
@@ -943,6 +967,10 @@ _BODIES: dict[str, str] = {
     "sink_append": f"""select day as snapshot_date, count(*) as assets,
         {half_up(f"sum({half_up('volume', 2)})", 2)} as volume
         from daily where day > {_NOW}::date - 20 group by day""",
+    "backfill_dependants": TABLES["sentiment"].replace("raw_sentiment", "restated_sentiment"),
+    "published_tables": """select 'raw.assets' as table_name, count(*) as row_count from raw_assets
+        union all select 'staging.enriched_assets', count(*) from assets
+        union all select 'analytics.market_regime', count(*) from market_regime""",
     "backfill_range": f"""select id, day,
         case when day between date '2024-01-10' and date '2024-01-20' then close * 2
             else close end as close,
@@ -1018,7 +1046,9 @@ _BODIES: dict[str, str] = {
         current_ma_7d, current_trend from zone_impact""",
     "latest_slice": """select o_orderkey, o_custkey, o_totalprice from orders
         where o_orderdate = (select max(o_orderdate) from orders)""",
-    "order_inversions": """select order_day from (
+    "order_inversions": """select count(*)::bigint as inversions from day_orders a
+        join day_orders b on a.day < b.day and a.o_orderkey > b.o_orderkey""",
+    "order_inversion_days": """select order_day from (
         select day as order_day, min(o_orderkey) as low,
             max(max(o_orderkey)) over (order by day rows between unbounded preceding and 1 preceding)
                 as before
@@ -1033,6 +1063,10 @@ _BODIES: dict[str, str] = {
         f"select '{c}' as column_name, count(distinct {c}) as values from orders"
         for c in ("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     ),
+    "distinct_sketches": " union all ".join(
+        f"select '{c}' as column_name, count(distinct {c}) as values, true as near from orders"
+        for c in ("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    ),
     "group_share": f"""select l_returnflag, l_linestatus, count(*) as line_items,
         {half_up(_share("sum(l_partkey)", "(select sum(l_partkey) from lineitem)"), 4)} as share_pct
         from lineitem group by l_returnflag, l_linestatus""",
@@ -1086,8 +1120,8 @@ _BODIES: dict[str, str] = {
         from top_performers
         where performance_category in ('top_gainer_7d', 'top_loser_7d') and rank_in_category <= 5""",
     "category_comparison": f"""select category, count(*) as assets,
-        {half_up("avg(momentum_score)", 2)} as avg_momentum,
-        {half_up("avg(volatility_score)", 2)} as avg_volatility, """
+        {exact_mean("momentum_score", 2)} as avg_momentum,
+        {exact_mean("volatility_score", 2)} as avg_volatility, """
     + ", ".join(
         f"count(*) filter (where signal = '{s}') as {s.lower()}" for s in _SIGNAL_LABELS
     )
@@ -1102,7 +1136,7 @@ _BODIES: dict[str, str] = {
         from tiers
         union all
         select 'largest vs others', side, sum(coin_count)::bigint,
-            {half_up(_share("sum(tier_market_cap)", "(select sum(market_cap) from assets)"), 2)}
+            {half_up(_share(exact_sum("tier_market_cap"), f"(select {exact_sum('market_cap')} from assets)"), 2)}
         from (select *, case price_tier when 'mega_cap' then 'mega_cap' else 'others' end as side
             from tiers)
         group by side""",
@@ -1114,13 +1148,13 @@ _BODIES: dict[str, str] = {
         order by intraday_spread_pct desc, id limit 10""",
     "q_signal_cohorts": f"""select case when signal like '%BUY' then 'buy'
         when signal like '%SELL' then 'sell' else 'neutral' end as cohort,
-        count(*) as assets, {half_up("avg(market_cap_rank)", 2)} as avg_rank
+        count(*) as assets, {exact_mean("market_cap_rank", 2)} as avg_rank
         from momentum_signals group by cohort""",
     "q_signal_mix": f"""select signal, count(*) as assets,
         {half_up(_share("count(*)", "sum(count(*)) over ()"), 2)} as pct_of_assets
         from momentum_signals group by signal""",
     "q_subcategory_7d": f"""select subcategory, count(*) as assets,
-        {half_up("avg(price_change_pct_7d)", 2)} as avg_change_7d
+        {exact_mean("price_change_pct_7d", 2)} as avg_change_7d
         from assets join raw_categories on id = coin_id group by subcategory""",
     # series
     "zone_runs": """select sentiment_zone as zone, min(timestamp_date) as first_day,
@@ -1136,10 +1170,28 @@ _BODIES: dict[str, str] = {
         {half_up(_change("cur", "p_24h"), 4)} as change_pct_24h,
         {half_up(_change("cur", "p_7d"), 4)} as change_pct_7d,
         n as ticks from per_user""",
+    "snapshot_from_states": f"""select id, cur as current_price,
+        {half_up("recent", 2)} as total_volume, high as high_24h, low as low_24h, ath, atl,
+        first_at, last_at,
+        {half_up(_change("cur", "ath"), 4)} as ath_change_pct,
+        {half_up(_change("cur", "p_24h"), 4)} as change_pct_24h,
+        {half_up(_change("cur", "p_7d"), 4)} as change_pct_7d, ticks
+        from (
+            select cast(user_id as varchar) as id, max_by(value, row(ts, value)) as cur,
+                {exact_sum("case when day = newest then value end")} as recent,
+                max(case when day = newest then value end) as high,
+                min(case when day = newest then value end) as low,
+                max(value) as ath, min(value) as atl, min(ts) as first_at, max(ts) as last_at,
+                max_by(value, row(ts, value)) filter (where day <= newest - 1) as p_24h,
+                max_by(value, row(ts, value)) filter (where day <= newest - 7) as p_7d,
+                count(*) as ticks
+            from (select user_id, ts, value, cast(ts as date) as day,
+                (select max(cast(ts as date)) from events) as newest from events)
+            group by user_id)""",
     "correlation_matrix": f"""select a.id as asset_a, b.id as asset_b,
         {half_up(_correlation("a.close", "b.close"), 6)} as correlation
-        from (select d.*, market_cap_rank as place from daily d join raw_assets using (id)) a
-        join (select d.*, market_cap_rank as place from daily d join raw_assets using (id)) b
+        from (select d.*, place from daily d join leaders using (id)) a
+        join (select d.*, place from daily d join leaders using (id)) b
             on a.day = b.day and a.place < b.place and b.place <= 20
         group by a.id, b.id""",
     "sentiment_price_corr": f"""select id, count(*) as days,
@@ -1148,6 +1200,13 @@ _BODIES: dict[str, str] = {
             from day_orders group by all)
         join (select value::double as mood, timestamp_date as day from raw_sentiment) using (day)
         group by id""",
+    "sentiment_price_corr_30d": f"""select id, count(*) as days,
+        {half_up(_correlation("mood", "close"), 6)} as correlation
+        from (select o_orderpriority as id, day, sum(cents) / 100.0::double as close
+            from day_orders group by all)
+        join (select value::double as mood, timestamp_date as day from raw_sentiment) using (day)
+        where day > (select max(day) from day_orders) - 30
+        group by id""",
     "rolling_volatility": "select id, day, close, "
     + ", ".join(
         half_up(
@@ -1178,6 +1237,7 @@ _BODIES: dict[str, str] = {
         from assets left join raw_categories on id = coin_id""",
     # quality
     **{f"dq_{kind}": " union all ".join(parts) for kind, parts in _CHECKS.items()},
+    "dq_from_states": " union all ".join(part for parts in _CHECKS.values() for part in parts),
     "dq_suite": " union all ".join(part for parts in _CHECKS.values() for part in parts),
 }
 
