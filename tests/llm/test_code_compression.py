@@ -141,7 +141,7 @@ def test_tables_without_vectors(spark, vectors):
 @pytest.mark.parametrize("most", [1, 10**6])
 def test_group_errors_on_both_joins(vectors, monkeypatch, most):
     plain = lookups.join_per_key
-    monkeypatch.setattr(cc, "join_per_key", lambda *a: plain(*a, broadcast_rows=most, hot_keys=4))
+    monkeypatch.setattr(cc, "join_per_key", lambda *a: plain(*a, broadcast_bytes=most, hot_keys=4))
     coded, _ = cc.compress(vectors, parts=4, entries=16)
     rows = cc.with_group_error(coded, "label", "error_", "label_error").collect()
     assert len(rows) == coded.count()
