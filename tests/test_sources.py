@@ -161,6 +161,65 @@ def test_merge_writes_only_the_buckets_it_touches(spark, folder):
     assert len(names(spark, f"{path}/version=0000000001")) == 8
 
 
+def series(spark, low, high, x, at=1):
+    return spark.range(low, high).select(
+        F.col("id").cast("int").alias("k"),
+        F.concat(F.lit("long common prefix of every text key, "), F.format_string("%06d", "id")).alias("id"),
+        F.lit(at).alias("at"),
+        F.lit(x).alias("x"),
+    )
+
+
+@pytest.mark.parametrize("keys", [["k"], ["id"], ["k", "id"]])
+def test_a_batch_in_a_key_range_rewrites_that_range(spark, folder, keys):
+    """The files of all other ranges stay, a range that grows is split, and rows come out whole."""
+    path = folder()
+
+    def held():
+        return {
+            f"{v}/{r}/{f}"
+            for v in names(spark, path)
+            for r in names(spark, f"{path}/{v}") if r.startswith("range_from")
+            for f in names(spark, f"{path}/{v}/{r}") if f.startswith("part-")
+        }
+
+    def merge(df):
+        return sinks.merge_latest(spark, path, df, keys, "at", buckets=10, range_rows=300)
+
+    merge(series(spark, 0, 2_000, "old"))
+    before = held()
+    table = merge(series(spark, 1_010, 1_050, "new", 2))
+    assert table.count() == 2_000
+    assert rows(table.where("x = 'new'").select("k")) == [(i,) for i in range(1_010, 1_050)]
+    if keys != ["id"]:  # a text key is told by its first characters, which are all alike
+        assert len(before) >= 10
+        added = held() - before
+        assert len(added) <= 2
+        merge(series(spark, 0, 1, "newer", 3))  # what the last merge replaced goes with the next
+        assert len(before - held()) <= 2
+    # new keys at the end fill the last range until it is cut
+    grown = merge(series(spark, 2_000, 6_000, "more"))
+    assert grown.count() == 6_000
+    assert grown.select(*keys).distinct().count() == 6_000
+    if keys != ["id"]:
+        assert len({n.split("/")[1] for n in held()}) > 15
+    assert rows(merge(series(spark, 0, 6_000, "last", 9)).groupBy("x").count()) == [("last", 6_000)]
+
+
+def test_ranges_of_any_key(spark, folder):
+    """Keys of several types, with NULLs, in any order."""
+    made = [
+        (dt.date(2024, 1, 1 + i % 28) if i % 9 else None, i / 7 if i % 5 else None, i)
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(made, "d date, v double, at int")
+    path = folder()
+    for part in (df.where("at < 150"), df.where("at >= 100"), df.where("at % 2 = 0")):
+        sinks.merge_latest(spark, path, part, ["d", "v"], "at", buckets=6, range_rows=40)
+    whole = sinks.latest_per_key([df], ["d", "v"], "at")
+    assert rows(sinks.read_merged(spark, path)) == rows(whole)
+
+
 def test_replace_may_read_what_it_replaces(spark, folder):
     path = folder()
     table = sinks.replace_table(keyed(spark, ("a", 1, "x"), ("b", 2, "y")), path)

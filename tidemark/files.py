@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any, NamedTuple
 
 from pyspark.sql import SparkSession
@@ -36,8 +37,18 @@ def remove(at: Folder, quiet: bool = False) -> None:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put ``source`` in the place of ``target``."""
+    """Put ``source`` in the place of ``target``, which goes when that is done.
+
+    The old folder is renamed aside first: if the second rename fails it comes back.
+    """
     new, old = folder(spark, source), folder(spark, target)
-    remove(old)
+    aside = folder(spark, f"{target.rstrip('/')}-old-{uuid.uuid4().hex}")
+    there = old.system.exists(old.path)
+    if there and not old.system.rename(old.path, aside.path):
+        raise OSError(f"cannot move {target} aside")
     if not new.system.rename(new.path, old.path):
+        if there:
+            old.system.rename(aside.path, old.path)
         raise OSError(f"cannot move {source} to {target}")
+    if there:
+        remove(aside)

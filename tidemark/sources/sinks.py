@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tidemark import files
+from tidemark.session import materialised
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Full replace of a Parquet table; returns the table as written.
 
     The rows are written whole beside the table and then take its place, so a failed
-    write leaves the old table, and ``df`` may read it.
+    write leaves the old table, and ``df`` may read it. A reader of the path can meet
+    the moment between two renames; :mod:`tidemark.sources.published` has none.
     """
     parent, _, name = path.rstrip("/").rpartition("/")
     beside = f"{parent}/_next-{name}"
@@ -66,31 +68,34 @@ def latest_per_key(
 
 
 # --- merged tables -----------------------------------------------------------
-# A merged table is cut into buckets by a hash of its keys. A merge writes the buckets
-# it touches under a folder of its own, ``version=N/bucket_of_M=i``; the marker that
-# ends the write puts all of them in force at once. A write that was interrupted has
-# no marker and is not read.
-_VERSION, _BUCKET, _WRITTEN = "version=", "bucket_of_", "_SUCCESS"
+# A merged table is cut into ranges of its keys. A merge writes the ranges it touches
+# under a folder of its own, ``version=N/range_from=K``, where K tells the least key;
+# the marker that ends the write puts all of them in force at once. A write that was
+# interrupted has no marker and is not read.
+_VERSION, _RANGE, _WRITTEN = "version=", "range_from", "_SUCCESS"
+#: Characters of a text key that a range's least key keeps: a prefix sorts before the key.
+_BOUND_CHARS = 40
 
 
-def _buckets_in_force(spark: SparkSession, path: str) -> dict[str, str]:
-    """The folder that holds each bucket (one entry a bucket)."""
+def _ranges_in_force(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder that holds each range (one entry a range)."""
     held = {}
     for version in files.names(spark, path):
         inside = files.names(spark, f"{path}/{version}") if version.startswith(_VERSION) else []
         if _WRITTEN in inside:
-            held |= {b: f"{path}/{version}/{b}" for b in inside if b.startswith(_BUCKET)}
+            found = (n.removeprefix(f"{_RANGE}=") for n in inside if n.startswith(_RANGE))
+            held |= {name: f"{path}/{version}/{_RANGE}={name}" for name in found}
     return held
 
 
 def _drop_superseded(spark: SparkSession, path: str, held: Mapping[str, str]) -> None:
-    """Remove interrupted writes, and buckets that an earlier merge has replaced."""
+    """Remove interrupted writes, and ranges that an earlier merge has replaced."""
     in_force = set(held.values())
     for version in files.names(spark, path):
         at = f"{path}/{version}"
-        buckets = [f"{at}/{b}" for b in files.names(spark, at) if b.startswith(_BUCKET)]
-        old = [b for b in buckets if b not in in_force]
-        for place in [at] if len(old) == len(buckets) else old:
+        ranges = [f"{at}/{n}" for n in files.names(spark, at) if n.startswith(_RANGE)]
+        old = [r for r in ranges if r not in in_force]
+        for place in [at] if len(old) == len(ranges) else old:
             files.remove(files.folder(spark, place))
 
 
@@ -104,10 +109,41 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
     The frame stays valid during the next merge, not beyond it.
     """
-    held = _buckets_in_force(spark, path.rstrip("/"))
+    held = _ranges_in_force(spark, path.rstrip("/"))
     return spark.read.schema(_schema(spark, held)).parquet(*held.values())
 
 
+def _name(bound: str) -> str:
+    """A range's folder name, from its least key as JSON; empty for the first range."""
+    return "k" + bound.encode().hex()
+
+
+def _bound(name: str) -> str:
+    return bytes.fromhex(name[1:]).decode()
+
+
+def _cut_points(df: DataFrame, keys: Sequence[str], ranges: int) -> set[str]:
+    """Least keys, as JSON, of about equal ranges of the rows (one row a range)."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    short = [F.left(F.col(k), F.lit(_BOUND_CHARS)).alias(k) if k in texts else k for k in keys]
+    parts = df.select(*keys).repartitionByRange(ranges, *keys)
+    least = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*short)).alias("k"))
+    found = least.orderBy("part").select(F.to_json("k")).collect()
+    return {r[0] for r in found[1:]}
+
+
+def _range_of(df: DataFrame, keys: Sequence[str], bounds: Collection[str]) -> Column:
+    """The name of the range a row falls into: that of the largest least key not above its own."""
+    first = F.lit(_name(""))
+    if not bounds:
+        return first
+    kinds = StructType([df.schema[k] for k in keys])
+    entries = [F.struct(F.from_json(F.lit(b), kinds).alias("k"), F.lit(_name(b)).alias("n")) for b in bounds]
+    own = F.struct(*keys)
+    below = F.array_max(F.filter(F.array(*entries), lambda entry: entry["k"] <= own))
+    return F.coalesce(below["n"], first)
+
+
 def merge_latest(
     spark: SparkSession,
     path: str,
@@ -115,38 +151,45 @@ def merge_latest(
     keys: Sequence[str],
     newest: str,
     buckets: int = 16,
+    range_rows: int = 5_000_000,
 ) -> DataFrame:
     """Key merge into a table read with :func:`read_merged`, one writer at a time.
 
-    Only buckets that hold a key of ``incoming`` are read, and written once. The
-    merge takes effect as a whole when its last file is there; interrupted before,
-    it leaves the table as it was and can be repeated. ``buckets`` counts for a new
-    table; choose it so that a bucket is a few tasks' work. An empty batch changes
-    nothing and is returned where there is no table.
+    Only ranges that hold a key of ``incoming`` are read, and written once: a batch
+    confined to a part of the keys rewrites that part. The merge takes effect as a
+    whole when its last file is there; interrupted before, it leaves the table as it
+    was and can be repeated. A new table gets ``buckets`` ranges; one that grows beyond
+    twice ``range_rows`` is split where it is written, so choose these for some
+    thousand ranges at most. An empty batch changes nothing and is returned where
+    there is no table.
     """
     path = path.rstrip("/")
-    held = _buckets_in_force(spark, path)
+    held = _ranges_in_force(spark, path)
     _drop_superseded(spark, path, held)
-    if held:
-        buckets = int(next(iter(held)).removeprefix(_BUCKET).partition("=")[0])
-    column = f"{_BUCKET}{buckets}"
-    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets))
-    # at most one row a bucket
-    touched = [f"{column}={r[0]}" for r in incoming.select(bucket).distinct().collect()]
-    if not touched:
+    batch = materialised(incoming)
+    if batch.isEmpty():
         return read_merged(spark, path) if held else incoming
-    sources = [incoming]
+    bounds = {_bound(name) for name in held} - {""} if held else _cut_points(batch, keys, buckets)
+    # at most one row a range
+    touched = dict(batch.groupBy(_range_of(batch, keys, bounds)).count().collect())
+    sources, places = [batch], {name: held[name] for name in touched if name in held}
     if held:
-        places = [held[name] for name in touched if name in held]
         schema = _schema(spark, held)
-        stored = spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
-        sources = [stored, incoming]
-    merged = latest_per_key(sources, keys, newest).withColumn(column, bucket)
+        stored = spark.read.schema(schema).parquet(*places.values()) if places else spark.createDataFrame([], schema)
+        sources = [stored, batch]
+        for name, place in places.items():
+            rows = touched[name] + spark.read.parquet(place).count()  # from the file footers
+            if rows > 2 * range_rows:
+                inside = stored.select(*keys).unionByName(batch.select(*keys))
+                inside = inside.where(_range_of(batch, keys, bounds) == name)
+                bounds = bounds | _cut_points(inside, keys, rows // range_rows + 1)
+    merged = latest_per_key(sources, keys, newest)
+    merged = merged.withColumn(_RANGE, _range_of(merged, keys, bounds))
     versions = [int(n.removeprefix(_VERSION)) for n in files.names(spark, path) if n.startswith(_VERSION)]
     (
-        merged.hint("rebalance", column)
+        merged.hint("rebalance", _RANGE)
         .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        .partitionBy(column)
+        .partitionBy(_RANGE)
         .parquet(f"{path}/{_VERSION}{max(versions, default=0) + 1:010d}")
     )
     return read_merged(spark, path)

@@ -25,7 +25,7 @@ def incremental_ingest(
 
     ``checkpoint`` remembers the files already taken. A batch repeated after a
     failure merges to the same table, as merging keeps the newest row per key; it
-    rewrites the buckets it touches. Read the table with ``sinks.read_merged``.
+    rewrites the key ranges it touches. Read the table with ``sinks.read_merged``.
     """
     stream = (
         spark.readStream.schema(schema)
