@@ -314,23 +314,34 @@ def test_no_vectors(spark):
 
 @pytest.mark.parametrize("index_rows", [16, 8192])
 def test_top_k_against_all_products(vectors, index_rows):
-    held = {}
+    held = []
     for r in vectors.collect():
         v = r["embedding"]
         if r["vec_id"] is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         whole = [math.floor(256 * x) for x in v]
-        held[r["vec_id"]] = min(held.get(r["vec_id"], whole), whole)
+        held.append((r["vec_id"], whole))
+    assert len({i for i, _ in held}) < len(held)  # ids that repeat, with equal vectors or others
     numbers = impact_search.whole_numbers(vectors)
-    expected = set()
-    for q in (i for i in held if i % 50 == 0):
+    expected = Counter()
+    for q in {i for i, _ in held if i % 50 == 0}:
         scored = sorted(
-            (-sum(a * b for a, b in zip(held[q], v, strict=False)), i)
-            for i, v in held.items() if i != q
+            (-sum(a * b for a, b in zip(own, v, strict=False)), i)
+            for j, own in held if j == q
+            for i, v in held if i != q
         )
-        expected |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])}
+        expected.update((q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5]))
     found = impact_search.top_k(numbers, numbers.where("vec_id % 50 = 0"), 5, index_rows)
-    assert set(map(tuple, found.collect())) == expected
+    assert Counter(map(tuple, found.collect())) == expected
+
+
+def test_rows_of_one_id_all_take_part(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (1, [-0.9, 0.1]), (2, [0.5, 0.5]), (2, [0.5, 0.5])]
+    numbers = impact_search.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = impact_search.top_k(numbers, numbers.where("vec_id = 0"), 4).collect()
+    assert [tuple(r) for r in sorted(found)] == [
+        (0, 1, 1, 256 * 230), (0, 2, 2, 256 * 128), (0, 3, 2, 256 * 128), (0, 4, 2, 256 * 128)
+    ]
 
 
 def test_a_query_with_few_others_gets_all(spark):

@@ -31,9 +31,9 @@ class ImpactIndex:
     end. ``low`` and ``high`` are exact least and greatest values of each level.
     """
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, values: np.ndarray, copies: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")  # ties in score go to the smaller id
-        self.ids, self.values = ids[order], values[order]
+        self.ids, self.values, self.copies = ids[order], values[order], copies[order]
         n, dims = self.values.shape
         least, most = self.values.min(axis=0), self.values.max(axis=0)
         step = np.maximum((most - least + 1) / LEVELS, 1e-9)
@@ -67,8 +67,8 @@ class ImpactIndex:
         dim, level = dim[order], level[order]
         return dim, level, impact[dim, level], worst
 
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best rows other than ``own``; ties to smaller ids."""
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, ...]:
+        """Ids, scores and copies of the ``k`` best rows other than ``own``; ties to smaller ids."""
         n = len(self.ids)
         dim, level, impact, worst = self._segments(query)
         base = int(worst[query != 0].sum())
@@ -102,7 +102,7 @@ class ImpactIndex:
             candidates = candidates[upper[candidates] >= best]
         scores = self.values[candidates] @ query
         order = np.lexsort((self.ids[candidates], -scores))[:k]
-        return self.ids[candidates][order], scores[order]
+        return self.ids[candidates][order], scores[order], self.copies[candidates][order]
 
 
 def _matrix(column: pd.Series, dims: int) -> np.ndarray:
@@ -117,22 +117,30 @@ def _search_block(k: int):
     def search(pair: pd.DataFrame) -> pd.DataFrame:
         dims = max(map(len, pair["vector"]), default=0)
         asked, held = pair[pair["query"]], pair[~pair["query"]]
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         if len(asked) and len(held):
-            index = ImpactIndex(held["vec_id"].to_numpy(), _matrix(held["vector"], dims))
-            for own, q in zip(asked["vec_id"], _matrix(asked["vector"], dims), strict=True):
-                ids, scores = index.search(q, own, k)
-                out += [(int(own), int(i), int(s)) for i, s in zip(ids, scores, strict=True)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+            index = ImpactIndex(
+                held["vec_id"].to_numpy(), _matrix(held["vector"], dims), held["copies"].to_numpy()
+            )
+            queries = zip(
+                asked["vec_id"], _matrix(asked["vector"], dims), asked["copies"], strict=True
+            )
+            for own, q, times in queries:
+                out += [
+                    (int(own), int(i), int(s), min(k, int(c) * int(times)))
+                    for i, s, c in zip(*index.search(q, own, k), strict=True)
+                ]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "copies"]).astype("int64")
 
     return search
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, vector): each component as floor(scale * x), of the rows that take part.
+    """(vec_id, vector, copies): each component as floor(scale * x), of the rows that take part.
 
     Left out are NULL ids and vectors that are NULL or hold NULL or non-finite
-    components. Of rows that share an id, the smallest vector takes part, once.
+    components. Rows equal in both are one row with their number as ``copies``; rows
+    that share an id alone stay rows of their own. A component beyond 2**55 saturates.
     """
     numbers = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
     finite = F.forall(
@@ -144,8 +152,8 @@ def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     return (
         vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .where(finite)
-        .groupBy(F.col("vec_id").cast("long").alias("vec_id"))
-        .agg(F.min(numbers).alias("vector"))
+        .groupBy(F.col("vec_id").cast("long").alias("vec_id"), numbers.alias("vector"))
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -154,37 +162,45 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` highest integer inner products of each query with all other vectors.
 
-    ``vectors`` and ``queries`` are (vec_id, vector of whole numbers) with unique
-    ids, as :func:`whole_numbers` gives; a query never finds its own id. Returns
-    query_id, rank from 1, vec_id, score; ties go to the smaller vec_id. Fewer than
-    ``k`` others give all of them. Missing components count as 0.
+    ``vectors`` and ``queries`` are (vec_id, vector of whole numbers), with the number
+    of equal rows as ``copies`` if there is such a column, as :func:`whole_numbers`
+    gives; a query never finds its own id. Returns query_id, rank from 1, vec_id,
+    score; ties go to the smaller vec_id. Fewer than ``k`` others give all of them,
+    an empty table none. Missing components count as 0. A row that is there several
+    times, or under several vectors, is found as often; queries of one id share its
+    ``k`` places. Scores are 64-bit: products of components near 2**31 may wrap.
 
-    Rows are dealt to blocks by a hash of the id, so equal vectors and hot labels
-    spread evenly. Every block of queries meets every block of the index in a task
+    Rows are dealt to blocks by a hash of id and vector, so equal vectors, hot ids and
+    hot labels spread evenly. Every block of queries meets every block of the index in a task
     of its own, which holds these two blocks and nothing else; what leaves it is k
     rows per query, of which a top-k window keeps k.
     """
+    vectors, queries = (
+        df if "copies" in df.columns else df.withColumn("copies", F.lit(1).cast("long"))
+        for df in (vectors, queries)
+    )
     n = vectors.count()
     blocks = max(1, -(-n // index_rows))
     query_blocks = max(1, -(-queries.count() // QUERY_ROWS))
 
     def dealt(df: DataFrame, into: int, salt: str):
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(into)).cast("int")
+        return F.pmod(F.xxhash64("vec_id", "vector", F.lit(salt)), F.lit(into)).cast("int")
 
     held = vectors.select(
-        "vec_id", "vector", F.lit(False).alias("query"),
+        "vec_id", "vector", "copies", F.lit(False).alias("query"),
         dealt(vectors, blocks, "index").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
     )
     asked = queries.select(
-        "vec_id", "vector", F.lit(True).alias("query"),
+        "vec_id", "vector", "copies", F.lit(True).alias("query"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         dealt(queries, query_blocks, "query").alias("query_block"),
     )
     found = (
         held.unionByName(asked)
         .groupBy("query_block", "block")
-        .applyInPandas(_search_block(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_search_block(k), "query_id long, vec_id long, score long, copies long")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (

@@ -38,7 +38,8 @@ def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer(BYTE_PAIRS)
-    counted = edit_counts.count_tokens(table(spark, sf_dir, "documents"), ranks, pattern)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = edit_counts.count_tokens(documents, ranks, pattern)
     after = edit_counts.recount(edit_counts.number_edits(counted), ranks, pattern)
     return after.select(
         "doc_id",
@@ -61,13 +62,15 @@ def op4_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     flagged = toxicity.flag(documents, labels, threshold=0.3)
     return flagged.select("doc_id", "held_out", "score", "predicted")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents"), min_words=1, near_words=5)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(documents, min_words=1, near_words=5)
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
@@ -79,7 +82,7 @@ def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
         F.regexp_count("spans", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
         for kind in pii.KINDS
