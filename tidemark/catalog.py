@@ -426,8 +426,8 @@ def _order_days(m: Market) -> DataFrame:
 
 _add(
     "order_inversions",
-    # in slices of a few thousand orders, so that rows meet in all three ways
-    lambda m: inversion_count(_order_days(m), "order_day", "o_orderkey", size=4_000).select(
+    # in slices of some thousand orders, so that rows meet in all three ways
+    lambda m: inversion_count(_order_days(m), "order_day", "o_orderkey", size=10_000).select(
         F.col("inversions").cast("bigint").alias("inversions")
     ),
 )

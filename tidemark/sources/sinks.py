@@ -170,15 +170,16 @@ def merge_latest(
     if batch.isEmpty():
         return read_merged(spark, path) if held else incoming
     bounds = {_bound(name) for name in held} - {""} if held else _cut_points(batch, keys, buckets)
-    # at most one row a range
-    touched = dict(batch.groupBy(_range_of(batch, keys, bounds)).count().collect())
-    sources, places = [batch], {name: held[name] for name in touched if name in held}
+    sources = [batch]
     if held:
+        # at most one row a range
+        touched = dict(batch.groupBy(_range_of(batch, keys, bounds)).count().collect())
+        places = {name: held[name] for name in touched if name in held}
         schema = _schema(spark, held)
         stored = spark.read.schema(schema).parquet(*places.values()) if places else spark.createDataFrame([], schema)
         sources = [stored, batch]
         for name, place in places.items():
-            rows = touched[name] + spark.read.parquet(place).count()  # from the file footers
+            rows = touched[name] + spark.read.schema(schema).parquet(place).count()  # from the footers
             if rows > 2 * range_rows:
                 inside = stored.select(*keys).unionByName(batch.select(*keys))
                 inside = inside.where(_range_of(batch, keys, bounds) == name)
