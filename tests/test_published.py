@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import files
+from tidemark.fixtures import RAW_TABLES
+from tidemark.plans.refresh import MARTS, STAGED, refresh
 from tidemark.sources.published import NAMESPACES, Publisher
+from tests.helpers import rows
 
 
 @pytest.fixture
@@ -81,3 +84,20 @@ def test_old_versions_go(spark, publisher):
     assert len(versions) == 2
     assert publisher.location("analytics", "t").rpartition("/")[2] in versions
     assert spark.table("analytics.t").count() == 5
+
+
+def test_a_refresh_by_name(spark, publisher, market, folder):
+    raw = {name: market[name] for name in RAW_TABLES}
+    by_name = refresh(raw, folder("unused"), market.now, blocking=False, publisher=publisher)
+    by_path = refresh(raw, folder("paths"), market.now, blocking=False)
+    assert set(publisher.tables()) == (
+        {f"raw.{n}" for n in RAW_TABLES}
+        | {f"staging.{n}" for n in STAGED}
+        | {f"analytics.{n}" for n in MARTS}
+    )
+    for name in ("raw_assets", "sentiment", "market_regime"):
+        assert rows(by_name[name]) == rows(by_path[name])
+    found = spark.sql(
+        "select r.regime, count(*) from analytics.market_regime r cross join staging.assets group by 1"
+    )
+    assert found.count() == 1

@@ -13,6 +13,7 @@ from tidemark.functions.dates import instant
 from tidemark.plans.refresh import refresh
 from tidemark.session import get_spark
 from tidemark.sources import readers
+from tidemark.sources.published import Publisher
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -22,6 +23,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     options.add_argument("--as-of", help="UTC time of the run, now if left out")
     options.add_argument("--report-only", action="store_true", help="failed checks do not block")
     options.add_argument("--multiline", action="store_true", help="one pretty-printed file each")
+    options.add_argument(
+        "--by-name", action="store_true", help="publish the tables in the catalog, stored under the target"
+    )
     chosen = options.parse_args(argv)
 
     spark = get_spark()
@@ -37,7 +41,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         "raw_trending": read("trending", readers.read_trending),
         "raw_categories": readers.read_categories(spark, f"{chosen.landing}/categories"),
     }
-    refresh(raw, chosen.target, as_of, blocking=not chosen.report_only)
+    publisher = Publisher(spark, chosen.target) if chosen.by_name else None
+    refresh(raw, chosen.target, as_of, not chosen.report_only, publisher)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,8 @@ from tidemark.functions.dates import instant
 from tidemark.operators.quality import require
 from tidemark.plans import marts, staging
 from tidemark.plans.checks import run_checks
-from tidemark.sources.sinks import replace_all
+from tidemark.sources.published import NAMESPACES, Publisher
+from tidemark.sources.sinks import at_once, replace_table
 
 RAW = ("raw_assets", "raw_sentiment", "raw_global", "raw_trending", "raw_categories")
 
@@ -39,22 +40,29 @@ def refresh(
     target: str,
     as_of: Column | str | None = None,
     blocking: bool = True,
+    publisher: Publisher | None = None,
 ) -> dict[str, DataFrame]:
     """Replace all tables under ``target`` and return them as written.
 
     With ``blocking``, the checks of a layer must pass before the next layer is
-    built. A failed run can be repeated: every table is a full replace.
+    built. A failed run can be repeated: every table is a full replace. With a
+    ``publisher`` the tables are replaced by name instead, each layer in its
+    namespace, and a reader never finds one missing.
     """
     now = instant(as_of)
     tables: dict[str, DataFrame] = {}
-    for layer in (
-        {name: (lambda t, _, name=name: raw[name]) for name in RAW if name in raw},
-        STAGED,
-        MARTS,
-    ):
+    landed = {name: (lambda t, _, name=name: raw[name]) for name in RAW if name in raw}
+    for namespace, layer in zip(NAMESPACES, (landed, STAGED, MARTS), strict=True):
         known = {**raw, **tables}
-        written = replace_all(
-            {name: (lambda build=build: build(known, now)) for name, build in layer.items()}, target
+
+        def write(name: str, build, namespace=namespace, known=known) -> DataFrame:
+            df = build(known, now)
+            if publisher is not None:
+                return publisher.publish(df, namespace, name)
+            return replace_table(df, f"{target}/{name}")
+
+        written = at_once(
+            {n: (lambda n=n, build=build, write=write: write(n, build)) for n, build in layer.items()}
         )
         if blocking:
             require(run_checks(written, now))

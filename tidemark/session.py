@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,14 +77,37 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning, _cleaning_lock = {"jobs": 0, "before": None}, threading.Lock()
+
+
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside go when a query ends, not when the driver
+    happens to collect its plan. The session's own setting is back afterwards."""
+    with _cleaning_lock:
+        if not _cleaning["jobs"]:
+            _cleaning["before"] = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+        _cleaning["jobs"] += 1
+    try:
+        yield
+    finally:
+        with _cleaning_lock:
+            _cleaning["jobs"] -= 1
+            if not _cleaning["jobs"]:
+                spark.conf.set(_CLEANUP, _cleaning["before"])
+
+
 def materialised(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once as a table in the shared folder.
 
     For rows that several parts of a plan read, which would each scan the
     source again, or that must not be numbered twice. The table outlives a lost
     executor, and unlike a checkpointed RDD it is read by column and its size is
-    known to the planner.
+    known to the planner. What was shuffled to make it is removed at once.
     """
     path = fresh_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    with _shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

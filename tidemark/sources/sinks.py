@@ -28,20 +28,27 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def replace_all(
-    builds: Mapping[str, Callable[[], DataFrame]], target: str, at_once: int = 4
+def at_once(
+    writes: Mapping[str, Callable[[], DataFrame]], workers: int = 4
 ) -> dict[str, DataFrame]:
-    """Replace independent tables side by side.
+    """Write independent tables side by side.
 
     A small table leaves most of a cluster idle while it is written; a few
     writes at a time fill it. The first failure is raised.
     """
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        jobs = {
-            name: pool.submit(lambda name=name, build=build: replace_table(build(), f"{target}/{name}"))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        jobs = {name: pool.submit(write) for name, write in writes.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def replace_all(builds: Mapping[str, Callable[[], DataFrame]], target: str) -> dict[str, DataFrame]:
+    """Replace independent tables side by side, each in a folder of ``target``."""
+    return at_once(
+        {
+            name: (lambda name=name, build=build: replace_table(build(), f"{target}/{name}"))
             for name, build in builds.items()
         }
-        return {name: job.result() for name, job in jobs.items()}
+    )
 
 
 def latest_per_key(
