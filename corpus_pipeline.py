@@ -41,9 +41,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every document, with their decoding checked."""
+    """Two sampled segmentations of every document, as piece ids, with their decoding checked."""
     model, _ = tokenizer(PIECES)
-    return segment_sampling.sample_segmentations(docs, model, k=2, with_ids=False)
+    return segment_sampling.sample_segmentations(docs, model, k=2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -98,7 +98,7 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_gumbel_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = tokenizer(PIECES)
-    return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2, with_ids=False)
+    return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2)
 
 
 def op11_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
