@@ -24,6 +24,9 @@ from tidemark.operators.lookups import join_per_key
 from tidemark.session import materialised
 
 SLICE_ROWS = 2_000_000
+#: Slices of ``LEAST_ROWS`` may be as many as it takes. Of smaller ones there are at most
+#: ``MOST_SMALL``: each is a task, with a result, a file and a share of a sample for the driver.
+LEAST_ROWS, MOST_SMALL = 250_000, 200
 #: A table that the planner thinks larger is stored before it is counted, not read twice.
 COUNTED_BYTES = 256 * 2**20
 #: Bytes a row that travel with the keys; wider rows stay behind and are joined by number.
@@ -57,14 +60,18 @@ def _one_slice(df: DataFrame, order: Sequence[Column | str], ties: Sequence[Colu
     return Slices(rows, True)
 
 
+def _parts(rows: int, size: int) -> int:
+    return min(rows // size + 1, max(MOST_SMALL, rows // LEAST_ROWS + 1))
+
+
 def _cut(
     stored: DataFrame, order: Sequence[Column | str], ties: Sequence[Column], rows: int, size: int
 ) -> Slices:
-    """Range-partition into slices of about ``size`` rows. One exchange and one stored table:
-    the numbering depends on a sampled split, so every later read, a retry after a lost
-    executor included, must see the same slices."""
+    """Range-partition into slices of about ``size`` rows, or of more (see ``LEAST_ROWS``).
+    One exchange and one stored table: the numbering depends on a sampled split, so every
+    later read, a retry after a lost executor included, must see the same slices."""
     cut = (
-        stored.repartitionByRange(rows // size + 1, *order, *ties)
+        stored.repartitionByRange(_parts(rows, size), *order, *ties)
         .sortWithinPartitions(*order, *ties)
         .drop(_COPY)
         .withColumn(SLICE, F.spark_partition_id())
