@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -526,17 +527,18 @@ class Decoder:
         return whole[1:]
 
 
-def _batches(texts: pd.Series, keys: pd.Series) -> Iterator[tuple[list[int], list[str], np.ndarray]]:
+def _batches(texts: list[str | None], keys: np.ndarray) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Places of the texts to be searched together, and their keys."""
     rows, size = [], 0
     for i, text in enumerate(texts):
         if rows and size + len(text or "") > BATCH_CHARS:
-            yield rows, [texts.iloc[r] for r in rows], keys.iloc[rows].to_numpy()
+            yield rows, keys[rows]
             rows, size = [], 0
         if text:
             rows.append(i)
             size += len(text)
     if rows:
-        yield rows, [texts.iloc[r] for r in rows], keys.iloc[rows].to_numpy()
+        yield rows, keys[rows]
 
 
 def sample_segmentations(
@@ -560,19 +562,20 @@ def sample_segmentations(
     id_type = docs.schema["doc_id"].dataType.simpleString()
     vocabulary = read_vocabulary(model, sharpness)
 
-    def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes, decoder = Prefixes(vocabulary), Decoder(vocabulary)
-        columns = ["doc_id", "sample", "n_pieces", "log_prob", "noisy_score", "inclusion",
-                   "ids_md5", "round_trip", "ids"]
+        names = ["sample", "n_pieces", "log_prob", "noisy_score", "inclusion", "ids_md5",
+                 "round_trip"]
+        kinds = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string(),
+                 pa.bool_()]
         for batch in batches:
-            ids_in, texts = batch["doc_id"], batch["text"]
+            texts = batch.column("text").to_pylist()
             nothing = hashlib.md5(b"").hexdigest()
-            out = [
-                (ids_in.iloc[i], 1, 0, 0.0, 0.0, 1.0, nothing, True, [])
-                for i, text in enumerate(texts)
-                if not text
-            ]
-            for rows, held, keys in _batches(texts, batch["key"]):
+            at = [i for i, text in enumerate(texts) if not text]
+            out = [(1, 0, 0.0, 0.0, 1.0, nothing, True)] * len(at)
+            pieces = [np.empty(0, np.int32)] * len(at)
+            for rows, keys in _batches(texts, batch.column("key").to_numpy()):
+                held = [texts[i] for i in rows]
                 group = Batch(held, keys, vocabulary, prefixes)
                 left = group.search(k)
                 for number, path in enumerate(group.paths):
@@ -580,15 +583,23 @@ def sample_segmentations(
                         inclusion = -np.expm1(-np.exp(path.log_prob - left))
                     for t in np.flatnonzero(path.present):
                         ids = group.ids(path, t, vocabulary)
-                        digest = hashlib.md5(ids.astype("<i4").tobytes()).hexdigest()
+                        short = ids.astype("<i4")
+                        at.append(rows[t])
                         out.append((
-                            ids_in.iloc[rows[t]], number + 1, len(ids), path.log_prob[t],
-                            path.score[t], inclusion[t], digest, decoder.text(ids) == held[t],
-                            ids.astype(np.int32) if with_ids else None,
+                            number + 1, len(ids), path.log_prob[t], path.score[t], inclusion[t],
+                            hashlib.md5(short.tobytes()).hexdigest(), decoder.text(ids) == held[t],
                         ))
-            frame = pd.DataFrame(out, columns=columns)
-            frame["doc_id"] = frame["doc_id"].astype(ids_in.dtype)
-            yield frame if with_ids else frame.drop(columns="ids")
+                        if with_ids:
+                            pieces.append(short)
+            columns = [batch.column("doc_id").take(pa.array(at, pa.int64()))]
+            values = zip(*out, strict=True) if out else [()] * len(kinds)
+            columns += [pa.array(v, kind) for v, kind in zip(values, kinds, strict=True)]
+            if with_ids:
+                bounds = np.zeros(len(pieces) + 1, dtype=np.int32)
+                np.cumsum([len(p) for p in pieces], out=bounds[1:])
+                flat = np.concatenate([np.empty(0, np.int32), *pieces])
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names, *["ids"] * with_ids])
         _tables.clear()  # the worker process may idle on
 
     schema = (
@@ -596,7 +607,7 @@ def sample_segmentations(
         "inclusion double, ids_md5 string, round_trip boolean" + ", ids array<int>" * with_ids
     )
     keyed_docs = docs.select("doc_id", "text", F.xxhash64(keyed(F.col("doc_id"))).alias("key"))
-    return keyed_docs.mapInPandas(sample, schema)
+    return keyed_docs.mapInArrow(sample, schema)
 
 
 def decode(samples: DataFrame, model: bytes, name: str = "text") -> DataFrame:
