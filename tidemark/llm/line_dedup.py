@@ -17,10 +17,12 @@ there are held against all earlier lines of their keys.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column_like, row_key, small_or_shuffled, smallest_hashes
+from tidemark.llm.common import BROADCAST_BYTES, column_like, row_key, smallest_hashes
 from tidemark.session import materialised
 
 _SPACES = " \t\n\x0b\x0c\r"
@@ -34,6 +36,10 @@ LONG = 40
 RUN, SHARED = 4, 3
 #: Classes that runs are counted in, and lines of the sample.
 CLASSES, SAMPLE_LINES = 1 << 16, 2000
+#: Shares of the runs that are shuffled one after the other: bounds what lies on disk.
+SHARES = 8
+#: What a document's line numbers take in a broadcast beside themselves.
+ROW_BYTES = 96
 
 
 def _words(line: Column) -> Column:
@@ -60,10 +66,18 @@ def _half_keys(words: Column, size: Column) -> Column:
     return F.array_distinct(F.array(*keys))
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+
+
+def _line_hashes() -> list[Column]:
+    return [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2")]
+
+
 def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     """One row per line of at least ``min_words`` words, without its text."""
     lines = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
+        _doc().alias("doc"),
         row_key().alias("rid"),
         F.posexplode(F.split("text", "\n", -1)).alias("line", "chars"),
     )
@@ -74,30 +88,45 @@ def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     halves = _half_keys(F.col("words"), F.col("size"))
     return worded.where(F.col("size") >= min_words).select(
         F.struct("doc", "line", "rid").alias("at"),
-        F.xxhash64("words").alias("h1"),
-        F.xxhash64(F.lit(1), "words").alias("h2"),
+        *_line_hashes(),
         "size",
         # of two lines within one edit, one may have LONG words and the other one less
         F.when(F.col("size").between(near_words, LONG), halves).alias("halves"),
     )
 
 
+def _sent_if_small(stored: DataFrame, numbers: str) -> DataFrame:
+    """A stored table of line numbers per document, marked for broadcast if they fit.
+
+    All numbers are counted, as a document may have very many lines.
+    """
+    rows, held = stored.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size(numbers)), F.lit(0))
+    ).first()
+    return F.broadcast(stored) if rows * ROW_BYTES + held * 4 <= BROADCAST_BYTES else stored
+
+
 def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(at, h1, h2, words) of the lines in ``wanted`` (at, h1, h2), from their documents."""
+    """(at, h1, h2, words) of the lines in ``wanted`` (at), from their documents.
+
+    Only line numbers travel to the documents; what else a line is known by comes
+    from the document again.
+    """
     per_doc = materialised(
-        wanted.groupBy(F.col("at.rid").alias("rid")).agg(
-            F.collect_list(F.struct("at", "h1", "h2")).alias("picks")
-        )
+        wanted.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_set("at.line").alias("picks"))
     )
     lines = F.split("text", "\n", -1)
     return (
-        docs.select(row_key().alias("rid"), "text")
-        .join(small_or_shuffled(per_doc, 256), "rid")
-        .select(F.explode(F.transform("picks", lambda p: F.struct(
-            p["at"].alias("at"), p["h1"].alias("h1"), p["h2"].alias("h2"),
-            F.get(lines, p["at"]["line"]).alias("chars"),
+        docs.select(_doc().alias("doc"), row_key().alias("rid"), "text")
+        .join(_sent_if_small(per_doc, "picks"), "rid")
+        .select("doc", "rid", F.explode(F.transform("picks", lambda p: F.struct(
+            p.alias("line"), F.get(lines, p).alias("chars"),
         ))).alias("x"))
-        .select("x.at", "x.h1", "x.h2", _words(F.col("x.chars")).alias("words"))
+        .select(
+            F.struct("doc", "x.line", "rid").alias("at"),
+            F.explode(F.array(_words(F.col("x.chars")))).alias("words"),
+        )
+        .select("at", *_line_hashes(), "words")
     )
 
 
@@ -330,15 +359,19 @@ def _proven(docs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
 def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of distinct lines of LONG words with an earlier one within a tenth."""
     long = materialised(_first_runs(docs, distinct.where(F.col("size") >= LONG)))
-    keys = long.select("h1", F.explode("keys").alias("key")).repartition("key")
-    shared = (
-        keys.groupBy("key")
-        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-        .where("low < high")
-        .select("key")
-    )
+    every = long.select("h1", F.explode("keys").alias("key"))
+    met = []
+    for share in range(SHARES):
+        keys = every.where(F.col("key").bitwiseAND(F.lit(SHARES - 1)) == share).repartition("key")
+        shared = (
+            keys.groupBy("key")
+            .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+            .where("low < high")
+            .select("key")
+        )
+        met.append(materialised(keys.join(shared.hint("shuffle_hash"), "key").distinct()))
     held = materialised(
-        keys.join(shared.hint("shuffle_hash"), "key").distinct()
+        reduce(DataFrame.unionAll, met)
         .join(long.select("at", "h1", "h2", "n", "need").distinct(), "h1")
     )
     first = held.groupBy("key").agg(F.min(F.struct("at", "h1", "h2", "n", "need")).alias("w"))
@@ -408,7 +441,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> Da
     text = F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return (
         docs.withColumn(rid, row_key())
-        .join(small_or_shuffled(found, 256), rid, "left")
+        .join(_sent_if_small(found, dropped), rid, "left")
         .withColumns(
             {
                 n_lines: F.coalesce(F.size(lines), F.lit(0)).cast("long"),
