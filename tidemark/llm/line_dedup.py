@@ -12,7 +12,9 @@ so of the runs in any fixed order, two lines within k edits share ``SHARED`` of
 their first RUN * k + SHARED. Runs that a sample finds often come last, so a
 passage that many lines hold gives keys only to lines that are little else. Lines
 are first held against the earliest of each key; only those that find no repeat
-there are held against all earlier lines of their keys.
+there are held against all earlier lines of their keys. Two lines that share a key
+become a pair only if the parities of their words are as near as k edits leave
+them, so lines that have little more than a passage in common form none.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BROADCAST_BYTES, column_like, row_key, smallest_hashes
-from tidemark.session import materialised
+from tidemark.session import discard, materialised
 
 _SPACES = " \t\n\x0b\x0c\r"
 #: Bits of one word's share in a variant's hash: sums of 2**22 words fit a long.
@@ -242,7 +244,7 @@ def _near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
-def _runs(lines: DataFrame) -> DataFrame:
+def _runs(lines: DataFrame, with_parities: bool = False) -> DataFrame:
     """``lines`` (.., words) with n words and, instead of them, hashes of all runs."""
     hashed = lines.select(
         *[c for c in lines.columns if c != "words"],
@@ -253,7 +255,12 @@ def _runs(lines: DataFrame) -> DataFrame:
         F.slice("each", F.lit(1), F.col("n") - (RUN - 1)),
         lambda h, i: F.xxhash64(h, *[F.get("each", i + d) for d in range(1, RUN)]),
     )
-    return hashed.withColumn("each", F.array_distinct(runs)).withColumnRenamed("each", "runs")
+    parities = _parities("each") if with_parities else []
+    return hashed.select(
+        *[c for c in hashed.columns if c != "each"],
+        *parities,
+        F.array_distinct(runs).alias("runs"),
+    )
 
 
 def _class(run: Column) -> Column:
@@ -277,8 +284,23 @@ def _crowded(docs: DataFrame, long: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _parities(hashes: str) -> list[Column]:
+    """128 bits: whether the words that fall to each bit are odd in number.
+
+    A word replaced changes two bits at most, one put in or left out a single one.
+    """
+    def odd(half: int) -> Column:
+        def bit(h: Column) -> Column:
+            mine = F.shiftright(h, 62).bitwiseXOR(F.lit(1 - half)).bitwiseAND(F.lit(1))
+            return F.call_function("shiftleft", mine, h.bitwiseAND(F.lit(63)).cast("int"))
+
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(bit(h)))
+
+    return [odd(half).alias(f"odd{half}") for half in (0, 1)]
+
+
 def _first_runs(docs: DataFrame, long: DataFrame) -> DataFrame:
-    """(at, h1, h2, n, need, keys): the first runs of each line, and how many to share.
+    """(at, h1, h2, odd0, odd1, n, need, keys): the first runs of each line, how many to share.
 
     A line of so few different runs that all of them are keys shares one at least.
     """
@@ -292,10 +314,10 @@ def _first_runs(docs: DataFrame, long: DataFrame) -> DataFrame:
 
     most = RUN * F.floor(F.col("n") / 10).cast("int") + SHARED
     return (
-        _runs(_read(docs, long.select("at", "h1", "h2")))
+        _runs(_read(docs, long.select("at", "h1", "h2")), with_parities=True)
         .withColumn("keys", F.slice(F.sort_array(F.transform("runs", placed)), F.lit(1), most))
         .select(
-            "at", "h1", "h2", "n",
+            "at", "h1", "h2", "odd0", "odd1", "n",
             F.when(F.size("keys") >= most, SHARED).otherwise(1).alias("need"),
             "keys",
         )
@@ -337,27 +359,55 @@ def _within_a_tenth(pairs: DataFrame) -> DataFrame:
     return alike.where(F.when(told_apart, True).otherwise(exact))
 
 
-def _proven(docs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(h1, h2) of lines in ``left`` within a tenth of an earlier one they share keys with."""
-    earlier = right.select("key", *[F.col(c).alias(f"{c}_") for c in ("at", "h1", "h2", "n", "need")])
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(id, id_): lines of ``left`` and earlier ones of ``right`` that may be within a tenth.
+
+    Only numbers, lengths and parities meet, and a pair that cannot be near ends in the
+    join: of lines that share keys, few rows are left to be counted.
+    """
+    earlier = right.select("key", *[F.col(c).alias(f"{c}_") for c in right.columns if c != "key"])
     fewest = F.floor(F.least("n", "n_") / 10)
-    pairs = materialised(
+    unlike = reduce(Column.__add__, [
+        F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in ("odd0", "odd1")
+    ])
+    return (
         left.join(earlier, "key")
-        .where((F.col("at_") < F.col("at")) & (F.abs(F.col("n") - F.col("n_")) <= fewest))
-        .groupBy("h1", "h2", "at", "h1_", "h2_", "at_")
+        .where(
+            (F.col("id_") < F.col("id"))
+            & (F.abs(F.col("n") - F.col("n_")) <= fewest)
+            & (unlike <= 2 * fewest)
+        )
+        .groupBy("id", "id_")
         .agg(F.count(F.lit(1)).alias("c"), F.max(F.greatest("need", "need_")).alias("need"))
         .where("c >= need")
         .drop("c", "need")
     )
-    ends = pairs.select("at", "h1", "h2").union(pairs.select("at_", "h1_", "h2_"))
-    texts = materialised(_spelling(_texts(docs, ends.distinct())).drop("id"))
+
+
+def _proven(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The ids in ``pairs`` (id, id_) whose lines are within a tenth of each other."""
+    pairs = materialised(pairs)
+    ends = pairs.select("id").union(pairs.select("id_")).distinct()
+    wanted = materialised(lines.join(ends, "id").select("id", "at", "h1", "h2"))
+    read = _read(docs, wanted.select("at", "h1", "h2")).dropDuplicates(["h1", "h2"])
+    texts = materialised(
+        _spelling(read.drop("at")).join(wanted.select("id", "h1", "h2"), ["h1", "h2"]).drop("h1", "h2")
+    )
     other = texts.select(*[F.col(c).alias(f"{c}_") for c in texts.columns])
-    both = pairs.join(texts, ["h1", "h2"]).join(other, ["h1_", "h2_"])
-    return _within_a_tenth(both).select("h1", "h2").distinct()
+    found = materialised(
+        _within_a_tenth(pairs.join(texts, "id").join(other, "id_")).select("id").distinct()
+    )
+    for done in (pairs, wanted, texts):
+        discard(done)
+    return found
 
 
 def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h1, h2) of distinct lines of LONG words with an earlier one within a tenth."""
+    """(h1, h2) of distinct lines of LONG words with an earlier one within a tenth.
+
+    Lines are numbered in their order, so that what is shuffled and stored for each of
+    their many keys is short; stored tables go as soon as nothing reads them.
+    """
     long = materialised(_first_runs(docs, distinct.where(F.col("size") >= LONG)))
     every = long.select("h1", F.explode("keys").alias("key"))
     met = []
@@ -370,14 +420,27 @@ def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
             .select("key")
         )
         met.append(materialised(keys.join(shared.hint("shuffle_hash"), "key").distinct()))
-    held = materialised(
-        reduce(DataFrame.unionAll, met)
-        .join(long.select("at", "h1", "h2", "n", "need").distinct(), "h1")
+    every = reduce(DataFrame.unionAll, met)
+    # numbered along a range sort and stored, so the numbers are in order and fixed
+    lines = materialised(
+        long.drop("keys")
+        .join(every.select("h1").distinct(), "h1", "left_semi")
+        .distinct()
+        .orderBy("at", "h1", "h2")
+        .select(F.monotonically_increasing_id().alias("id"), *[c for c in long.columns if c != "keys"])
     )
-    first = held.groupBy("key").agg(F.min(F.struct("at", "h1", "h2", "n", "need")).alias("w"))
-    easy = materialised(_proven(docs, held, first.select("key", "w.*")))
-    others = _proven(docs, held.join(easy, ["h1", "h2"], "left_anti"), held)
-    return easy.union(others)
+    discard(long)
+    held = materialised(every.join(lines.drop("at", "h2"), "h1").drop("h1"))
+    for done in met:
+        discard(done)
+    facts = F.struct("id", *[c for c in held.columns if c not in ("id", "key")])
+    first = held.groupBy("key").agg(F.min(facts).alias("w")).select("key", "w.*")
+    easy = _proven(docs, lines, _pairs(held, first))
+    others = _proven(docs, lines, _pairs(held.join(easy, "id", "left_anti"), held))
+    found = materialised(lines.join(easy.union(others), "id").select("h1", "h2").distinct())
+    for done in (held, easy, others, lines):
+        discard(done)
+    return found
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:

@@ -111,3 +111,12 @@ def materialised(df: DataFrame) -> DataFrame:
     with _shuffles_released(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove a table of :func:`materialised` that nothing reads any more."""
+    spark = stored.sparkSession
+    own = f"/tidemark/{spark.sparkContext.applicationId}/cut-"
+    for path in {file.rpartition("/")[0] for file in stored.inputFiles()}:
+        if own in path:
+            files.remove(files.folder(spark, path), quiet=True)
