@@ -37,6 +37,8 @@ _SPACE = ord(SPACE)
 #: Stands for a space mark that the text itself holds; no piece has it.
 _FOREIGN = 0x110000
 _SALTS = seeds(3, 71)
+#: A character's share in a hash, for the code points that most texts have.
+_SHORT = mixed(np.arange(1, 0x3001, dtype=U))
 _BASE, _INVERSE = U(0x9E3779B97F4A7C15), U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
@@ -81,36 +83,42 @@ class Prefixes:
     """A hash table of all beginnings of all pieces, looked up many at a time."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        found: dict[str, int] = {}
-        for i in np.flatnonzero(vocabulary.normal):
-            piece = vocabulary.pieces[i]
-            for end in range(1, len(piece)):
-                found.setdefault(piece[:end], -1)
-            found[piece] = int(i)
-        self.longest = max((len(p) for p in found), default=1)
-        self.bits = max(12, (len(found) * 16).bit_length())
+        whole = np.flatnonzero(vocabulary.normal)
+        pieces = [vocabulary.pieces[i] for i in whole]
+        length = np.array([len(p) for p in pieces], dtype=np.int64)
+        start = np.cumsum(length) - length
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32)
+        self.longest = int(length.max(initial=1))
+        # a row per beginning, which lie one after the other; -1 if it is no piece itself
+        begin = np.repeat(start, length)
+        ids = np.full(len(codes), -1, dtype=np.int32)
+        ids[start + length - 1] = whole
+        keys = (_sums(codes)[1:] - _sums(codes)[begin]) * _powers(len(codes))[1][begin]
+        order = np.lexsort((ids, keys))
+        last = np.append(keys[order][1:] != keys[order][:-1], True)[: len(order)]
+        keys, ids = keys[order][last], ids[order][last]
+        self.bits = max(12, (len(keys) * 4).bit_length())
         self.keys = np.zeros(1 << self.bits, dtype=U)
         self.ids = np.full(1 << self.bits, -1, dtype=np.int32)
-        for text, i in found.items():
-            codes = np.array([ord(c) for c in text], dtype=np.uint32)
-            key = _sums(codes)[-1:]
-            slot = int(self._slot(key)[0])
-            while self.keys[slot]:
-                slot = (slot + 1) & ((1 << self.bits) - 1)
-            self.keys[slot], self.ids[slot] = key[0], i
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):  # one key takes a free slot, those that meet there go on
+            free = left[self.keys[slot[left]] == 0]
+            _, first = np.unique(slot[free], return_index=True)
+            at = free[first]
+            self.keys[slot[at]], self.ids[slot[at]] = keys[at], ids[at]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
 
         # single characters, which are most lookups, have a table by code point, of 16
         # bits; the few beyond are the table's last rows, in the order of ``far``
-        self.far = np.array(sorted({ord(t[0]) for t in found if ord(t[0]) > 0xFFFF}), np.uint32)
+        row = codes[start].astype(np.int64)
+        beyond = row > 0xFFFF
+        self.far = np.unique(codes[start][beyond])
+        row[beyond] = 0x10000 + np.searchsorted(self.far, codes[start][beyond])
         self.single = np.full(0x10000 + len(self.far), -1, dtype=np.int32)
         self.opens = np.zeros(0x10000 + len(self.far), dtype=bool)
-        for text, i in found.items():
-            row = ord(text[0])
-            if row > 0xFFFF:
-                row = 0x10000 + int(np.searchsorted(self.far, row))
-            self.opens[row] |= len(text) > 1
-            if len(text) == 1:
-                self.single[row] = i
+        self.opens[row[length > 1]] = True
+        self.single[row[length == 1]] = whole[length == 1]
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * U(0xD6E8FEB86659FD93)) >> U(64 - self.bits)).astype(np.int64)
@@ -150,8 +158,9 @@ _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, n.bit_length())
-    if size not in _tables:
+    size = max(_tables, default=0)
+    if size <= n:
+        size = 1 << max(12, n.bit_length())
         pair = []
         for base in (_BASE, _INVERSE):
             steps = np.full(size, base, dtype=U)
@@ -165,7 +174,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def _sums(codes: np.ndarray) -> np.ndarray:
     """Polynomial prefix sums: those of a range, moved to the start, hash the range."""
     out = np.zeros(len(codes) + 1, dtype=U)
-    np.cumsum(mixed(codes.astype(U) + U(1)) * _powers(len(codes))[0][: len(codes)], out=out[1:])
+    short = codes.max(initial=0) < len(_SHORT)
+    each = _SHORT[codes] if short else mixed(codes.astype(U) + U(1))
+    each *= _powers(len(codes))[0][: len(codes)]
+    np.cumsum(each, out=out[1:])
     return out
 
 
@@ -199,7 +211,11 @@ class Lattice:
         sums = _sums(codes)
         inverse = _powers(len(codes))[1]
         names = mixed((sums[ends] - sums[starts]) * inverse[starts])
-        _, first, self.word = np.unique(names, return_index=True, return_inverse=True)
+        order = np.argsort(names)  # which of equal words comes first does not matter
+        new = np.append(True, names[order][1:] != names[order][:-1])
+        first = order[new]
+        self.word = np.empty(len(names), dtype=np.int64)
+        self.word[order] = np.cumsum(new) - 1
         length = ends[first] - starts[first]
         self.start = np.cumsum(length + 1) - (length + 1)
         n = int((length + 1).sum())
@@ -232,14 +248,14 @@ class Lattice:
         self.last[order] = np.cumsum(count[order])
         self.first = self.last - count
         total = int(count.sum())
+        self.slot = np.repeat(order, count[order])
         self.size, self.piece = np.empty(total, np.int64), np.empty(total, np.int64)
-        self.slot, weight = np.empty(total, np.int64), np.empty(total)
         free = self.last.copy()
         for size, (slots, ids) in enumerate(found):
-            free[slots] -= 1
-            edge = free[slots]
-            self.slot[edge], self.piece[edge], self.size[edge] = slots, ids, max(size, 1)
-            weight[edge] = vocabulary.weights[ids]
+            edge = free[slots] - 1
+            free[slots] = edge
+            self.piece[edge], self.size[edge] = ids, max(size, 1)
+        weight = vocabulary.weights[self.piece]
         edge = self.last[plain] - 1  # placed first, so last of its slot
         weight[edge] = vocabulary.byte_weight * _byte_counts(self.codes[plain])
         self._share(weight, order, count)
@@ -247,7 +263,7 @@ class Lattice:
     def _share(self, weight: np.ndarray, order: np.ndarray, count: np.ndarray) -> None:
         """Log-probability of each edge: backward sums, nearest to the word's end first."""
         behind = np.zeros(len(self.left))
-        to = self.slot + self.size
+        self.to = to = self.slot + self.size
         bounds = np.searchsorted(self.left[order], np.arange(1, int(self.left.max(initial=0)) + 2))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             slots = order[a:b]
@@ -263,17 +279,22 @@ class Lattice:
         self.log_share = weight + behind[to] - behind[self.slot]
         self.upto = np.zeros(len(weight) + 1)  # up to and without each edge
         np.cumsum(np.exp(self.log_share), out=self.upto[1:])
+        # per slot: up to its edges, with the first of them, and all of them
+        self.low = self.upto[self.first]
+        self.head = self.upto[np.minimum(self.first + 1, len(weight))]
+        self.span = self.upto[self.last] - self.low
 
     def pick(self, slots: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge taken at each slot, by probability."""
-        edge, last = self.first[slots], self.last[slots] - 1
-        base = self.upto[edge]
-        goal = base + u * (self.upto[last + 1] - base)
-        going = np.flatnonzero((self.upto[edge + 1] <= goal) & (edge < last))
+        edge, goal = self.first[slots], self.low[slots] + u * self.span[slots]
+        going = np.flatnonzero(self.head[slots] <= goal)  # beyond the slot's first edge
+        last, goal = self.last[slots[going]] - 1, goal[going]
         while len(going):
+            more = edge[going] < last
+            going, last, goal = going[more], last[more], goal[more]
             edge[going] += 1
-            at = edge[going]
-            going = going[(self.upto[at + 1] <= goal[going]) & (at < last[going])]
+            more = self.upto[edge[going] + 1] <= goal
+            going, last, goal = going[more], last[more], goal[more]
         return edge
 
 
@@ -343,16 +364,16 @@ class Batch:
             at = slot[line]
             edge = lattice.pick(at, self._noise(word[line], at, path, 1))
             out.append((line, edge))
-            slot[line] = at = at + lattice.size[edge]
+            at = lattice.to[edge]
+            slot[line] = at
             line = line[lattice.left[at] > 0]
         count = np.zeros(len(word), dtype=np.int64)
-        for line, _ in out:
-            count[line] += 1
+        for step, (line, _) in enumerate(out):
+            count[line] = step + 1
         free = np.cumsum(count) - count
         edges = np.empty(int(count.sum()), dtype=np.int64)
-        for line, edge in out:
-            edges[free[line]] = edge
-            free[line] += 1
+        for step, (line, edge) in enumerate(out):
+            edges[free[line] + step] = edge
         return np.repeat(word, count), edges
 
     @staticmethod
@@ -373,8 +394,8 @@ class Batch:
         before = total[:-1] - np.repeat(total[low], high - low)
         start = np.minimum(low + fixed, high)
         reach = np.where(start < high, before[np.minimum(start, len(edge) - 1)] - WINDOW, 0.0)
-        drawn = np.searchsorted(-(before - 1e9 * np.repeat(np.arange(self.n), high - low)),
-                                -(reach - 1e9 * np.arange(self.n)), side="right")
+        apart = 1e9 * np.arange(self.n)
+        drawn = np.searchsorted(np.repeat(apart, high - low) - before, apart - reach, side="right")
         drawn = np.clip(drawn, start, high)
         path = Path(
             bound, word, edge, before, np.full(len(edge), -np.inf), total[high] - total[low],
@@ -424,23 +445,20 @@ class Batch:
                     best[t], path[t], piece[t] = p.rest[i], number, i
         return best, path, piece
 
-    def _sibling(self, p: Path, i: int, score: float, number: int) -> int:
-        """Gives another edge at a place to a new path, and draws what is left there anew."""
+    def _sibling(self, p: Path, i: int, u: float) -> tuple[int, float]:
+        """Gives another edge at a place to a new path; also the log-mass of what is left there."""
         lattice = self.lattice
         slot = lattice.slot[p.edge[i]]
-        edges = np.arange(lattice.first[slot], lattice.last[slot])
+        low = int(lattice.first[slot])
         given = p.given.setdefault(i, [int(p.edge[i])])
-        share = np.where(np.isin(edges, given), 0.0, np.exp(lattice.log_share[edges]))
-        here = (p.word[i : i + 1], np.array([slot]))
+        share = np.exp(lattice.log_share[low : lattice.last[slot]])
+        share[[edge - low for edge in given]] = 0.0
         upto = np.cumsum(share)
-        pick = int((upto <= self._noise(*here, number, 3)[0] * upto[-1]).sum())
+        pick = int((upto <= u * upto[-1]).sum())
         pick = min(pick, int(np.flatnonzero(share)[-1]))
-        given.append(int(edges[pick]))
+        given.append(low + pick)
         left = share.sum() - share[pick]
-        mass = p.before[i] + np.log(left) if left > 1e-12 else -np.inf
-        noise = self._noise(*here, number, 4)
-        p.rest[i] = self._below(np.array([mass]), np.array([score]), noise)[0]
-        return int(edges[pick])
+        return low + pick, p.before[i] + np.log(left) if left > 1e-12 else -np.inf
 
     def _branch(self, best: np.ndarray, path: np.ndarray, piece: np.ndarray) -> None:
         """One new path per text: another piece at the best place, and a fresh end."""
@@ -448,10 +466,16 @@ class Batch:
         present = np.isfinite(best)
         heads, words, slots = [], [], []
         fixed = np.zeros(self.n, dtype=np.int64)
-        for t in np.flatnonzero(present):
-            p, i = self.paths[path[t]], int(piece[t])
-            edge, word = self._sibling(p, i, best[t], number), int(p.word[i])
-            a = p.bound[t]
+        texts = np.flatnonzero(present)
+        split = [(self.paths[path[t]], int(piece[t])) for t in texts]
+        here = (
+            np.array([p.word[i] for p, i in split]),
+            lattice.slot[np.array([p.edge[i] for p, i in split])],
+        )
+        picks, mass = self._noise(*here, number, 3), np.empty(len(split))
+        for j, (t, (p, i)) in enumerate(zip(texts, split, strict=True)):
+            edge, mass[j] = self._sibling(p, i, picks[j])
+            word, a = int(p.word[i]), p.bound[t]
             fixed[t] = i - a + 1
             heads.append((t, p.word[a : i + 1], np.append(p.edge[a:i], edge)))
             slot = lattice.slot[edge] + lattice.size[edge]
@@ -461,6 +485,9 @@ class Batch:
             later = np.arange(word + 1, self.word_bound[t + 1])
             words.append(later)
             slots.append(lattice.start[lattice.word[later]])
+        rest = self._below(mass, best[texts], self._noise(*here, number, 4))
+        for (p, i), score in zip(split, rest, strict=True):
+            p.rest[i] = score
         word, edge = self._walk(np.concatenate(words), np.concatenate(slots), number)
         tails = np.searchsorted(self.text_of_word[word], np.arange(self.n + 1))
         new_words, new_edges, counts = [], [], np.zeros(self.n, dtype=np.int64)
@@ -477,23 +504,26 @@ class Batch:
 
     def ids(self, path: Path, text: int, vocabulary: Vocabulary) -> np.ndarray:
         """Piece ids of one text; characters without a piece as their bytes' pieces."""
-        edge = path.edge[path.bound[text] : path.bound[text + 1]]
-        ids = self.lattice.piece[edge]
+        ids, bound = self.all_ids(path, vocabulary)
+        return ids[bound[text] : bound[text + 1]]
+
+    def all_ids(self, path: Path, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts one after the other, and where each text's begin."""
+        ids, bound = self.lattice.piece[path.edge], path.bound
         bare = np.flatnonzero(ids < 0)
         if not len(bare):
-            return ids
-        codes = self.lattice.codes[self.lattice.slot[edge[bare]]]
+            return ids, bound
+        codes = self.lattice.codes[self.lattice.slot[path.edge[bare]]]
         if (codes < 0x80).all():  # line feeds and the like: one byte each
-            ids = ids.copy()
             ids[bare] = vocabulary.byte_ids[codes]
-            return ids
+            return ids, bound
         codes = np.where(codes == _FOREIGN, _SPACE, codes)
         chars = [chr(c).encode("utf-8", "surrogatepass") for c in codes.tolist()]
         count = np.ones(len(ids), dtype=np.int64)
         count[bare] = [len(c) for c in chars]
         out = np.repeat(ids, count)
         out[out < 0] = vocabulary.byte_ids[np.frombuffer(b"".join(chars), dtype=np.uint8)]
-        return out
+        return out, np.append(0, np.cumsum(count))[bound]
 
 
 class Decoder:
@@ -581,9 +611,11 @@ def sample_segmentations(
                 for number, path in enumerate(group.paths):
                     with np.errstate(over="ignore"):
                         inclusion = -np.expm1(-np.exp(path.log_prob - left))
+                    every, bound = group.all_ids(path, vocabulary)
+                    every_short = every.astype("<i4")
                     for t in np.flatnonzero(path.present):
-                        ids = group.ids(path, t, vocabulary)
-                        short = ids.astype("<i4")
+                        part = slice(bound[t], bound[t + 1])
+                        ids, short = every[part], every_short[part]
                         at.append(rows[t])
                         out.append((
                             number + 1, len(ids), path.log_prob[t], path.score[t], inclusion[t],
