@@ -39,16 +39,25 @@ RUN, SHARED = 4, 3
 #: Classes that runs are counted in, and lines of the sample.
 CLASSES, SAMPLE_LINES = 1 << 16, 2000
 #: Shares of the runs that are shuffled one after the other: bounds what lies on disk.
-SHARES = 8
+#: There are fewer if a share would have less than so many runs.
+SHARES, SHARE_KEYS = 8, 2_000_000
 #: What a document's line numbers take in a broadcast beside themselves.
 ROW_BYTES = 96
 
 
-def _words(line: Column) -> Column:
-    trimmed = F.btrim(line, F.lit(_SPACES))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, r"\s+")
-    )
+def _spaced(line: Column) -> Column:
+    """The words of a line with one space between them.
+
+    Most lines are that already, and looking for other white space costs far less
+    than matching a pattern at every space.
+    """
+    uneven = [F.contains(line, F.lit(c)) for c in ("  ", *_SPACES[1:])]
+    even = F.when(reduce(Column.__or__, uneven), F.regexp_replace(line, r"\s+", " ")).otherwise(line)
+    return F.btrim(even)
+
+
+def _words(spaced: Column) -> Column:
+    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
 
 
 def _half_keys(words: Column, size: Column) -> Column:
@@ -73,7 +82,7 @@ def _doc() -> Column:
 
 
 def _line_hashes() -> list[Column]:
-    return [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2")]
+    return [F.xxhash64("spaced").alias("h1"), F.xxhash64(F.lit(1), "spaced").alias("h2")]
 
 
 def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
@@ -83,12 +92,12 @@ def _occurrences(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
         row_key().alias("rid"),
         F.posexplode(F.split("text", "\n", -1)).alias("line", "chars"),
     )
-    # the words are an array that several columns read: a lateral step computes it once
-    worded = lines.select(
-        "doc", "rid", "line", F.explode(F.array(_words(F.col("chars")))).alias("words")
-    ).withColumn("size", F.size("words"))
+    # what several columns read is computed once by a lateral step
+    spaced = lines.withColumn("spaced", F.explode(F.array(_spaced(F.col("chars")))))
+    worded = spaced.withColumn("words", F.explode(F.array(_words(F.col("spaced")))))
+    sized = worded.withColumn("size", F.size("words")).where(F.col("size") >= min_words)
     halves = _half_keys(F.col("words"), F.col("size"))
-    return worded.where(F.col("size") >= min_words).select(
+    return sized.select(
         F.struct("doc", "line", "rid").alias("at"),
         *_line_hashes(),
         "size",
@@ -117,18 +126,17 @@ def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     per_doc = materialised(
         wanted.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_set("at.line").alias("picks"))
     )
-    lines = F.split("text", "\n", -1)
     return (
         docs.select(_doc().alias("doc"), row_key().alias("rid"), "text")
         .join(_sent_if_small(per_doc, "picks"), "rid")
-        .select("doc", "rid", F.explode(F.transform("picks", lambda p: F.struct(
-            p.alias("line"), F.get(lines, p).alias("chars"),
-        ))).alias("x"))
+        # a text is cut once, not once for each of its lines
+        .select("doc", "rid", "picks", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
+        .select("doc", "rid", "lines", F.explode("picks").alias("line"))
         .select(
-            F.struct("doc", "x.line", "rid").alias("at"),
-            F.explode(F.array(_words(F.col("x.chars")))).alias("words"),
+            F.struct("doc", "line", "rid").alias("at"),
+            F.explode(F.array(_spaced(F.get("lines", "line")))).alias("spaced"),
         )
-        .select("at", *_line_hashes(), "words")
+        .select("at", *_line_hashes(), F.explode(F.array(_words(F.col("spaced")))).alias("words"))
     )
 
 
@@ -246,19 +254,14 @@ def _near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 def _runs(lines: DataFrame, with_parities: bool = False) -> DataFrame:
     """``lines`` (.., words) with n words and, instead of them, hashes of all runs."""
-    hashed = lines.select(
+    if with_parities:
+        lines = _with_parities(lines)
+    n = F.size("words")
+    together = F.arrays_zip(*[F.slice("words", F.lit(1 + d), n - (RUN - 1)) for d in range(RUN)])
+    runs = F.transform(together, lambda run: F.xxhash64(run))
+    return lines.select(
         *[c for c in lines.columns if c != "words"],
-        F.size("words").alias("n"),
-        F.explode(F.array(F.transform("words", lambda w: F.xxhash64(w)))).alias("each"),
-    )
-    runs = F.transform(
-        F.slice("each", F.lit(1), F.col("n") - (RUN - 1)),
-        lambda h, i: F.xxhash64(h, *[F.get("each", i + d) for d in range(1, RUN)]),
-    )
-    parities = _parities("each") if with_parities else []
-    return hashed.select(
-        *[c for c in hashed.columns if c != "each"],
-        *parities,
+        n.alias("n"),
         F.array_distinct(runs).alias("runs"),
     )
 
@@ -299,28 +302,31 @@ def _parities(hashes: str) -> list[Column]:
     return [odd(half).alias(f"odd{half}") for half in (0, 1)]
 
 
+def _with_parities(lines: DataFrame) -> DataFrame:
+    """``lines`` (.., words) with the parities of their words."""
+    hashed = lines.withColumn(
+        "each", F.explode(F.array(F.transform("words", lambda w: F.xxhash64(w))))
+    )
+    return hashed.select(*lines.columns, *_parities("each"))
+
+
 def _first_runs(docs: DataFrame, long: DataFrame) -> DataFrame:
-    """(at, h1, h2, odd0, odd1, n, need, keys): the first runs of each line, how many to share.
+    """(at, h1, h2, n, need, keys): the first runs of each line, how many to share.
 
     A line of so few different runs that all of them are keys shares one at least.
     """
-    table = F.lit(_crowded(docs, long))
-
-    def placed(run: Column) -> Column:
-        often = F.substring(table, _class(run) + 1, 1) == F.lit(b"\x01")
-        return F.when(often, run.bitwiseAND(F.lit(2**63 - 1))).otherwise(
-            run.bitwiseOR(F.lit(-(2**63)))
-        )
-
+    crowded = _crowded(docs, long)
+    lines = _runs(_read(docs, long.select("at", "h1", "h2")))
+    ordered = F.sort_array("runs")
+    if any(crowded):
+        often = F.filter("runs", lambda run: F.substring(F.lit(crowded), _class(run) + 1, 1) == F.lit(b"\x01"))
+        lines = lines.withColumn("often", F.explode(F.array(often)))
+        ordered = F.concat(F.sort_array(F.array_except("runs", "often")), F.sort_array("often"))
     most = RUN * F.floor(F.col("n") / 10).cast("int") + SHARED
-    return (
-        _runs(_read(docs, long.select("at", "h1", "h2")), with_parities=True)
-        .withColumn("keys", F.slice(F.sort_array(F.transform("runs", placed)), F.lit(1), most))
-        .select(
-            "at", "h1", "h2", "odd0", "odd1", "n",
-            F.when(F.size("keys") >= most, SHARED).otherwise(1).alias("need"),
-            "keys",
-        )
+    return lines.withColumn("keys", F.slice(ordered, F.lit(1), most)).select(
+        "at", "h1", "h2", "n",
+        F.when(F.size("keys") >= most, SHARED).otherwise(1).alias("need"),
+        "keys",
     )
 
 
@@ -333,10 +339,13 @@ def _spelt(codes: Column) -> Column:
 
 
 def _spelling(texts: DataFrame) -> DataFrame:
-    """``texts`` with 20-bit codes of their words, and with the text these spell."""
-    # an array that several columns read: a lateral step computes it once
-    codes = F.transform("words", lambda w: F.xxhash64(w).bitwiseAND(F.lit(2**20 - 1)))
-    return texts.withColumn("codes", F.explode(F.array(codes))).withColumn("spelt", _spelt(F.col("codes")))
+    """``texts`` with the text that 19-bit codes of their words spell."""
+    # five digits, of which the first is 8 or more: no padding, and never a surrogate
+    codes = F.transform(
+        "words", lambda w: F.hex(F.xxhash64(w).bitwiseAND(F.lit(2**19 - 1)).bitwiseOR(F.lit(2**19)))
+    )
+    digits = F.concat(F.lit("000"), F.array_join(codes, "000"))
+    return texts.withColumn("spelt", F.decode(F.unhex(digits), "UTF-32"))
 
 
 def _within_a_tenth(pairs: DataFrame) -> DataFrame:
@@ -350,7 +359,8 @@ def _within_a_tenth(pairs: DataFrame) -> DataFrame:
     alike = pairs.where(F.call_function("levenshtein", "spelt", "spelt_", most) >= 0).withColumn(
         "numbers", F.explode(F.array(F.array_distinct(F.concat("words", "words_"))))
     )
-    told_apart = F.size("numbers") == F.size(F.array_distinct(F.concat("codes", "codes_")))
+    codes = F.array_distinct(F.split(F.concat("spelt", "spelt_"), ""))
+    told_apart = F.size("numbers") == F.size(codes)
 
     def numbered(words: str) -> Column:
         return _spelt(F.transform(words, lambda w: F.array_position("numbers", w)))
@@ -402,6 +412,12 @@ def _proven(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     return found
 
 
+def _shares(long: DataFrame) -> int:
+    """How many shares the keys of ``long`` are shuffled in: few keys go at once."""
+    held = long.agg(F.sum(F.floor(F.col("n") / 10) * RUN + SHARED)).first()[0] or 0
+    return min(SHARES, 1 + held // SHARE_KEYS)
+
+
 def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of distinct lines of LONG words with an earlier one within a tenth.
 
@@ -410,9 +426,10 @@ def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """
     long = materialised(_first_runs(docs, distinct.where(F.col("size") >= LONG)))
     every = long.select("h1", F.explode("keys").alias("key"))
+    shares = _shares(long)
     met = []
-    for share in range(SHARES):
-        keys = every.where(F.col("key").bitwiseAND(F.lit(SHARES - 1)) == share).repartition("key")
+    for share in range(shares):
+        keys = every.where(F.pmod("key", F.lit(shares)) == share).repartition("key")
         shared = (
             keys.groupBy("key")
             .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
@@ -421,15 +438,22 @@ def _near_long_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         )
         met.append(materialised(keys.join(shared.hint("shuffle_hash"), "key").distinct()))
     every = reduce(DataFrame.unionAll, met)
+    meeting = materialised(
+        long.drop("keys").join(every.select("h1").distinct(), "h1", "left_semi").distinct()
+    )
+    discard(long)
+    # the earliest of equal lines may be read twice where a document is there twice
+    odd = _with_parities(_read(docs, meeting.select("at"))).drop("at", "words")
     # numbered along a range sort and stored, so the numbers are in order and fixed
     lines = materialised(
-        long.drop("keys")
-        .join(every.select("h1").distinct(), "h1", "left_semi")
-        .distinct()
+        meeting.join(odd.dropDuplicates(["h1", "h2"]), ["h1", "h2"])
         .orderBy("at", "h1", "h2")
-        .select(F.monotonically_increasing_id().alias("id"), *[c for c in long.columns if c != "keys"])
+        .select(
+            F.monotonically_increasing_id().alias("id"),
+            "at", "h1", "h2", "odd0", "odd1", "n", "need",
+        )
     )
-    discard(long)
+    discard(meeting)
     held = materialised(every.join(lines.drop("at", "h2"), "h1").drop("h1"))
     for done in met:
         discard(done)
